@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varicube.llm import simhash, vectors
+from varicube.llm import bpe, secrets, simhash, vectors
 from varicube.llm.common import table
 
 
@@ -13,18 +14,35 @@ def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    tokens = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return bpe.decode(tokens, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").where(vectors.finite())
     weights = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: F.floor(F.lit(64) * x.cast("double"))).alias("weights"))
     return vectors.top_k(weights.where("vec_id % 20 = 0"), weights)
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(F.col("spans")).alias("spans"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_vectors, op5_top_k, op9_simhash)}
+QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_byte_bpe, op5_top_k, op6_secret_scan, op9_simhash)}
 
 VALID = "embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
 
