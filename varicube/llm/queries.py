@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varicube.llm import bpe, secrets, simhash, vectors
+from varicube.llm import bpe, chunks, lm, mixing, quality, secrets, simhash, urls, vectors
 from varicube.llm.common import table
 
 
@@ -21,6 +21,15 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(tokens, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"))
+
+
+def op4_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = lm.stupid_backoff(table(spark, sf_dir, "documents"))
+    return scores.withColumn("score", F.round("score", 6))
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").where(vectors.finite())
     weights = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: F.floor(F.lit(64) * x.cast("double"))).alias("weights"))
@@ -37,12 +46,32 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(F.col("spans")).alias("spans"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mixing_rates(docs, docs.select("doc_id", "text", F.col("lang").alias("domain")))
+
+
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunks.spans_by_document(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
+    written = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return found.select("doc_id", F.size("spans").cast("long").alias("n_spans"), removed.cast("long").alias("n_removed"), written.alias("spans"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_byte_bpe, op5_top_k, op6_secret_scan, op9_simhash)}
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return urls.url_verdicts(table(spark, sf_dir, "pages"), labels)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_near_vectors, op2_byte_bpe, op3_quality, op4_backoff_scores, op5_top_k, op6_secret_scan, op7_mixing, op8_substrings, op9_simhash, op10_url_filter)
+}
 
 VALID = "embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
 
@@ -62,6 +91,29 @@ with recursive v as (
 degree as (select a, count(*) as n_links from links group by a)
 select e.vec_id, coalesce(d.n_links, 0) as n_links, l.component_id, e.vec_id = l.component_id as kept
 from embeddings e join least l on e.vec_id = l.n left join degree d on d.a = e.vec_id""",
+    "op4_backoff_scores": r"""
+with w as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words
+  from documents
+), t as (select sum(len(words)) as total from w),
+u as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as i from w),
+p as (select a.doc_id, a.i, a.word, b.word as prev from u a left join u b on a.doc_id = b.doc_id and b.i = a.i - 1),
+c1 as (select word, count(*) as n from u group by word),
+own1 as (select doc_id, word, count(*) as n from u group by doc_id, word),
+c2 as (select prev, word, count(*) as n from p where prev is not null group by prev, word),
+own2 as (select doc_id, prev, word, count(*) as n from p where prev is not null group by doc_id, prev, word),
+s as (
+  select p.doc_id, p.prev is not null as pair, coalesce(c2.n - own2.n, 0) as n2, cb.n - ob.n as nb, cw.n - ow.n as n1,
+         greatest(1, (select total from t) - len(w.words)) as others
+  from p join w on w.doc_id = p.doc_id
+  join c1 cw on cw.word = p.word join own1 ow on ow.doc_id = p.doc_id and ow.word = p.word
+  left join c1 cb on cb.word = p.prev left join own1 ob on ob.doc_id = p.doc_id and ob.word = p.prev
+  left join c2 on c2.prev = p.prev and c2.word = p.word
+  left join own2 on own2.doc_id = p.doc_id and own2.prev = p.prev and own2.word = p.word
+), l as (
+  select doc_id, case when n2 > 0 then ln(n2 / nb) else ln(greatest(n1, 1) / others) + case when pair then ln(0.4) else 0 end end as score from s
+)
+select w.doc_id, cast(len(w.words) as bigint) as n_words, (select round(sum(l.score) / len(w.words), 6) from l where l.doc_id = w.doc_id) as score from w""",
     "op5_top_k": f"""
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as w from embeddings where {VALID}
