@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import math
-import string
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varicube.llm.common import arrow_rows, save
@@ -17,46 +16,54 @@ GOOD, BAD, ABSTAIN = 1, 0, -1
 SIGNS = "#*%$&|!~^<>{}[]\\"
 
 
-def measures(text: Column) -> dict[str, Column]:
-    """What the labellers look at; each is null where there is too little text to say."""
-    n = F.length(text)
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda x: x != "")
-    share = lambda chars: F.when(n > 0, 1 - F.length(F.translate(text, chars, "")) / n)
-    of_words = lambda least, test: F.when(F.size(words) >= least, F.size(F.filter(words, test)) / F.size(words))
-    upper = lambda w: (F.length(w) > 1) & (F.upper(w) == w) & (F.lower(w) != w)
-    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    return {
-        "signs": share(SIGNS),
-        "signed_words": of_words(5, lambda w: F.translate(w, SIGNS, "") != w),
-        "capitals": F.when(n >= 20, share(string.ascii_uppercase)),
-        "upper_words": of_words(5, upper),
-        "distinct_words": F.when(F.size(words) >= 30, F.size(F.array_distinct(words)) / F.size(words)),
-        "distinct_pairs": F.when(F.size(words) >= 30, F.size(F.array_distinct(pairs)) / F.size(words)),
-        "stops": of_words(15, lambda w: F.endswith(w, F.lit("."))),
-        "word_size": F.when(F.size(words) >= 5, n / F.size(words)),
-    }
-
-
-def vote(bad: Column, good: Column | None = None) -> Column:
-    return (F.when(bad, BAD) if good is None else F.when(bad, BAD).when(good, GOOD)).otherwise(ABSTAIN)
-
-
-def votes(m: dict[str, Column]) -> dict[str, Column]:
-    """The labellers. Most can only say bad or nothing; they overlap, so that each kind of bad text is seen by more than one."""
-    orderly = (m["signs"] < 0.015) & (m["capitals"] < 0.1) & (m["distinct_pairs"] > 0.6) & m["stops"].between(0.01, 0.35)
-    disorderly = (m["signs"] > 0.03) | (m["capitals"] > 0.2) | (m["distinct_pairs"] < 0.4)
-    return {
-        "signs": vote(m["signs"] > 0.03),
-        "signed_words": vote(m["signed_words"] > 0.1),
-        "capitals": vote(m["capitals"] > 0.2),
-        "upper_words": vote(m["upper_words"] > 0.2),
-        "distinct_words": vote((m["distinct_words"] < 0.3) & (m["distinct_pairs"] < 0.6)),
-        "distinct_pairs": vote(m["distinct_pairs"] < 0.4),
-        "stops": vote(m["stops"] > 0.6),
-        "word_size": vote((m["word_size"] > 14) | (m["word_size"] < 2.5)),
-        "prose": vote(disorderly, orderly),
-    }
+MEASURES = ("signs", "signed_words", "capitals", "upper_words", "distinct_words", "distinct_pairs", "stops", "word_size")
+IS_SIGN = np.zeros(256, bool)
+IS_SIGN[np.frombuffer(SIGNS.encode(), np.uint8)] = True
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[np.frombuffer(b" \t\n\r\x0b\f", np.uint8)] = True
+
+
+def measures(text: str) -> list[float]:
+    """What the labellers look at, in the order of MEASURES; each is not a number where there is too little text to say."""
+    data = text.encode("utf-8", "surrogatepass")
+    words, raw = data.split(), np.frombuffer(data, np.uint8)
+    n, k = len(raw), len(words)
+    if not k:
+        return [math.nan] * len(MEASURES)
+    sign, upper, lower = IS_SIGN[raw], (raw >= 65) & (raw <= 90), ((raw >= 97) & (raw <= 122)) | (raw >= 128)
+    space = IS_SPACE[raw]
+    word = np.cumsum(~space & np.concatenate([[True], space[:-1]]))  # the number of each byte's word
+    per_word = lambda mask: np.bincount(word[mask], minlength=k + 1) > 0
+    shouted = (np.bincount(word[upper], minlength=k + 1) > 1) & ~per_word(lower)
+    ends = np.flatnonzero(np.concatenate([space[1:], [True]]) & ~space)
+    return [
+        sign.sum() / n,
+        per_word(sign).sum() / k if k >= 5 else math.nan,
+        upper.sum() / n if n >= 20 else math.nan,
+        shouted.sum() / k if k >= 5 else math.nan,
+        len(set(words)) / k if k >= 30 else math.nan,
+        len(set(zip(words, words[1:]))) / k if k >= 30 else math.nan,
+        (raw[ends] == 46).sum() / k if k >= 15 else math.nan,
+        n / k if k >= 5 else math.nan,
+    ]
+
+
+LABELLERS = ("signs", "signed_words", "capitals", "upper_words", "distinct_words", "distinct_pairs", "stops", "word_size", "prose")
+
+
+def votes(m: np.ndarray) -> np.ndarray:
+    """Votes (rows, LABELLERS) on measures (rows, MEASURES).
+
+    Most labellers can only say bad or nothing; they overlap, so that each kind of bad text is seen by more than one. A measure
+    that is not a number makes no vote.
+    """
+    signs, signed, capitals, upper, words, pairs, stops, size = m.T
+    bad = [signs > 0.03, signed > 0.1, capitals > 0.2, upper > 0.2, (words < 0.3) & (pairs < 0.6), pairs < 0.4, stops > 0.6, (size > 16) | (size < 2.5)]
+    orderly = (signs < 0.015) & (capitals < 0.1) & (pairs > 0.6) & (stops >= 0.01) & (stops <= 0.35)
+    bad.append((signs > 0.03) | (capitals > 0.2) | (pairs < 0.4))
+    out = np.where(np.stack(bad, 1), BAD, ABSTAIN)
+    out[:, -1] = np.where(bad[-1], BAD, np.where(orderly, GOOD, ABSTAIN))
+    return out
 
 
 def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, float]:
@@ -91,39 +98,43 @@ def buckets(row) -> tuple[int, ...]:
     return tuple(out)
 
 
-def quality_scores(docs: DataFrame, sample: int = 8_000) -> DataFrame:
+def quality_scores(docs: DataFrame, sample: int = 6_000) -> DataFrame:
     """(doc_id, quality, keep) per row: the scorer's probability that the text is good, and whether it is at least one half.
 
-    Vote patterns are counted over all documents (at most 2 to the power of the number of labellers, times 3 for those that can say good), EM runs over these counts.
-    The scorer is fitted, in one task, to the posteriors of a sample of at most about `sample` documents chosen by
-    the hash of their ids, and scores every whole text. Empty and null texts have no votes and count as good, as nothing is held against them.
+    Vote patterns are counted over all documents (at most 2 to the power of the number of labellers, times 3 for the one that can say
+    good), EM runs over these counts. The scorer is fitted, in one task, to the posteriors of a sample of at most about `sample` documents
+    chosen by the hash of their ids, and scores every whole text. Empty and null texts have no votes and count as good, as nothing is held against them.
     """
     spark = docs.sparkSession
     arrow_rows(spark, 512)
-    text = F.coalesce("text", F.lit(""))
-    m = measures(text)
-    base = docs.select("doc_id", text.alias("text"), *[c.cast("double").alias(f"m_{k}") for k, c in m.items()])
-    got = {k: F.col(f"m_{k}") for k in m}
-    v = votes(got)
-    names = list(v)
-    shown = [k for k in m if k != "word_size"]
-    voted = base.select("doc_id", "text", F.array(*[got[k] for k in shown]).alias("measures"), F.array(*[v[k].cast("int") for k in names]).alias("votes"))
-    counted = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()  # bounded by the number of patterns
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+    def measured(pdf: pd.DataFrame) -> np.ndarray:
+        return np.array([measures(t) for t in pdf["text"]]).reshape(len(pdf), len(MEASURES))
+
+    def cast(batches):
+        for pdf in batches:
+            found, n = np.unique(votes(measured(pdf)), axis=0, return_counts=True)
+            yield pd.DataFrame({"votes": list(found), "n": n})
+
+    patterns = texts.mapInPandas(cast, "votes array<int>, n long").groupBy("votes").agg(F.sum("n").alias("n"))
+    counted = patterns.collect()  # bounded by the number of patterns
     kind = dict(docs.dtypes)["doc_id"]
     if not counted:
         return spark.createDataFrame([], f"doc_id {kind}, quality double, keep boolean")
     total = sum(r["n"] for r in counted)
     shares, prior = fit_label_model(np.array([r["votes"] for r in counted]), np.array([r["n"] for r in counted], float))
     one_in = max(1, -(-total // sample))
-    chosen = voted.where(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(one_in)) == 0)
+    chosen = texts.where(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(one_in)) == 0)
 
-    def vectors(pdf: pd.DataFrame) -> np.ndarray:
-        return np.stack([features(t, buckets(r)) for t, r in zip(pdf["text"], pdf["measures"])])
+    def vectors(pdf: pd.DataFrame, m: np.ndarray) -> np.ndarray:
+        return np.stack([features(t, buckets(r)) for t, r in zip(pdf["text"], m.tolist())])
 
     def described(batches):
         for pdf in batches:
             if len(pdf):
-                yield pd.DataFrame({"x": [r.tobytes() for r in vectors(pdf)], "bad": posterior_bad(np.stack(list(pdf["votes"])), shares, prior)})
+                m = measured(pdf)
+                yield pd.DataFrame({"x": [r.tobytes() for r in vectors(pdf, m)], "bad": posterior_bad(votes(m), shares, prior)})
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         x, bad = np.stack([np.frombuffer(r, np.float32) for r in pdf["x"]]), pdf["bad"].to_numpy()
@@ -134,14 +145,13 @@ def quality_scores(docs: DataFrame, sample: int = 8_000) -> DataFrame:
 
     def score(batches):
         for pdf in batches:
-            good = posteriors(vectors(pdf), weights)[:, 1] if len(pdf) and weights is not None else np.ones(len(pdf))
-            empty = (pdf["text"] == "").to_numpy()
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": np.where(empty, 1.0, good)})
+            good = posteriors(vectors(pdf, measured(pdf)), weights)[:, 1] if len(pdf) and weights is not None else np.ones(len(pdf))
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": np.where((pdf["text"] == "").to_numpy(), 1.0, good)})
 
-    return voted.select("doc_id", "text", "measures").mapInPandas(score, f"doc_id {kind}, quality double").withColumn("keep", F.col("quality") >= 0.5)
+    return texts.mapInPandas(score, f"doc_id {kind}, quality double").withColumn("keep", F.col("quality") >= 0.5)
 
 
-def keep_good(docs: DataFrame, sample: int = 8_000) -> DataFrame:
+def keep_good(docs: DataFrame, sample: int = 6_000) -> DataFrame:
     """`docs` without those that the classifier rejects; rows with a null doc_id stay."""
     rejected = quality_scores(docs, sample).where("not keep and doc_id is not null").select(F.col("doc_id").alias("bad_id")).distinct()
     return docs.join(save(rejected, "rejected"), docs["doc_id"] == F.col("bad_id"), "left_anti")
