@@ -114,7 +114,7 @@ def primer_trim(reads: DataFrame, fwd: str, rev: str, most: float = 0.1, column:
 
     def first(text, primer, width: int):
         places = F.when(F.length(text) >= width, F.sequence(F.lit(1), F.length(text) - width + 1))
-        return F.element_at(F.filter(places, lambda i: mismatches(F.substring(text, i, F.lit(width)), primer) <= int(most * width)), 1)
+        return F.try_element_at(F.filter(places, lambda i: mismatches(F.substring(text, i, F.lit(width)), primer) <= int(most * width)), F.lit(1))
 
     placed = reads.withColumn("at_", first(s, F.lit(fwd), len(fwd))).where("at_ is not null").withColumn("behind_", F.substring(s, F.col("at_") + len(fwd), F.length(s)))
     ended = placed.withColumn("end_", first(F.col("behind_"), back, len(rev))).where("end_ is not null")
