@@ -253,7 +253,7 @@ def _(s, d):
     return reads.sampled_sheet(filed(s, d).select("run_id", "marker_id", "sample_id", "replicate", "source_file").distinct())
 
 
-@query("merge_pairs", ctes("reads") + "select read_id, sequence, 0.0032 as errors from reads")
+@query("merge_pairs", ctes("reads") + "select read_id, sequence, cast(0.0032 as double) as errors from reads")
 def _(s, d):
     r = view(s, d, "reads")
     quality = F.repeat(F.lit("I"), 24)
