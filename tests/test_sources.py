@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from varicube.functions.sequences import reverse_complement
 from varicube.operators import reads, tables, taxonomy
-from varicube.params import resolve
+from varicube.params import chain_options, resolve
 from varicube.sources import sequences, sheets, sinks
 
 
@@ -97,6 +97,7 @@ def test_text_outputs(spark, tmp_path):
 
 def test_parameters():
     assert resolve({"lfn_variant_replicate_cutoff": 0.1}).lfn_variant_cutoff is None
+    assert chain_options(resolve({"lfn_read_count_cutoff": 7, "genetic_code": 1}))["cutoffs"].read_count == 7
     for bad in ({"no_such": 1}, {"lfn_variant_cutoff": 0.1, "lfn_variant_replicate_cutoff": 0.1}):
         with pytest.raises(ValueError):
             resolve(bad)

@@ -55,3 +55,19 @@ def resolve(given: dict | None = None) -> Params:
             raise ValueError("lfn_variant_cutoff and lfn_variant_replicate_cutoff exclude each other")
         given["lfn_variant_cutoff"] = None
     return replace(Params(), **given)
+
+
+def chain_options(p: Params) -> dict:
+    """The keyword arguments of pairs.filter_chain that the parameters stand for."""
+    from varicube.operators.filters import LfnCutoffs
+
+    return {
+        "cutoffs": LfnCutoffs(p.lfn_variant_cutoff, p.lfn_variant_replicate_cutoff, p.lfn_sample_replicate_cutoff, p.lfn_read_count_cutoff),
+        "least_replicates": p.min_replicate_number,
+        "pcr_most": p.pcr_error_var_prop,
+        "skew": p.uchime3_denovo_abskew,
+        "quantile": p.renkonen_distance_quantile,
+        "code": p.genetic_code,
+        "skip_indel": p.skip_filter_indel,
+        "skip_codon_stop": p.skip_filter_codon_stop,
+    }
