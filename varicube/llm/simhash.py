@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -10,7 +12,6 @@ from pyspark.sql import functions as F
 
 from varicube.llm.common import Forest, arrow_rows, components, dealt_to, groups_for, in_blocks, pairs_within, save
 
-SPLIT = 8  # bits of the prefix at which the trie is dealt out to tasks
 CHUNK = 1 << 16
 
 
@@ -126,50 +127,53 @@ def compared(prints: np.ndarray, front: np.ndarray, budget: int, most: int = 1 <
 def close_fingerprints(prints: DataFrame, budget: int, rings: int = 1) -> DataFrame:
     """Edges (a, b) that connect the distinct values of `fp` just as all pairs at most `budget` bits apart do.
 
-    Every value goes to the tasks of its own 8-bit prefix and of each prefix within that depth's allowance;
-    a task walks its pairs of subtries and returns a forest of the links found, at most one row a value.
+    Every value goes to the tasks of its own prefix and of each prefix within that depth's allowance; a task walks its pairs of subtries
+    and returns a forest of the links found, at most one row a value. Prefixes have 8 bits, more with many values.
     """
     spark = prints.sparkSession
     fps = save(prints.select("fp").where("fp is not null").distinct(), "fps")
-    masks = [m for m in range(1 << SPLIT) if m.bit_count() <= allowed(budget, rings, SPLIT)]
-    n = groups_for(spark, fps.count() * len(masks) * rings, 100_000)
+    n = fps.count()
+    bits = min(16, max(8, math.ceil(math.log2(max(1, n / 50_000)))))  # subtries of some ten thousand values, whatever n
+    masks = [m for m in range(1 << bits) if m.bit_count() <= allowed(budget, rings, bits)]
+    groups = groups_for(spark, n * len(masks) * rings, 100_000)
 
-    def turned(bits: Column) -> Column:
-        low = F.call_function("shiftrightunsigned", F.col("fp"), F.lit(64) - bits)
-        return F.call_function("shiftleft", F.col("fp"), bits).bitwiseOR(F.when(bits > 0, low).otherwise(F.lit(0).cast("long")))
+    def turned(by: Column) -> Column:
+        low = F.call_function("shiftrightunsigned", F.col("fp"), F.lit(64) - by)
+        return F.call_function("shiftleft", F.col("fp"), by).bitwiseOR(F.when(by > 0, low).otherwise(F.lit(0).cast("long")))
 
     width = 64 // rings
     own = fps.withColumn("ring", F.explode(F.array(*[F.lit(r) for r in range(rings)]))).withColumn("print", turned(F.col("ring") * width))
-    own = own.withColumn("p", F.shiftrightunsigned("print", 64 - SPLIT)).withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
+    own = own.withColumn("p", F.shiftrightunsigned("print", 64 - bits)).withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
     own = own.withColumn("q", F.col("p").bitwiseXOR(F.col("mask")))
-    own = own.select((F.col("ring") * 65536 + F.least("p", "q") * 256 + F.greatest("p", "q")).alias("pair"), "print")
+    # home: the rotation and the smaller prefix; its pairs go to one task, which then has one forest for them
+    home = F.col("ring") * (1 << bits) + F.least("p", "q")
+    own = own.select(home.alias("home"), (home * (1 << bits) + F.greatest("p", "q")).alias("pair"), "print")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         value, pair = pdf["print"].to_numpy(np.int64).view(np.uint64), pdf["pair"].to_numpy(np.int64)
         order = np.lexsort((value, pair))
         value, pair = value[order], pair[order]
         # ranges of rows with one pair and one prefix
-        prefix = (value >> np.uint64(64 - SPLIT)).astype(np.int64)
-        key = pair * 256 + prefix
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        ends = np.append(starts[1:], len(key))
-        of, pre = pair[starts], prefix[starts]
-        low, high = (of >> 8) & 255, of & 255
+        prefix, low, high = (value >> np.uint64(64 - bits)).astype(np.int64), (pair >> bits) & ((1 << bits) - 1), pair & ((1 << bits) - 1)
+        starts = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (prefix[1:] != prefix[:-1])]))
+        ends = np.append(starts[1:], len(pair))
+        of, pre, low, high = pair[starts], prefix[starts], low[starts], high[starts]
         selfs = np.flatnonzero(low == high)
         other = np.flatnonzero((of[1:] == of[:-1]) & (pre[:-1] == low[:-1])) if len(of) > 1 else np.empty(0, int)
         roots = np.concatenate([
             np.stack([starts[selfs], ends[selfs], starts[selfs], ends[selfs], np.zeros(len(selfs), int)], 1),
             np.stack([starts[other], ends[other], starts[other + 1], ends[other + 1], np.bitwise_count(low[other] ^ high[other]).astype(int)], 1),
         ]).astype(np.int64)
-        forest = Forest(len(value))
-        for i, j in trie_pairs(value, roots, SPLIT, budget, rings):
-            forest.add(i, j)
-        linked = np.flatnonzero(forest.label != np.arange(len(value)))
-        turn = (pair // 65536 * width).astype(np.uint64)
+        turn = ((pair >> (2 * bits)) * width).astype(np.uint64)
         back = np.where(turn > 0, (value >> turn) | (value << ((np.uint64(64) - turn) & np.uint64(63))), value).view(np.int64)
-        return pd.DataFrame({"a": back[linked], "b": back[forest.label[linked]]})
-
-    return own.groupBy(dealt_to(n, "pair").alias("grp")).applyInPandas(lambda pdf: run(pdf), "a long, b long").where("a <> b")
+        own_values, place = np.unique(back, return_inverse=True)
+        forest = Forest(len(own_values))
+        for i, j in trie_pairs(value, roots, bits, budget, rings):
+            forest.add(place[i], place[j])
+        linked = np.flatnonzero(forest.label != np.arange(len(own_values)))
+        return pd.DataFrame({"a": own_values[linked], "b": own_values[forest.label[linked]]})
+
+    return own.groupBy(dealt_to(groups, "home").alias("grp")).applyInPandas(lambda pdf: run(pdf), "a long, b long").where("a <> b")
 
 
 def simhash_components(docs: DataFrame, words: int = 3, budget: int = 2, rings: int = 1) -> DataFrame:
