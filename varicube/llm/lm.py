@@ -5,10 +5,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varicube.llm.common import arrow_rows, save, shuffle_partitions
+from varicube.llm.common import arrow_rows
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -20,9 +21,9 @@ class WordHashes(dict):
         return found
 
 
-def gram_hashes(text: str | None, order: int, known: WordHashes) -> list[np.ndarray]:
+def gram_hashes(text: bytes, order: int, known: WordHashes) -> list[np.ndarray]:
     """Of each n from 1 to `order`, the 64-bit hashes of the text's n-grams of words, in order of their first words."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    words = text.lower().split()
     ones = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     out = [ones]
     for n in range(2, order + 1):
@@ -32,7 +33,36 @@ def gram_hashes(text: str | None, order: int, known: WordHashes) -> list[np.ndar
     return out
 
 
-def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4, block_chars: int = 8_000_000) -> DataFrame:
+def packed(grams: np.ndarray, n: np.ndarray) -> bytes:
+    """A sorted run of hashes with a number each: differences and numbers by byte planes, compressed."""
+    columns = (np.diff(grams, prepend=np.uint64(0)), n.astype(np.uint64))
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(c.view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns))
+
+
+def unpacked(run: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(run), np.uint8).reshape(2, 8, -1)
+    columns = [np.ascontiguousarray(c.T).view(np.uint64).ravel() for c in raw]
+    return np.cumsum(columns[0], dtype=np.uint64), columns[1].astype(np.int64)
+
+
+def mean_log(counts: list[np.ndarray], n_words: int, others: int, alpha: float) -> float | None:
+    """The mean natural log of a text's scores. counts: by n, of its n-grams in order, what other documents hold of them; others: their words."""
+    if not n_words:
+        return None
+    order = len(counts)
+    logs = np.full(n_words, np.nan)
+    longest = np.minimum(np.arange(n_words) + 1, order)  # the longest n-gram that ends in each word
+    for n in range(order, 1, -1):
+        if n_words >= n:
+            ends, c, context = np.arange(n - 1, n_words), counts[n - 1], counts[n - 2][: n_words - n + 1]
+            use = np.isnan(logs[ends]) & (c > 0)
+            logs[ends[use]] = np.log(c[use] / context[use]) + (longest[ends[use]] - n) * np.log(alpha)
+    use = np.isnan(logs)
+    logs[use] = np.log(np.maximum(counts[0][use], 1) / others) + (longest[use] - 1) * np.log(alpha)
+    return float(logs.sum()) / n_words
+
+
+def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4, block_chars: int = 24_000_000) -> DataFrame:
     """(doc_id, n_words, score): the mean over a text's words of the natural log of the stupid-backoff score.
 
     A word is scored by the longest n-gram ending in it, of up to `order` words, that other documents hold: its
@@ -41,70 +71,89 @@ def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4, block_ch
     are cut at ASCII spaces, A-Z lower-cased. A text without words, or null, has n_words 0 and a null score. Repeated rows are
     documents of their own; null ids keep their rows.
 
-    Documents are dealt into blocks of about `block_chars`. Each block counts its n-grams; the counts are shuffled by the n-gram's hash
-    (a block sends one row for an n-gram, so a frequent one has no more rows than there are blocks), summed, and joined
-    back to the blocks where others hold the n-gram too. There each document sums its words.
+    Documents are dealt into blocks of about `block_chars`. Each block counts its n-grams. The count tables are partitioned by ranges of the n-grams'
+    hash: a block sends each partition one sorted run of (n-gram, count), compressed by its differences, so a frequent n-gram has no
+    more entries than there are blocks. A partition joins its runs on the n-gram, sums them and answers each block with the totals of those
+    n-grams that others hold too. There each document sums its words. Partitions are four times the blocks, so their size stays the same whatever the corpus.
     """
     spark = docs.sparkSession
-    arrow_rows(spark, 20_000)
+    arrow_rows(spark, 512)
     chars = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
-    source = docs.select("doc_id", "text")
-    dealt = source.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    kind = dict(docs.dtypes)["doc_id"]
+    # nothing but a scan below this exchange, so that the counts and the scores share it
+    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"))
+
+    def texts(pdf: pd.DataFrame):
+        return ((t or "").encode("utf-8", "surrogatepass") for t in pdf["text"])
+
+    partitions = 4 * blocks
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         known = WordHashes()
-        grams = [g for t in pdf["text"] for g in gram_hashes(t, order, known)]
-        found, n = np.unique(np.concatenate(grams), return_counts=True) if grams else (np.empty(0, np.uint64), np.empty(0, int))
-        return pd.DataFrame({"gram": found.view(np.int64), "tag": (np.int64(pdf["block"].iloc[0]) << 40) + n.astype(np.int64)})
-
-    # tag: the block, and in its lower 40 bits the block's count
-    own = dealt.groupBy("block").applyInPandas(count, "gram long, tag long")
-    low = F.col("tag").bitwiseAND((1 << 40) - 1)
-    dealt_grams = own.repartition(shuffle_partitions(spark), "gram")
-    totals = dealt_grams.groupBy("gram").agg(F.sum(low).alias("total"), F.count(F.lit(1)).alias("in_blocks")).where("in_blocks > 1").drop("in_blocks")
-    elsewhere = dealt_grams.hint("merge").join(totals, "gram").select(F.shiftright("tag", 40).cast("int").alias("block"), "gram", "total")
+        by_text = [gram_hashes(t, order, known) for t in texts(pdf)]
+        parts = [np.unique(np.concatenate([g[n] for g in by_text]), return_counts=True) for n in range(order)]
+        grams, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        at = np.argsort(grams)
+        grams, n = grams[at], n[at]
+        part = (((grams >> np.uint64(32)) * np.uint64(partitions)) >> np.uint64(32)).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        runs = [packed(grams[i:j], n[i:j]) for i, j in zip(cuts, [*cuts[1:], len(grams)])]
+        return pd.DataFrame({"part": part[cuts].astype(np.int32), "block": np.int32(pdf["block"].iloc[0]), "run": runs})
+
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        runs = [unpacked(r) for r in pdf["run"]]
+        _, place, in_blocks = np.unique(np.concatenate([g for g, _ in runs]), return_inverse=True, return_counts=True)
+        totals = np.zeros(len(in_blocks), np.int64)
+        np.add.at(totals, place, np.concatenate([n for _, n in runs]))
+        out, done = [], 0
+        for (grams, _), block in zip(runs, pdf["block"]):
+            own = place[done : done + len(grams)]
+            done += len(grams)
+            shared = in_blocks[own] > 1
+            out.append((block, packed(grams[shared], totals[own[shared]])))
+        return pd.DataFrame(out, columns=["block", "run"])
+
+    counts = dealt.groupBy("block").applyInPandas(count, "part int, block int, run binary")
+    elsewhere = counts.groupBy("part").applyInPandas(join, "block int, run binary")
 
     words = docs.select(F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long").alias("n"))
     all_words = words.agg(F.sum("n")).first()[0] or 0
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        known, at = WordHashes(), np.argsort(right["gram"].to_numpy(np.int64).view(np.uint64))
-        table, totals_ = right["gram"].to_numpy(np.int64).view(np.uint64)[at], right["total"].to_numpy(np.int64)[at]
-        texts = [gram_hashes(t, order, known) for t in left["text"]]
-        grams = [g for t in texts for g in t]
-        flat = np.concatenate(grams) if grams else np.empty(0, np.uint64)
-        here, inverse, n_here = np.unique(flat, return_inverse=True, return_counts=True)
-        place = np.searchsorted(table, here)
-        hit = place < len(table)
-        hit[hit] = table[place[hit]] == here[hit]
-        total = n_here.astype(np.int64)
-        total[hit] = totals_[place[hit]]
-        rows, done = [], 0
-        for parts in texts:
-            n_words = len(parts[0])
-            counts = []
-            for g in parts:
-                ids = inverse[done : done + len(g)]
-                done += len(g)
+        runs, known = [unpacked(r) for r in right["run"]], WordHashes()
+        table = np.concatenate([np.empty(0, np.uint64), *[g for g, _ in runs]])
+        totals_ = np.concatenate([np.empty(0, np.int64), *[n for _, n in runs]])
+        del runs
+        at = np.argsort(table)
+        table, totals_ = table[at], totals_[at]
+        by_text = [gram_hashes(t, order, known) for t in texts(left)]
+        known.clear()
+        sizes = [len(p[0]) for p in by_text]
+        others = []  # by n: of each n-gram in order, its count in all other documents
+        for n in range(order):
+            flat = np.concatenate([p[n] for p in by_text])
+            here, inverse, n_here = np.unique(flat, return_inverse=True, return_counts=True)
+            place = np.searchsorted(table, here)
+            hit = place < len(table)
+            hit[hit] = table[place[hit]] == here[hit]
+            total = n_here.astype(np.int64)
+            total[hit] = totals_[place[hit]]
+            counts, done = total[inverse], 0
+            for p in by_text:
+                ids = inverse[done : done + len(p[n])]
                 _, back, mine = np.unique(ids, return_inverse=True, return_counts=True)
-                counts.append(total[ids] - mine[back])
-            if not n_words:
-                rows.append((0, None))
-                continue
-            others = max(1, all_words - n_words)
-            logs = np.full(n_words, np.nan)
-            steps = np.minimum(np.arange(n_words) + 1, order)  # the longest n-gram that ends in each word
-            for n in range(order, 1, -1):
-                if n_words < n:
-                    continue
-                ends, c, context = np.arange(n - 1, n_words), counts[n - 1], counts[n - 2][: n_words - n + 1]
-                use = np.isnan(logs[ends]) & (c > 0)
-                logs[ends[use]] = np.log(c[use] / context[use]) + (steps[ends[use]] - n) * np.log(alpha)
-            use = np.isnan(logs)
-            logs[use] = np.log(np.maximum(counts[0][use], 1) / others) + (steps[use] - 1) * np.log(alpha)
-            rows.append((n_words, float(logs.sum()) / n_words))
-        return pd.DataFrame({"doc_id": left["doc_id"], "n_words": [r[0] for r in rows], "score": pd.array([r[1] for r in rows], dtype="Float64")})
+                counts[done : done + len(p[n])] -= mine[back]
+                done += len(p[n])
+            others.append(counts)
+        rows, done = [], [0] * order
+        for n_words in sizes:
+            c = []
+            for n in range(order):
+                size = max(0, n_words - n)
+                c.append(others[n][done[n] : done[n] + size])
+                done[n] += size
+            rows.append(mean_log(c, n_words, max(1, all_words - n_words), alpha))
+        return pd.DataFrame({"doc_id": left["doc_id"], "n_words": sizes, "score": pd.array(rows, dtype="Float64")})
 
-    kind = dict(docs.dtypes)["doc_id"]
     return dealt.groupBy("block").cogroup(elsewhere.groupBy("block")).applyInPandas(score, f"doc_id {kind}, n_words long, score double")
