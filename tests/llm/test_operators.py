@@ -94,6 +94,19 @@ def test_near_vectors_recall_and_precision(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hashes, n", [(2, 400), (3, 400)])
+def test_near_vectors_recall_at_every_number_of_hashes(spark, hashes, n):
+    rng = np.random.default_rng(hashes)
+    rows = []
+    for c in rng.uniform(0.9005, 0.92, n):
+        base = rng.normal(size=64)
+        base /= np.linalg.norm(base)
+        rows += [base, unit(rng, base, c)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = vectors.near_vectors(df, hashes=hashes).collect()
+    assert 0.99 * 2 * n <= sum(r.n_links for r in got) <= 2 * n and all(r.component_id == r.vec_id - r.vec_id % 2 for r in got if r.n_links)
+
+
 def test_top_k_against_all_pairs(spark):
     rng = np.random.default_rng(2)
     w = {i: [int(v) for v in rng.integers(-3, 4, 8)] for i in range(90)}

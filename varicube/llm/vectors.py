@@ -51,6 +51,7 @@ def cross_polytope(x: np.ndarray, seed: int, tables: int, hashes: int, probes: i
             largest = np.take_along_axis(size, top, 1)
             cost[h] = largest[:, :1] - largest
         choices = np.stack(np.meshgrid(*[np.arange(near)] * hashes, indexing="ij"), -1).reshape(-1, hashes)
+        choices = choices[(choices + 1).prod(1) <= probes]  # all others have at least `probes` choices before them
         total = sum(cost[h][:, choices[:, h]] for h in range(hashes))
         pick = np.argsort(total, axis=1, kind="stable")[:, :probes]
         code = np.zeros(pick.shape, np.int64)
@@ -61,6 +62,18 @@ def cross_polytope(x: np.ndarray, seed: int, tables: int, hashes: int, probes: i
     return out
 
 
+def tables_for(width: int, hashes: int, probes: int, least: float, miss: float = 0.002, pairs: int = 2_000) -> int:
+    """The tables for which a pair at cosine `least` meets in none with a probability of `miss`, by the share of random pairs that meet in one; 4 at least."""
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(2, pairs, width))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b = least * a + math.sqrt(max(0.0, 1 - least**2)) * b / np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-12)
+    a, b = cross_polytope(a, 5, 4, hashes, probes), cross_polytope(b, 5, 4, hashes, probes)
+    meet = ((a[:, :, :1] == b).any(2) | (b[:, :, :1] == a).any(2)).mean()
+    return max(4, math.ceil(math.log(miss) / math.log(1 - min(0.999, max(1e-4, meet)))))
+
+
 def padded(vectors, width: int) -> np.ndarray:
     out = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
@@ -68,7 +81,7 @@ def padded(vectors, width: int) -> np.ndarray:
     return out
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.9, tables: int = 4, probes: int = 4, hashes: int | None = None, block: int = 512, seed: int = 11) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.9, tables: int | None = None, probes: int = 4, hashes: int | None = None, block: int = 512, seed: int = 11) -> DataFrame:
     """One row per row of `vectors`: vec_id, n_links (other rows with cosine >= least among the candidates), component_id, kept.
 
     Candidates are pairs of which one's own bucket is among the other's probes in some table; each is verified in double
@@ -76,7 +89,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, tables: int = 4, probes
     that meets in several buckets counts in the first only, which each task sees from the buckets in both rows. Large
     buckets are cut into pairs of blocks. Null, zero and non-finite vectors have no links and are their own component.
     A null vec_id counts as a link but never names a component. `hashes` grows with the number of distinct
-    vectors, so that a bucket holds some tens of unrelated ones.
+    vectors, so that a bucket holds less than one unrelated one on average, and `tables` with `hashes`, so that the share of
+    links at cosine `least` that is missed stays the same. A probe goes on only if its bucket is another row's own.
     """
     spark = vectors.sparkSession
     arrow_rows(spark, 5_000)
@@ -88,25 +102,31 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, tables: int = 4, probes
     n, width = nodes.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     width = 1 << max(1, math.ceil(math.log2(max(2, width or 2))))
     if hashes is None:
-        hashes = max(1, math.ceil(math.log(max(2, n) / 32) / math.log(2 * width))) if n > 32 else 1
+        hashes = max(1, math.ceil(math.log(8 * n) / math.log(2 * width))) if n > 32 else 1
+    if tables is None:
+        tables = tables_for(width, hashes, probes, least)
+    code_type = np.int32 if (2 * width) ** hashes < 2**31 else np.int64
+    real = np.float32 if dict(vectors.dtypes)["embedding"] == "array<float>" else np.float64  # no loss: the source's own width
 
     def hashed(batches):
         for pdf in batches:
             x = padded(list(pdf["embedding"]), width)
             codes = cross_polytope(x / np.linalg.norm(x / np.abs(x).max(1, keepdims=True), axis=1, keepdims=True) / np.abs(x).max(1, keepdims=True), seed, tables, hashes, probes)
-            yield pd.DataFrame({"node": pdf["node"], "copies": pdf["copies"], "embedding": list(x), "codes": list(codes.reshape(len(x), -1))})
+            yield pd.DataFrame({"node": pdf["node"], "copies": pdf["copies"], "vector": [v.tobytes() for v in x.astype(real)], "codes": [c.tobytes() for c in codes.astype(code_type)], "slots": list(codes.reshape(len(x), -1))})
 
-    coded = nodes.select("node", "copies", "embedding").mapInPandas(hashed, "node long, copies long, embedding array<double>, codes array<long>")
-    slots = F.transform("codes", lambda c, i: F.struct(F.floor(i / probes).cast("int").alias("t"), c.alias("bucket")))
-    probed = coded.withColumn("slot", F.explode(F.array_distinct(slots))).select("node", "copies", "embedding", "codes", "slot.t", "slot.bucket")
-    probed = save(probed, "probes")
+    coded = save(nodes.select("node", "copies", "embedding").mapInPandas(hashed, "node long, copies long, vector binary, codes binary, slots array<long>"), "coded")
+    light = coded.select("node", F.posexplode("slots").alias("k", "bucket")).select("node", F.floor(F.col("k") / probes).cast("int").alias("t"), "bucket", (F.col("k") % probes == 0).alias("own"))
+    shared = light.groupBy("t", "bucket").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("owned")).where("n > 1 and owned").select("t", "bucket")
+    kept = light.join(shared, ["t", "bucket"]).select("node", "t", "bucket").distinct()
+    probed = kept.join(coded.drop("slots"), "node")
     met, total = in_blocks(probed, ["t", "bucket"], "node", block)
     groups = groups_for(spark, total, 20_000)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["t", "bucket", "bi", "bj"], kind="stable")
         unit = pdf[["t", "bucket", "bi", "bj"]].to_numpy(np.int64)
-        x, codes = np.stack(list(pdf["embedding"])), np.stack(list(pdf["codes"])).reshape(len(pdf), tables, probes)
+        x = np.frombuffer(b"".join(pdf["vector"]), real).reshape(len(pdf), width).astype(float)
+        codes = np.frombuffer(b"".join(pdf["codes"]), code_type).reshape(len(pdf), tables, probes)
         x = x / np.abs(x).max(1, keepdims=True)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         node, copies, blk = pdf["node"].to_numpy(np.int64), pdf["copies"].to_numpy(np.int64), pdf["blk"].to_numpy(np.int64)
