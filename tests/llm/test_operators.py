@@ -304,6 +304,26 @@ def test_rates_stay_nonnegative(spark):
     assert rates[0] == 0 and abs(rates[1] - best) < 0.01 * best
 
 
+@pytest.mark.parametrize("now, targets", [((0.9, 0.05, 0.03, 0.02), (0.5, 0.2, 0.2, 0.1)), ((0.05, 0.05, 0.85, 0.05), (0.5, 0.2, 0.2, 0.1)), ((0.9, 0.06, 0.04), (0.02, 0.49, 0.49))])
+def test_rates_meet_skewed_targets(spark, now, targets):
+    rng = np.random.default_rng(2)
+    domain = rng.choice(len(now), 3000, p=now)
+    p = np.where(np.arange(len(now)) == domain[:, None], 0.97, 0.03 / (len(now) - 1))
+    tokens = rng.integers(1, 400, 3000).astype(float)
+    table = spark.createDataFrame([(i, float(t), q.tolist()) for i, (t, q) in enumerate(zip(tokens, p))], "doc_id long, tokens double, p array<double>")
+    steps, reached, wanted = mixing.fit_rates(table, list(targets))
+    r = np.array([x[0] for x in table.orderBy("doc_id").select(mixing.rate(steps)).collect()])
+    totals = (tokens * r) @ p
+    assert (r >= 0).all() and np.allclose(totals, reached) and np.allclose(totals, wanted, rtol=1e-3)
+    assert np.allclose(totals / totals.sum(), targets, atol=1e-3)
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    table = spark.createDataFrame([(1, 10.0, [0.5, 0.5]), (2, 30.0, [0.5, 0.5])], "doc_id long, tokens double, p array<double>")
+    with pytest.warns(RuntimeWarning, match="not reached"):
+        mixing.fit_rates(table, [0.8, 0.2])
+
+
 # --- 8: substrings
 
 def test_repeated_passages_are_cut_and_insertions_do_not_hide_them(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -63,36 +65,56 @@ def rate(steps: list[np.ndarray]) -> Column:
     return F.aggregate(rows, out, lambda r, s: F.greatest(F.lit(0.0), r - F.aggregate(F.zip_with(p, s, lambda a, b: a * b), F.lit(0.0), lambda x, y: x + y)))
 
 
-def fit_rates(table: DataFrame, targets: list[float], rounds: int = 15, tolerance: float = 1e-4, headroom: float = 1.05) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+def fit_rates(table: DataFrame, targets: list[float], rounds: int = 60, tolerance: float = 1e-4, headroom: float = 1.05) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Steps for rate(), the totals reached, and the target totals of tokens a domain.
 
     Minimises the squared error of the expected totals, each weighed by its target, over rates of zero and above. A step
-    moves a document's rate by the product of its posterior with the weighed errors (the gradient divided by the document's
-    tokens), then projects it. Each round is one aggregation over all documents; only sums by domain reach the driver. The targets'
-    grand total is `headroom` times the least for which no domain has to lose tokens, so that rates stay above one where they can.
+    moves a document's rate by the product of its posterior with the errors, then projects it. The errors are scaled by the curvature over
+    the documents whose rates are above zero, so a domain's share does not slow it down; where that does not lower the error, by the largest
+    curvature (the plain gradient, which always does unless the minimum is reached). Each round is one aggregation over all documents; only sums by
+    domain reach the driver. The targets' grand total is `headroom` times the least for which no domain has to lose tokens, so that
+    rates stay above one where they can. Rounds end within `tolerance` of every target; if no rates reach it, or `rounds` do not, a warning says what was reached.
     """
     d = len(targets)
-    sums = [F.sum(F.col("tokens") * F.element_at("p", i + 1)) for i in range(d)]
-    cross = [F.sum(F.col("tokens") * F.element_at("p", i + 1) * F.element_at("p", j + 1)) for i in range(d) for j in range(d)]
-    first = [x or 0.0 for x in table.agg(*sums, *cross).first()]
-    now, gram = np.array(first[:d]), np.array(first[d:]).reshape(d, d)
+
+    def look(steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        p = [F.col("tokens") * F.element_at("p", i + 1) for i in range(d)]
+        free = F.when(F.col("r") > 0, 1.0).otherwise(0.0)
+        sums = [F.sum(x * F.col("r")) for x in p]
+        cross = [F.sum(x * F.element_at("p", j + 1) * free) for x in p for j in range(d)]
+        found = [x or 0.0 for x in table.select("tokens", "p", rate(steps).alias("r")).agg(*sums, *cross).first()]
+        return np.array(found[:d]), np.array(found[d:]).reshape(d, d)
+
+    now, gram = look([])
     share = np.array(targets) / sum(targets)
     wanted = share * (now / share).max() * headroom
     if not now.any():
         return [], now, wanted
-    step = 1.0 / np.abs(np.linalg.eigvals(gram / np.maximum(wanted, 1e-9))).max()
+    weight = 1.0 / np.maximum(wanted, 1e-9)
+    plain = 1.0 / np.abs(np.linalg.eigvals(gram * weight[:, None])).max()
     steps: list[np.ndarray] = []
-    for _ in range(rounds):
-        error = (now - wanted) / np.maximum(wanted, 1e-9)
-        if np.abs(error).max() < tolerance:
+    while np.abs((now - wanted) * weight).max() >= tolerance:
+        error = now - wanted
+        merit = (weight * error**2).sum()
+        scaled = np.linalg.lstsq(np.sqrt(weight)[:, None] * gram, np.sqrt(weight) * error, rcond=1e-10)[0]
+        for step in (scaled, plain * weight * error):
+            if (rounds := rounds - 1) < 0:
+                break
+            to, free = look([*steps, step])
+            if (weight * (to - wanted) ** 2).sum() < merit * (1 - 1e-6):
+                steps.append(step)
+                now, gram = to, free
+                break
+        else:
+            break
+        if rounds < 0:
             break
-        steps.append(step * error)
-        r = rate(steps)
-        now = np.array(table.agg(*[F.sum(F.col("tokens") * F.element_at("p", i + 1) * r) for i in range(d)]).first())
+    if np.abs((now - wanted) * weight).max() >= tolerance:
+        warnings.warn(f"mixing: targets not reached; tokens by domain {now.round(1).tolist()}, wanted {wanted.round(1).tolist()}", RuntimeWarning, stacklevel=2)
     return steps, now, wanted
 
 
-def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, sample: int = 1_500, rounds: int = 15) -> DataFrame:
+def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, sample: int = 1_500, rounds: int = 60) -> DataFrame:
     """(doc_id, tokens, domain, posterior, rate, copies) per row of `docs`.
 
     labelled: doc_id, text, domain. domain and posterior: the likeliest domain and its share. copies: the rate, rounded up or down
