@@ -440,6 +440,38 @@ def test_near_duplicates_by_jaccard(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(want.values())
 
 
+def five_word_sets(texts):
+    words = [(t or "").lower().split() for t in texts]
+    return {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)} for i, w in enumerate(words)}
+
+
+def groups_of(spark, texts, **options):
+    docs = documents(spark, texts)
+    return {i: i for i in range(len(texts))} | {r.doc_id: r.group_id for r in simhash.near_duplicate_groups(docs, **options).collect()}
+
+
+def test_near_duplicates_that_differ_in_repeats(spark):
+    rng = random.Random(21)
+    texts = []
+    for _ in range(12):
+        own, line = prose(rng, 200, 10**6), prose(rng, 14, 10**6)
+        texts += [f"{own} {line} {line}", own + f" {line}" * 20]
+    sets = five_word_sets(texts)
+    want = linked(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    assert want == {i: i - i % 2 for i in range(len(texts))} == groups_of(spark, texts)
+
+
+def test_near_duplicates_at_the_edge(spark):
+    rng = random.Random(22)
+    texts = []
+    for k in range(60):  # pairs on their own with similarities from 0.78 to 0.86, many of which are over 12 bits apart
+        w = prose(rng, 150, 10**6).split()
+        texts += [" ".join(w), " ".join(w[: 124 + k % 10] + prose(rng, 26 - k % 10, 10**6).split()[: 6 + k % 3])]
+    sets = five_word_sets(texts)
+    want = linked(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    assert len(set(want.values())) < len(texts) and groups_of(spark, texts) == want
+
+
 # --- 10: urls
 
 URLS = ["http://a.Example.COM/en/x", "https://example.com/en/", "http://www.example.com/en/1?x", "http://b.net/es/1#t", "b.net/fr/", None, "", "http://", "ftp://net/fr/", "http://other.org/de/?a=1&b=2", "http://xnet/es/", "http://com", "http://u.com/"]

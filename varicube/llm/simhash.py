@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varicube.llm.common import Forest, arrow_rows, components, dealt_to, groups_for, in_blocks, pairs_within, save
+from varicube.llm.common import Forest, arrow_rows, components, dealt_to, groups_for, in_blocks, save
 
 CHUNK = 1 << 16
 
@@ -189,68 +189,135 @@ def simhash_components(docs: DataFrame, words: int = 3, budget: int = 2, rings:
     return placed.join(names, "component").select("doc_id", "fp", "component_id")
 
 
-def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, budget: int = 12, rings: int = 8, block: int = 256) -> DataFrame:
-    """(doc_id, group_id) of documents whose word shingles have a Jaccard similarity of `similarity` or more, linked transitively.
+def head(shingles: np.ndarray, similarity: float, late: np.ndarray) -> np.ndarray:
+    """The first of a set's distinct shingles, those in `late` (sorted) after all others: two sets of a Jaccard similarity of `similarity` share one of them at least.
 
-    Candidates are texts whose SimHashes differ in at most `budget` of 64 bits: at a similarity of 0.8 the
-    expected difference is 9.7 bits. Texts of one candidate cluster are verified on their exact shingle sets, in
-    pairs of blocks where a cluster is large. Equal texts form one node beforehand. Texts without words are
-    linked only with each other. Null ids take no part. group_id is the smallest doc_id of a group; documents alone in
-    their group have no row.
+    Such sets share at least similarity * n of the n shingles of either, so the first n less that, and one more, cannot all be missing in the other.
     """
-    spark = docs.sparkSession
-    rows = save(fingerprints(docs, words).where("doc_id is not null"), "prints")
-    nodes = rows.groupBy("fp", "text_key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"))
-    nodes = save(nodes, "nodes")
-    linked = components(close_fingerprints(nodes, budget, rings)).select(F.col("node").alias("fp"), F.col("component").alias("cluster"))
-    # fingerprint zero is that of texts without words: they have no shingles to compare
-    placed = nodes.join(linked, "fp", "left").withColumn("cluster", F.coalesce("cluster", "fp")).where("fp <> 0")
-    met, total = in_blocks(placed.select("cluster", "node", "fp"), ["cluster"], "node", block)
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    n = len(shingles)
+    at = np.minimum(np.searchsorted(late, shingles), max(0, len(late) - 1))
+    last = late[at] == shingles if len(late) else np.zeros(n, bool)
+    return shingles[np.lexsort((shingles, last))][: n - math.ceil(similarity * n - 1e-9) + 1 if n else 0]
+
+
+def sketches(docs: DataFrame, words: int, similarity: float, late: np.ndarray) -> DataFrame:
+    """(doc_id, fp, text_key, n, head) per row: the SimHash over distinct shingles, a hash of the lower-cased words, the number of distinct shingles and their head()."""
+    arrow_rows(docs.sparkSession, 512)
+
+    def run(batches):
+        for pdf in batches:
+            sets = [np.unique(shingle_hashes(t, words)) for t in pdf["text"]]
+            yield pd.DataFrame({
+                "doc_id": pdf["doc_id"],
+                "fp": np.array([simhash(x) for x in sets], np.int64),
+                "text_key": np.array([xxhash.xxh3_64_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split())) for t in pdf["text"]], np.uint64).view(np.int64),
+                "n": np.array([len(x) for x in sets], np.int64),
+                "head": [head(x.view(np.int64), similarity, late) for x in sets],
+            })
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInPandas(run, "doc_id long, fp long, text_key long, n long, head array<long>")
+
+
+def similar_pairs(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The rows (a, b) of `pairs` whose texts have a Jaccard similarity of `similarity` or more."""
 
     def shingles(batches):
         for pdf in batches:
             yield pd.DataFrame({"node": pdf["node"], "shingles": [np.unique(shingle_hashes(t, words)).view(np.int64) for t in pdf["text"]]})
 
-    arrow_rows(spark, 512)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node", "text"])
+    arrow_rows(docs.sparkSession, 512)
     sets = save(texts.mapInPandas(shingles, "node long, shingles array<long>"), "shingles")
-    n = groups_for(spark, total, 2_000)
+    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+    both = met.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("both"))
+    return both.where(F.col("both") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+
+
+def apart_pairs(rows: DataFrame, similarity: float, block: int) -> DataFrame:
+    """Distinct pairs (a, b) of nodes of different components that share a shingle of their heads and may still be similar by size and place.
+
+    rows: shingle, node, component, n, place. A shingle whose nodes are all of one component forms no pairs.
+    """
+    open_ = rows.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("shingle")
+    met, total = in_blocks(save(rows.join(open_, "shingle"), "open"), ["shingle"], "node", block)
+    groups = groups_for(rows.sparkSession, total, 50_000)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int]] = []
-        for (_, bi, bj), unit in pdf.groupby(["cluster", "bi", "bj"], sort=False):
-            fp, node, blk = unit["fp"].to_numpy(np.int64).view(np.uint64), unit["node"].to_numpy(np.int64), unit["blk"].to_numpy()
-            sets_ = list(unit["shingles"])
-            near = [np.stack([i, j]) for i, j in pairs_within(np.array([0]), np.array([len(fp)]), 1 << 18)]
-            i, j = np.concatenate(near, 1) if near else np.empty((2, 0), int)
-            apart = np.bitwise_count(fp[i] ^ fp[j])
-            keep = (apart <= budget) & ((blk[i] != blk[j]) | (bi == bj))
-            order = np.argsort(apart[keep], kind="stable")
-            parent = list(range(len(fp)))
-
-            def root(x: int) -> int:
-                while parent[x] != x:
-                    parent[x] = parent[parent[x]]
-                    x = parent[x]
-                return x
-
-            for x, y in zip(i[keep][order].tolist(), j[keep][order].tolist()):
-                a, b = root(x), root(y)
-                if a == b:
-                    continue
-                s, t = sets_[x], sets_[y]
-                if min(len(s), len(t)) < similarity * max(len(s), len(t)):
-                    continue
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                if both >= similarity * (len(s) + len(t) - both):
-                    parent[max(a, b)] = min(a, b)
-                    out.append((int(node[x]), int(node[y])))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    ready = met.join(sets, "node").select("cluster", "node", "fp", "blk", "bi", "bj", "shingles")
-    edges = ready.groupBy(dealt_to(n, "cluster", "bi", "bj").alias("grp")).applyInPandas(lambda pdf: run(pdf), "a long, b long")
-    groups = components(edges)
-    named = rows.join(nodes.select("fp", "text_key", "node", "copies"), ["fp", "text_key"]).join(groups, "node", "left")
+        unit, comp = pdf[["shingle", "bi", "bj"]].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
+        order = np.lexsort((comp, unit[:, 2], unit[:, 1], unit[:, 0]))
+        unit, comp = unit[order], comp[order]
+        node, n, place, blk = (pdf[c].to_numpy(np.int64)[order] for c in ("node", "n", "place", "blk"))
+        new = np.concatenate([[True], (unit[1:] != unit[:-1]).any(1)])
+        turn = np.concatenate([[True], new[1:] | (comp[1:] != comp[:-1])])
+        ends = [np.append(np.flatnonzero(x)[1:], len(x))[np.cumsum(x) - 1] for x in (new, turn)]
+        partners = ends[0] - ends[1]  # only rows of the unit's later components
+        upto, at, found = np.cumsum(partners), 0, []
+        while at < len(node):
+            to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + (1 << 18), side="right")))
+            k = partners[at:to]
+            i = np.repeat(np.arange(at, to), k)
+            j = ends[1][i] + np.arange(len(i)) - np.repeat(np.cumsum(k) - k, k)
+            most = np.minimum(place[i], place[j]) + np.minimum(n[i] - place[i], n[j] - place[j])  # shared shingles at most
+            ok = ((blk[i] != blk[j]) | (unit[i, 1] == unit[i, 2])) & (node[i] != node[j])
+            ok &= np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9
+            ok &= most >= similarity * (n[i] + n[j] - most) - 1e-9
+            found.append(np.unique(np.stack([np.minimum(node[i], node[j])[ok], np.maximum(node[i], node[j])[ok]], 1), axis=0))
+            at = to
+        return pd.DataFrame(np.concatenate(found) if found else np.empty((0, 2), np.int64), columns=["a", "b"])
+
+    return met.groupBy(dealt_to(groups, "shingle", "bi", "bj").alias("grp")).applyInPandas(lambda pdf: run(pdf), "a long, b long").distinct()
+
+
+def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, budget: int = 2, rings: int = 1, block: int = 256, crowd: int = 40) -> DataFrame:
+    """(doc_id, group_id) of documents whose word shingles have a Jaccard similarity of `similarity` or more, linked transitively.
+
+    Candidates are pairs that share a shingle of their heads (see head()), which no similar pair fails to do. First each text is
+    compared with the smallest of each shared shingle and with those the trie join of SimHashes links to it; components of verified links follow. Then
+    all pairs of candidates whose components still differ are compared, so nothing is missed and a large group is not compared all with all. Shingles
+    that lead to over `crowd` components (lines common to unlike texts) are put last in every set's order beforehand; the order has no
+    bearing on the result. Equal texts form one node. Texts without words are linked only with each other. Null ids take no part. group_id is
+    the smallest doc_id of a group; documents alone in their group have no row.
+    """
+    spark = docs.sparkSession
+    late = np.empty(0, np.int64)
+    rows = save(sketches(docs, words, similarity, late), "prints")
+    nodes = rows.groupBy("fp", "text_key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("head").alias("head"))
+    nodes = save(nodes, "nodes")
+
+    def shared(heads: DataFrame) -> DataFrame:
+        posted = heads.select("node", "n", F.posexplode("head").alias("place", "shingle"))
+        several = posted.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("least"), F.max("node").alias("greatest")).where("least.node <> greatest").drop("greatest")
+        return save(posted.join(several, "shingle"), "shared")
+
+    links = close_fingerprints(nodes.where("n > 0"), budget, rings)
+    named = nodes.where("n > 0").groupBy("fp").agg(F.min("node").alias("least"))
+    equal = nodes.where("n > 0").join(named, "fp").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    across = links.join(named.select(F.col("fp").alias("a"), F.col("least").alias("na")), "a").join(named.select(F.col("fp").alias("b"), F.col("least").alias("nb")), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    met = shared(nodes)
+    fits = F.least("n", "least.n") >= F.lit(similarity) * F.greatest("n", "least.n") - 1e-9
+    stars = met.where(fits).select(F.col("node").alias("a"), F.col("least.node").alias("b"))
+    first = equal.unionByName(across).unionByName(stars).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = save(similar_pairs(docs, save(first, "pairs"), words, similarity), "similar")
+    placed = save(components(edges), "placed")
+
+    def labelled(met: DataFrame) -> DataFrame:
+        return met.select("shingle", "node", "n", "place").join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    for _ in range(3):
+        crowded = labelled(met).groupBy("shingle").agg(F.countDistinct("component").alias("c")).where(F.col("c") > crowd)
+        more = np.array([r["shingle"] for r in crowded.orderBy(F.desc("c"), "shingle").limit(100_000).select("shingle").collect()], np.int64)
+        if not len(more):
+            break
+        late = np.union1d(late, more)
+        moved = met.join(F.broadcast(spark.createDataFrame(pd.DataFrame({"shingle": more}))), "shingle", "left_semi").select("node").distinct()
+        again = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(moved.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+        anew = sketches(again, words, similarity, late).select("fp", "text_key", F.col("head").alias("head_now")).dropDuplicates(["fp", "text_key"])
+        nodes = save(nodes.join(anew, ["fp", "text_key"], "left").withColumn("head", F.coalesce("head_now", "head")).drop("head_now"), "nodes")
+        met = shared(nodes)
+    rest = save(apart_pairs(labelled(met), similarity, block), "pairs")
+    groups = components(edges.unionByName(similar_pairs(docs, rest, words, similarity)))
+    named = rows.select("doc_id", "fp", "text_key").join(nodes.select("fp", "text_key", "node", "copies"), ["fp", "text_key"]).join(groups, "node", "left")
     return named.where("component is not null or copies > 1").select("doc_id", F.coalesce("component", "node").alias("group_id"))
 
 
