@@ -472,6 +472,17 @@ def test_near_duplicates_at_the_edge(spark):
     assert len(set(want.values())) < len(texts) and groups_of(spark, texts) == want
 
 
+def test_lines_common_to_unlike_texts_do_not_hide_or_link(spark):
+    rng = random.Random(23)
+    line, texts = prose(rng, 40, 10**6), []
+    for k in range(30):
+        own = prose(rng, 80, 10**6)
+        texts += [f"{own} {line}", f"{line} {own}"]
+    sets = five_word_sets(texts)
+    want = linked(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    assert groups_of(spark, texts, crowd=5, block=8) == want == {i: i - i % 2 for i in range(len(texts))}
+
+
 # --- 10: urls
 
 URLS = ["http://a.Example.COM/en/x", "https://example.com/en/", "http://www.example.com/en/1?x", "http://b.net/es/1#t", "b.net/fr/", None, "", "http://", "ftp://net/fr/", "http://other.org/de/?a=1&b=2", "http://xnet/es/", "http://com", "http://u.com/"]
