@@ -7,7 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varicube.llm.common import Forest, arrow_rows, components, dealt_to, groups_for, in_blocks, save
@@ -218,6 +218,22 @@ def sketches(docs: DataFrame, words: int, similarity: float, late: np.ndarray) -
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInPandas(run, "doc_id long, fp long, text_key long, n long, head array<long>")
 
 
+def common_shingles(docs: DataFrame, words: int, crowd: int) -> np.ndarray:
+    """The shingles, at most 500,000, that some `crowd` texts hold by a count in a sample of the documents, sorted. They only serve to order a set's shingles."""
+    arrow_rows(docs.sparkSession, 512)
+    one_in = min(50, max(1, docs.count() // 10_000))
+
+    def run(batches):
+        for pdf in batches:
+            sets = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in pdf["text"]]
+            yield pd.DataFrame({"shingle": np.concatenate([*sets, np.empty(0, np.int64)])})
+
+    some = docs.where(F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(one_in)) == 0)
+    counted = some.select("text").mapInPandas(run, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("c"))
+    most = counted.where(F.col("c") > max(4, crowd // one_in)).orderBy(F.desc("c"), "shingle").limit(500_000).select("shingle").toPandas()
+    return np.sort(most["shingle"].to_numpy(np.int64))
+
+
 def similar_pairs(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
     """The rows (a, b) of `pairs` whose texts have a Jaccard similarity of `similarity` or more."""
 
@@ -275,20 +291,20 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0
     Candidates are pairs that share a shingle of their heads (see head()), which no similar pair fails to do. First each text is
     compared with the smallest of each shared shingle and with those the trie join of SimHashes links to it; components of verified links follow. Then
     all pairs of candidates whose components still differ are compared, so nothing is missed and a large group is not compared all with all. Shingles
-    that lead to over `crowd` components (lines common to unlike texts) are put last in every set's order beforehand; the order has no
-    bearing on the result. Equal texts form one node. Texts without words are linked only with each other. Null ids take no part. group_id is
+    that over `crowd` texts or so hold, by a sample, are put last in every set's order beforehand; the order has no bearing on the result. Equal texts form one node. Texts without words are linked only with each other. Null ids take no part. group_id is
     the smallest doc_id of a group; documents alone in their group have no row.
     """
     spark = docs.sparkSession
-    late = np.empty(0, np.int64)
+    late = common_shingles(docs, words, crowd)
     rows = save(sketches(docs, words, similarity, late), "prints")
     nodes = rows.groupBy("fp", "text_key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("head").alias("head"))
     nodes = save(nodes, "nodes")
 
     def shared(heads: DataFrame) -> DataFrame:
         posted = heads.select("node", "n", F.posexplode("head").alias("place", "shingle"))
-        several = posted.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("least"), F.max("node").alias("greatest")).where("least.node <> greatest").drop("greatest")
-        return save(posted.join(several, "shingle"), "shared")
+        same = Window.partitionBy("shingle")
+        known = posted.withColumns({"least": F.min(F.struct("node", "n")).over(same), "greatest": F.max("node").over(same)})
+        return save(known.where("least.node <> greatest").drop("greatest"), "shared")
 
     links = close_fingerprints(nodes.where("n > 0"), budget, rings)
     named = nodes.where("n > 0").groupBy("fp").agg(F.min("node").alias("least"))
@@ -304,17 +320,6 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0
     def labelled(met: DataFrame) -> DataFrame:
         return met.select("shingle", "node", "n", "place").join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
-    for _ in range(3):
-        crowded = labelled(met).groupBy("shingle").agg(F.countDistinct("component").alias("c")).where(F.col("c") > crowd)
-        more = np.array([r["shingle"] for r in crowded.orderBy(F.desc("c"), "shingle").limit(100_000).select("shingle").collect()], np.int64)
-        if not len(more):
-            break
-        late = np.union1d(late, more)
-        moved = met.join(F.broadcast(spark.createDataFrame(pd.DataFrame({"shingle": more}))), "shingle", "left_semi").select("node").distinct()
-        again = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(moved.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-        anew = sketches(again, words, similarity, late).select("fp", "text_key", F.col("head").alias("head_now")).dropDuplicates(["fp", "text_key"])
-        nodes = save(nodes.join(anew, ["fp", "text_key"], "left").withColumn("head", F.coalesce("head_now", "head")).drop("head_now"), "nodes")
-        met = shared(nodes)
     rest = save(apart_pairs(labelled(met), similarity, block), "pairs")
     groups = components(edges.unionByName(similar_pairs(docs, rest, words, similarity)))
     named = rows.select("doc_id", "fp", "text_key").join(nodes.select("fp", "text_key", "node", "copies"), ["fp", "text_key"]).join(groups, "node", "left")
