@@ -5,11 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from varicube.llm.common import arrow_rows
+from varicube.llm.common import shuffle_partitions
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -33,16 +32,21 @@ def gram_hashes(text: bytes, order: int, known: WordHashes) -> list[np.ndarray]:
     return out
 
 
-def packed(grams: np.ndarray, n: np.ndarray) -> bytes:
-    """A sorted run of hashes with a number each: differences and numbers by byte planes, compressed."""
-    columns = (np.diff(grams, prepend=np.uint64(0)), n.astype(np.uint64))
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(c.view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns))
+def packed(grams: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+    """One row for each value of the hash's first 16 bits: the other 48 as arrays of 16 and 32 bits, and the numbers, equal ones side by side."""
+    part = grams >> 48
+    at = np.lexsort((n, part))
+    grams, n, part = grams[at], n[at], part[at]
+    cuts = np.flatnonzero(np.diff(part, prepend=-(1 << 20)))
+    mids, lows = (grams >> 32).astype(np.int16), grams.astype(np.int32)
+    return pd.DataFrame({"part": part[cuts].astype(np.int32), **{k: np.split(v, cuts[1:]) if len(cuts) else [] for k, v in (("mids", mids), ("lows", lows), ("ns", n))}})
 
 
-def unpacked(run: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(run), np.uint8).reshape(2, 8, -1)
-    columns = [np.ascontiguousarray(c.T).view(np.uint64).ravel() for c in raw]
-    return np.cumsum(columns[0], dtype=np.uint64), columns[1].astype(np.int64)
+def unpacked(rows: pd.DataFrame, numbers: str) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams and their numbers, of rows like those of packed()."""
+    flat = {c: np.concatenate([np.empty(0, np.int64), *rows[c]]).astype(np.int64) for c in ("mids", "lows", numbers)}
+    part = np.repeat(rows["part"].to_numpy(np.int64), rows["lows"].map(len).to_numpy(np.int64))
+    return (part << 48) | ((flat["mids"] & 0xFFFF) << 32) | (flat["lows"] & 0xFFFFFFFF), flat[numbers]
 
 
 def mean_log(counts: list[np.ndarray], n_words: int, others: int, alpha: float) -> float | None:
@@ -62,98 +66,83 @@ def mean_log(counts: list[np.ndarray], n_words: int, others: int, alpha: float)
     return float(logs.sum()) / n_words
 
 
-def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4, block_chars: int = 24_000_000) -> DataFrame:
+def counted(by_text: list[list[np.ndarray]], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of some texts, sorted as signed numbers, and how often each stands in them."""
+    parts = [np.unique(np.concatenate([np.empty(0, np.uint64), *[g[n] for g in by_text]]), return_counts=True) for n in range(order)]
+    grams, n = np.concatenate([p[0] for p in parts]).view(np.int64), np.concatenate([p[1] for p in parts])
+    at = np.argsort(grams)
+    return grams[at], n[at]
+
+
+def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4, block_chars: int = 16_000_000) -> DataFrame:
     """(doc_id, n_words, score): the mean over a text's words of the natural log of the stupid-backoff score.
 
     A word is scored by the longest n-gram ending in it, of up to `order` words, that other documents hold: its
     count over that of its first n - 1 words, times alpha for each step down. A word that no other document holds
     counts as one of as many words as the others have. Counts cover all documents less the one that is scored. Words
     are cut at ASCII spaces, A-Z lower-cased. A text without words, or null, has n_words 0 and a null score. Repeated rows are
-    documents of their own; null ids keep their rows.
+    documents of their own; null and repeated ids keep their rows, which are dealt out by id and text.
 
-    Documents are dealt into blocks of about `block_chars`. Each block counts its n-grams. The count tables are partitioned by ranges of the n-grams'
-    hash: a block sends each partition one sorted run of (n-gram, count), compressed by its differences, so a frequent n-gram has no
-    more entries than there are blocks. A partition joins its runs on the n-gram, sums them and answers each block with the totals of those
-    n-grams that others hold too. There each document sums its words. Partitions are four times the blocks, so their size stays the same whatever the corpus.
+    Documents are dealt into blocks of about `block_chars`. Each block is exploded into rows (gram, block, n), one for each n-gram that it holds,
+    so a frequent n-gram has no more rows than there are blocks. Partitioned by the hash of the n-gram, these rows are summed to the count table and joined to it;
+    what comes back to a block are the totals of the n-grams that other blocks hold too. There each document sums its words.
     """
     spark = docs.sparkSession
-    arrow_rows(spark, 512)
-    chars = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    blocks = max(1, -(-chars // block_chars))
     kind = dict(docs.dtypes)["doc_id"]
+    size = docs.select(F.length("text").cast("long").alias("chars"), F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long").alias("words"))
+    chars, all_words = (x or 0 for x in size.agg(F.sum("chars"), F.sum("words")).first())
+    blocks = max(1, -(-chars // block_chars))
     # nothing but a scan below this exchange, so that the counts and the scores share it
-    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"))
+    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
 
-    def texts(pdf: pd.DataFrame):
-        return ((t or "").encode("utf-8", "surrogatepass") for t in pdf["text"])
+    def hashed(pdf: pd.DataFrame) -> list[list[np.ndarray]]:
+        known = WordHashes()
+        return [gram_hashes((t or "").encode("utf-8", "surrogatepass"), order, known) for t in pdf["text"]]
 
-    partitions = 4 * blocks
+    def explode(pdf: pd.DataFrame) -> pd.DataFrame:
+        block, by_text = pdf["block"].iloc[0], hashed(pdf)
+        return packed(*counted(by_text, order)).assign(block=np.int32(block))
 
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        known = WordHashes()
-        by_text = [gram_hashes(t, order, known) for t in texts(pdf)]
-        parts = [np.unique(np.concatenate([g[n] for g in by_text]), return_counts=True) for n in range(order)]
-        grams, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        at = np.argsort(grams)
-        grams, n = grams[at], n[at]
-        part = (((grams >> np.uint64(32)) * np.uint64(partitions)) >> np.uint64(32)).astype(np.int64)
-        cuts = np.flatnonzero(np.diff(part, prepend=-1))
-        runs = [packed(grams[i:j], n[i:j]) for i, j in zip(cuts, [*cuts[1:], len(grams)])]
-        return pd.DataFrame({"part": part[cuts].astype(np.int32), "block": np.int32(pdf["block"].iloc[0]), "run": runs})
-
-    def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        runs = [unpacked(r) for r in pdf["run"]]
-        _, place, in_blocks = np.unique(np.concatenate([g for g, _ in runs]), return_inverse=True, return_counts=True)
-        totals = np.zeros(len(in_blocks), np.int64)
-        np.add.at(totals, place, np.concatenate([n for _, n in runs]))
-        out, done = [], 0
-        for (grams, _), block in zip(runs, pdf["block"]):
-            own = place[done : done + len(grams)]
-            done += len(grams)
-            shared = in_blocks[own] > 1
-            out.append((block, packed(grams[shared], totals[own[shared]])))
-        return pd.DataFrame(out, columns=["block", "run"])
-
-    counts = dealt.groupBy("block").applyInPandas(count, "part int, block int, run binary")
-    elsewhere = counts.groupBy("part").applyInPandas(join, "block int, run binary")
-
-    words = docs.select(F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long").alias("n"))
-    all_words = words.agg(F.sum("n")).first()[0] or 0
+    rest = "part int, mids array<short>, lows array<int>"
+    sent = dealt.groupBy("block").applyInPandas(explode, f"{rest}, ns array<long>, block int")
+    sent = sent.repartition(max(2 * shuffle_partitions(spark), 4 * blocks), "part")
+    rows = sent.select("part", "block", F.explode(F.arrays_zip("mids", "lows", "ns")).alias("g")).select("part", "block", "g.mids", "g.lows", "g.ns")
+    same = Window.partitionBy("part", "mids", "lows")
+    shared = rows.withColumn("others", (F.sum("ns").over(same) - F.col("ns")).cast("int" if all_words < 1 << 31 else "long")).where("others > 0").sortWithinPartitions("part", "block", "others")
+    elsewhere = shared.groupBy("part", "block").agg(*[F.collect_list(c).alias(c) for c in ("mids", "lows", "others")])
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        runs, known = [unpacked(r) for r in right["run"]], WordHashes()
-        table = np.concatenate([np.empty(0, np.uint64), *[g for g, _ in runs]])
-        totals_ = np.concatenate([np.empty(0, np.int64), *[n for _, n in runs]])
-        del runs
+        if not len(left):
+            return pd.DataFrame({"doc_id": [], "n_words": [], "score": []})
+        table, totals = unpacked(right, "others")
         at = np.argsort(table)
-        table, totals_ = table[at], totals_[at]
-        by_text = [gram_hashes(t, order, known) for t in texts(left)]
-        known.clear()
+        table, totals = table[at], totals[at]
+        by_text = hashed(left)
         sizes = [len(p[0]) for p in by_text]
         others = []  # by n: of each n-gram in order, its count in all other documents
         for n in range(order):
-            flat = np.concatenate([p[n] for p in by_text])
-            here, inverse, n_here = np.unique(flat, return_inverse=True, return_counts=True)
+            here, inverse, n_here = np.unique(np.concatenate([p[n] for p in by_text]), return_inverse=True, return_counts=True)
+            here = here.view(np.int64)
             place = np.searchsorted(table, here)
             hit = place < len(table)
             hit[hit] = table[place[hit]] == here[hit]
             total = n_here.astype(np.int64)
-            total[hit] = totals_[place[hit]]
+            total[hit] += totals[place[hit]]
             counts, done = total[inverse], 0
             for p in by_text:
-                ids = inverse[done : done + len(p[n])]
-                _, back, mine = np.unique(ids, return_inverse=True, return_counts=True)
+                _, back, mine = np.unique(inverse[done : done + len(p[n])], return_inverse=True, return_counts=True)
                 counts[done : done + len(p[n])] -= mine[back]
                 done += len(p[n])
+                p[n] = None
             others.append(counts)
-        rows, done = [], [0] * order
+        found, done = [], [0] * order
         for n_words in sizes:
             c = []
             for n in range(order):
-                size = max(0, n_words - n)
-                c.append(others[n][done[n] : done[n] + size])
-                done[n] += size
-            rows.append(mean_log(c, n_words, max(1, all_words - n_words), alpha))
-        return pd.DataFrame({"doc_id": left["doc_id"], "n_words": sizes, "score": pd.array(rows, dtype="Float64")})
+                grams = max(0, n_words - n)
+                c.append(others[n][done[n] : done[n] + grams])
+                done[n] += grams
+            found.append(mean_log(c, n_words, max(1, all_words - n_words), alpha))
+        return pd.DataFrame({"doc_id": left["doc_id"], "n_words": sizes, "score": pd.array(found, dtype="Float64")})
 
     return dealt.groupBy("block").cogroup(elsewhere.groupBy("block")).applyInPandas(score, f"doc_id {kind}, n_words long, score double")
