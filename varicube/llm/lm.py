@@ -74,7 +74,7 @@ def counted(by_text: list[list[np.ndarray]], order: int) -> tuple[np.ndarray, np
     return grams[at], n[at]
 
 
-def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4, block_chars: int = 16_000_000) -> DataFrame:
+def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4, block_chars: int = 22_000_000) -> DataFrame:
     """(doc_id, n_words, score): the mean over a text's words of the natural log of the stupid-backoff score.
 
     A word is scored by the longest n-gram ending in it, of up to `order` words, that other documents hold: its
@@ -92,8 +92,9 @@ def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4, block_ch
     size = docs.select(F.length("text").cast("long").alias("chars"), F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long").alias("words"))
     chars, all_words = (x or 0 for x in size.agg(F.sum("chars"), F.sum("words")).first())
     blocks = max(1, -(-chars // block_chars))
+    tasks = max(shuffle_partitions(spark), 2 * blocks)
     # nothing but a scan below this exchange, so that the counts and the scores share it
-    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
+    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")).repartition(tasks, "block")
 
     def hashed(pdf: pd.DataFrame) -> list[list[np.ndarray]]:
         known = WordHashes()
@@ -105,7 +106,7 @@ def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4, block_ch
 
     rest = "part int, mids array<short>, lows array<int>"
     sent = dealt.groupBy("block").applyInPandas(explode, f"{rest}, ns array<long>, block int")
-    sent = sent.repartition(max(2 * shuffle_partitions(spark), 4 * blocks), "part")
+    sent = sent.repartition(2 * tasks, "part")
     rows = sent.select("part", "block", F.explode(F.arrays_zip("mids", "lows", "ns")).alias("g")).select("part", "block", "g.mids", "g.lows", "g.ns")
     same = Window.partitionBy("part", "mids", "lows")
     shared = rows.withColumn("others", (F.sum("ns").over(same) - F.col("ns")).cast("int" if all_words < 1 << 31 else "long")).where("others > 0").sortWithinPartitions("part", "block", "others")
@@ -145,4 +146,4 @@ def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4, block_ch
             found.append(mean_log(c, n_words, max(1, all_words - n_words), alpha))
         return pd.DataFrame({"doc_id": left["doc_id"], "n_words": sizes, "score": pd.array(found, dtype="Float64")})
 
-    return dealt.groupBy("block").cogroup(elsewhere.groupBy("block")).applyInPandas(score, f"doc_id {kind}, n_words long, score double")
+    return dealt.groupBy("block").cogroup(elsewhere.repartition(tasks, "block").groupBy("block")).applyInPandas(score, f"doc_id {kind}, n_words long, score double")
