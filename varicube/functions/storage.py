@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; our own where it is unset, as in tests."""
+    """The folder in spark.checkpoint.dir, which all executors share; our own where it is unset on one machine, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp" if os.path.isdir("/tmp") else None)
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
