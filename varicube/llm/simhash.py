@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varicube.llm.common import Forest, arrow_rows, components, dealt_to, groups_for, in_blocks, save
+from varicube.llm.common import Forest, components, dealt_to, groups_for, in_blocks, save, sliced, unused
 
 CHUNK = 1 << 16
 
@@ -42,10 +42,9 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
 
     A text of fewer words than a shingle is one shingle; null, empty or blank text has fingerprint zero.
     """
-    arrow_rows(docs.sparkSession, 512)
 
     def run(batches):
-        for pdf in batches:
+        for pdf in sliced(batches):
             texts = pdf["text"]
             yield pd.DataFrame({
                 "doc_id": pdf["doc_id"],
@@ -145,9 +144,8 @@ def close_fingerprints(prints: DataFrame, budget: int, rings: int = 1) -> DataFr
     own = fps.withColumn("ring", F.explode(F.array(*[F.lit(r) for r in range(rings)]))).withColumn("print", turned(F.col("ring") * width))
     own = own.withColumn("p", F.shiftrightunsigned("print", 64 - bits)).withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
     own = own.withColumn("q", F.col("p").bitwiseXOR(F.col("mask")))
-    # home: the rotation and the smaller prefix; its pairs go to one task, which then has one forest for them
-    home = F.col("ring") * (1 << bits) + F.least("p", "q")
-    own = own.select(home.alias("home"), (home * (1 << bits) + F.greatest("p", "q")).alias("pair"), "print")
+    # the rotation, the smaller and the larger prefix: pairs of subtries are dealt out each on its own
+    own = own.select(((F.col("ring") * (1 << bits) + F.least("p", "q")) * (1 << bits) + F.greatest("p", "q")).alias("pair"), "print")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         value, pair = pdf["print"].to_numpy(np.int64).view(np.uint64), pdf["pair"].to_numpy(np.int64)
@@ -173,7 +171,7 @@ def close_fingerprints(prints: DataFrame, budget: int, rings: int = 1) -> DataFr
         linked = np.flatnonzero(forest.label != np.arange(len(own_values)))
         return pd.DataFrame({"a": own_values[linked], "b": own_values[forest.label[linked]]})
 
-    return own.groupBy(dealt_to(groups, "home").alias("grp")).applyInPandas(lambda pdf: run(pdf), "a long, b long").where("a <> b")
+    return own.groupBy(dealt_to(groups, "pair").alias("grp")).applyInPandas(lambda pdf: run(pdf), "a long, b long").where("a <> b")
 
 
 def simhash_components(docs: DataFrame, words: int = 3, budget: int = 2, rings: int = 1) -> DataFrame:
@@ -189,42 +187,49 @@ def simhash_components(docs: DataFrame, words: int = 3, budget: int = 2, rings:
     return placed.join(names, "component").select("doc_id", "fp", "component_id")
 
 
-def head(shingles: np.ndarray, similarity: float, late: np.ndarray) -> np.ndarray:
-    """The first of a set's distinct shingles, those in `late` (sorted) after all others: two sets of a Jaccard similarity of `similarity` share one of them at least.
+def ordered(shingles: np.ndarray, late: np.ndarray) -> np.ndarray:
+    """A set's shingles (63 bits of their hashes) in an order that all sets share: as signed numbers, those in `late` (sorted) after all others."""
+    signed = shingles.view(np.int64)
+    at = np.minimum(np.searchsorted(late, signed), max(0, len(late) - 1))
+    last = late[at] == signed if len(late) else np.zeros(len(signed), bool)
+    return np.sort(np.where(last, (shingles >> np.uint64(1)), (shingles >> np.uint64(1)) | np.uint64(1 << 63)).view(np.int64))
+
+
+def head_size(n: int, similarity: float) -> int:
+    """How many of a set's n shingles, in order, two sets of a Jaccard similarity of `similarity` cannot fail to share one of.
 
     Such sets share at least similarity * n of the n shingles of either, so the first n less that, and one more, cannot all be missing in the other.
     """
-    n = len(shingles)
-    at = np.minimum(np.searchsorted(late, shingles), max(0, len(late) - 1))
-    last = late[at] == shingles if len(late) else np.zeros(n, bool)
-    return shingles[np.lexsort((shingles, last))][: n - math.ceil(similarity * n - 1e-9) + 1 if n else 0]
+    return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
 
 
 def sketches(docs: DataFrame, words: int, similarity: float, late: np.ndarray) -> DataFrame:
-    """(doc_id, fp, text_key, n, head) per row: the SimHash over distinct shingles, a hash of the lower-cased words, the number of distinct shingles and their head()."""
-    arrow_rows(docs.sparkSession, 512)
+    """(doc_id, text_hash, fp, text_key, n, head, last) per row: a hash of the text, the SimHash over distinct shingles, a hash of the lower-cased words, the number of distinct shingles, the first head_size() of them in order and the last of these."""
 
     def run(batches):
-        for pdf in batches:
+        for pdf in sliced(batches):
             sets = [np.unique(shingle_hashes(t, words)) for t in pdf["text"]]
+            heads = [ordered(x, late)[: head_size(len(x), similarity)] for x in sets]
             yield pd.DataFrame({
                 "doc_id": pdf["doc_id"],
+                "text_hash": pdf["text_hash"],
                 "fp": np.array([simhash(x) for x in sets], np.int64),
                 "text_key": np.array([xxhash.xxh3_64_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split())) for t in pdf["text"]], np.uint64).view(np.int64),
                 "n": np.array([len(x) for x in sets], np.int64),
-                "head": [head(x.view(np.int64), similarity, late) for x in sets],
+                "head": heads,
+                "last": np.array([x[-1] if len(x) else 0 for x in heads], np.int64),
             })
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInPandas(run, "doc_id long, fp long, text_key long, n long, head array<long>")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").where("doc_id is not null")
+    return source.mapInPandas(run, "doc_id long, text_hash long, fp long, text_key long, n long, head array<long>, last long")
 
 
 def common_shingles(docs: DataFrame, words: int, crowd: int) -> np.ndarray:
     """The shingles, at most 500,000, that some `crowd` texts hold by a count in a sample of the documents, sorted. They only serve to order a set's shingles."""
-    arrow_rows(docs.sparkSession, 512)
     one_in = min(50, max(1, docs.count() // 10_000))
 
     def run(batches):
-        for pdf in batches:
+        for pdf in sliced(batches):
             sets = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in pdf["text"]]
             yield pd.DataFrame({"shingle": np.concatenate([*sets, np.empty(0, np.int64)])})
 
@@ -234,24 +239,23 @@ def common_shingles(docs: DataFrame, words: int, crowd: int) -> np.ndarray:
     return np.sort(most["shingle"].to_numpy(np.int64))
 
 
-def similar_pairs(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The rows (a, b) of `pairs` whose texts have a Jaccard similarity of `similarity` or more."""
+def similar_pairs(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The rows (a, b) of `pairs` of nodes whose texts have a Jaccard similarity of `similarity` or more."""
 
     def shingles(batches):
-        for pdf in batches:
+        for pdf in sliced(batches):
             yield pd.DataFrame({"node": pdf["node"], "shingles": [np.unique(shingle_hashes(t, words)).view(np.int64) for t in pdf["text"]]})
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node", "text"])
-    arrow_rows(docs.sparkSession, 512)
-    sets = save(texts.mapInPandas(shingles, "node long, shingles array<long>"), "shingles")
+    wanted = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "rep.doc_id", "rep.text_hash")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["node"])
+    sets = save(texts.select("node", "text").mapInPandas(shingles, "node long, shingles array<long>"), "shingles")
     met = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     both = met.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("both"))
     return both.where(F.col("both") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
 def apart_pairs(rows: DataFrame, similarity: float, block: int) -> DataFrame:
-    """Distinct pairs (a, b) of nodes of different components that share a shingle of their heads and may still be similar by size and place.
+    """(a, b, c): pairs of nodes of different components that share c shingles of their heads and may still be similar by size and place.
 
     rows: shingle, node, component, n, place. A shingle whose nodes are all of one component forms no pairs.
     """
@@ -268,7 +272,7 @@ def apart_pairs(rows: DataFrame, similarity: float, block: int) -> DataFrame:
         turn = np.concatenate([[True], new[1:] | (comp[1:] != comp[:-1])])
         ends = [np.append(np.flatnonzero(x)[1:], len(x))[np.cumsum(x) - 1] for x in (new, turn)]
         partners = ends[0] - ends[1]  # only rows of the unit's later components
-        upto, at, found = np.cumsum(partners), 0, []
+        upto, at, found, counts = np.cumsum(partners), 0, [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)]
         while at < len(node):
             to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + (1 << 18), side="right")))
             k = partners[at:to]
@@ -278,55 +282,74 @@ def apart_pairs(rows: DataFrame, similarity: float, block: int) -> DataFrame:
             ok = ((blk[i] != blk[j]) | (unit[i, 1] == unit[i, 2])) & (node[i] != node[j])
             ok &= np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9
             ok &= most >= similarity * (n[i] + n[j] - most) - 1e-9
-            found.append(np.unique(np.stack([np.minimum(node[i], node[j])[ok], np.maximum(node[i], node[j])[ok]], 1), axis=0))
+            both, c = np.unique(np.stack([np.minimum(node[i], node[j])[ok], np.maximum(node[i], node[j])[ok]], 1), axis=0, return_counts=True)
+            found.append(both)
+            counts.append(c)
             at = to
-        return pd.DataFrame(np.concatenate(found) if found else np.empty((0, 2), np.int64), columns=["a", "b"])
+        return pd.DataFrame(np.concatenate(found), columns=["a", "b"]).assign(c=np.concatenate(counts))
 
-    return met.groupBy(dealt_to(groups, "shingle", "bi", "bj").alias("grp")).applyInPandas(lambda pdf: run(pdf), "a long, b long").distinct()
+    return met.groupBy(dealt_to(groups, "shingle", "bi", "bj").alias("grp")).applyInPandas(lambda pdf: run(pdf), "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
 
 
-def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, budget: int = 2, rings: int = 1, block: int = 256, crowd: int = 40) -> DataFrame:
-    """(doc_id, group_id) of documents whose word shingles have a Jaccard similarity of `similarity` or more, linked transitively.
+def may_be_similar(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The rows (a, b) of `pairs` (a, b, c) for which c shared shingles of the heads leave a similarity of `similarity` possible.
+
+    Of the two heads take the one that ends first in the order. All that its set shares with the other up to there is shared by the
+    heads too, so the sets share at most c and the rest of that set.
+    """
+    sides = [nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("last").alias(f"last_{x}")) for x in ("a", "b")]
+    tail = {x: F.ceil(F.lit(similarity) * F.col(f"n{x}") - 1e-9) - 1 for x in ("a", "b")}
+    most = F.col("c") + F.when(F.col("last_a") <= F.col("last_b"), tail["a"]).otherwise(tail["b"])
+    sized = pairs.join(sides[0], "a").join(sides[1], "b").withColumn("most", most)
+    return sized.where(F.col("most") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("most")) - 1e-9).select("a", "b")
 
-    Candidates are pairs that share a shingle of their heads (see head()), which no similar pair fails to do. First each text is
-    compared with the smallest of each shared shingle and with those the trie join of SimHashes links to it; components of verified links follow. Then
-    all pairs of candidates whose components still differ are compared, so nothing is missed and a large group is not compared all with all. Shingles
-    that over `crowd` texts or so hold, by a sample, are put last in every set's order beforehand; the order has no bearing on the result. Equal texts form one node. Texts without words are linked only with each other. Null ids take no part. group_id is
-    the smallest doc_id of a group; documents alone in their group have no row.
+
+def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, budget: int = 2, rings: int = 1, block: int = 256, crowd: int = 40) -> DataFrame:
+    """(doc_id, text_hash, group_id, stays) of documents whose word shingles have a Jaccard similarity of `similarity` or more, linked transitively.
+
+    Candidates are pairs that share a shingle of their heads (see head_size()), which no similar pair fails to do. First each text is compared with
+    the text that is smallest, by a hash, among the holders of most of its head's shingles, and with those the trie join of SimHashes links to it; components of
+    verified links follow. Then all pairs of candidates whose components still differ are compared, so nothing is missed and a large group is not compared
+    all with all. Before texts are compared, pairs go that share too few of the heads' shingles to be similar (see may_be_similar()). Shingles
+    that over `crowd` texts or so hold, by a sample, are put last in every set's order beforehand; the order has no bearing on the result. Equal texts
+    form one node. Texts without words are linked only with each other. Null ids take no part. Rows that share a doc_id but not the text are documents of
+    their own; rows that share both stay or go together. group_id is the smallest doc_id of a group, `stays` marks its row; documents alone in their group have no row.
     """
-    spark = docs.sparkSession
     late = common_shingles(docs, words, crowd)
     rows = save(sketches(docs, words, similarity, late), "prints")
-    nodes = rows.groupBy("fp", "text_key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("head").alias("head"))
-    nodes = save(nodes, "nodes")
-
-    def shared(heads: DataFrame) -> DataFrame:
-        posted = heads.select("node", "n", F.posexplode("head").alias("place", "shingle"))
-        same = Window.partitionBy("shingle")
-        known = posted.withColumns({"least": F.min(F.struct("node", "n")).over(same), "greatest": F.max("node").over(same)})
-        return save(known.where("least.node <> greatest").drop("greatest"), "shared")
-
-    links = close_fingerprints(nodes.where("n > 0"), budget, rings)
-    named = nodes.where("n > 0").groupBy("fp").agg(F.min("node").alias("least"))
-    equal = nodes.where("n > 0").join(named, "fp").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    small = rows.drop("head").withColumn("node", F.xxhash64("fp", "text_key"))
+    nodes = save(small.groupBy("node", "fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("last").alias("last")), "nodes")
+    some = nodes.where("n > 0")
+
+    links = close_fingerprints(some, budget, rings)
+    named = some.groupBy("fp").agg(F.min("node").alias("least"))
+    equal = some.join(named, "fp").select(F.col("node").alias("a"), F.col("least").alias("b"))
     across = links.join(named.select(F.col("fp").alias("a"), F.col("least").alias("na")), "a").join(named.select(F.col("fp").alias("b"), F.col("least").alias("nb")), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
-    met = shared(nodes)
+
+    heads = rows.select("doc_id", "text_hash", "head").join(some.select("rep.doc_id", "rep.text_hash", "node", "n"), ["doc_id", "text_hash"]).dropDuplicates(["node"])
+    posted = heads.select("node", "n", F.posexplode("head").alias("place", "shingle"))
+    same = Window.partitionBy("shingle")
+    known = posted.withColumns({"least": F.min(F.struct("node", "n")).over(same), "greatest": F.max("node").over(same)})
+    met = save(known.where("least.node <> greatest").drop("greatest"), "shared")
     fits = F.least("n", "least.n") >= F.lit(similarity) * F.greatest("n", "least.n") - 1e-9
-    stars = met.where(fits).select(F.col("node").alias("a"), F.col("least.node").alias("b"))
-    first = equal.unionByName(across).unionByName(stars).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = save(similar_pairs(docs, save(first, "pairs"), words, similarity), "similar")
+    held = met.where(fits & (F.col("node") != F.col("least.node"))).groupBy("node", "n", F.col("least.node").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    best = held.groupBy("node", "n").agg(F.max(F.struct("c", "b")).alias("best")).where("20 * best.c >= n")
+    first = equal.unionByName(across).unionByName(best.select(F.col("node").alias("a"), F.col("best.b").alias("b"))).where("a <> b")
+    first = save(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
+    edges = save(similar_pairs(docs, nodes, first, words, similarity), "similar")
     placed = save(components(edges), "placed")
 
-    def labelled(met: DataFrame) -> DataFrame:
-        return met.select("shingle", "node", "n", "place").join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
-
-    rest = save(apart_pairs(labelled(met), similarity, block), "pairs")
-    groups = components(edges.unionByName(similar_pairs(docs, rest, words, similarity)))
-    named = rows.select("doc_id", "fp", "text_key").join(nodes.select("fp", "text_key", "node", "copies"), ["fp", "text_key"]).join(groups, "node", "left")
-    return named.where("component is not null or copies > 1").select("doc_id", F.coalesce("component", "node").alias("group_id"))
+    labelled = met.select("shingle", "node", "n", "place").join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rest = save(may_be_similar(apart_pairs(labelled, similarity, block), nodes, similarity), "pairs")
+    groups = components(edges.unionByName(similar_pairs(docs, nodes, rest, words, similarity)))
+    named = small.select("doc_id", "text_hash", "node").join(nodes.select("node", "copies"), "node").join(groups, "node", "left").where("component is not null or copies > 1")
+    named = save(named.select("doc_id", "text_hash", F.coalesce("component", "node").alias("component")), "named")
+    firsts = named.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    return named.join(firsts, "component").select("doc_id", "text_hash", F.col("first.doc_id").alias("group_id"), (F.struct("doc_id", "text_hash") == F.col("first")).alias("stays"))
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """`docs` without the documents of a near-duplicate group but the one of smallest doc_id. Rows with a null doc_id stay; rows that share a doc_id stay or go together."""
-    gone = near_duplicate_groups(docs, **options).where("doc_id <> group_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(save(gone, "gone"), docs["doc_id"] == F.col("gone_id"), "left_anti")
+    """`docs` without the documents of a near-duplicate group but its first by doc_id. Rows with a null doc_id stay."""
+    gone_id, gone_text = unused("gone_id", docs), unused("gone_text", docs)
+    gone = near_duplicate_groups(docs, **options).where("not stays").select(F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_text)).distinct()
+    return docs.join(save(gone, "gone"), (docs["doc_id"].cast("long") == F.col(gone_id)) & (F.xxhash64(docs["text"]) == F.col(gone_text)), "left_anti")
