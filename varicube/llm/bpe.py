@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varicube.llm.common import arrow_rows
+from varicube.llm.common import sliced
 
 REMEMBERED = 400_000  # words whose ids a task keeps; it starts anew beyond that
 
@@ -81,7 +81,6 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     JVM's Unicode tables do not know is cut by the `regex` library instead, whose tables are newer.
     """
     spark = docs.sparkSession
-    arrow_rows(spark, 256)
     shared = spark.sparkContext.broadcast(ranks)
     text = F.coalesce(F.col(text_col), F.lit(""))
     odd = text.rlike(r"\p{Cn}")
@@ -94,7 +93,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     def run(batches):
         ranks, known = shared.value, {}
         split = regex.compile(pattern)
-        for batch in batches:
+        for batch in sliced(batches, 256):
             words, odd = batch.column("words"), batch.column("odd")
             if odd.null_count < len(odd):
                 words = pa.array([w if o is None else split.findall(o) for w, o in zip(words.to_pylist(), odd.to_pylist())], pa.list_(pa.string()))
@@ -131,7 +130,7 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
     def run(batches):
         token_bytes = pa.array(shared.value, pa.binary())
-        for batch in batches:
+        for batch in sliced(batches, 256):
             ids = batch.column("ids")
             offsets = ids.offsets.to_numpy()
             flat = token_bytes.take(ids.values.slice(offsets[0], offsets[-1] - offsets[0]))

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from varicube.llm.common import arrow_rows, save
+from varicube.llm.common import save, sliced, unused
 
 #: A random 32-bit word for each value of a character's low byte (mixed with its next byte).
 GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -45,60 +45,67 @@ def boundaries(text: np.ndarray, bits: int, least: int, most: int) -> list[int]:
 
 
 def chunks(docs: DataFrame, bits: int = 5, least: int = 12, most: int = 256) -> DataFrame:
-    """(doc_id, start, size, d1, d2) of each chunk of each text, in code points, with its 128-bit digest. Null and empty texts have none, nor have null ids."""
-    arrow_rows(docs.sparkSession, 512)
+    """(doc_id, text_key, start, size, d1, d2) of each chunk of each text, in code points, with its 128-bit digest; text_key tells texts of one id apart.
+
+    Null and empty texts have none, nor have null ids.
+    """
 
     def run(batches):
-        for pdf in batches:
-            ids, starts, sizes, digests = [], [], [], []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+        for pdf in sliced(batches):
+            ids, keys, starts, sizes, digests = [], [], [], [], []
+            for doc_id, key, text in zip(pdf["doc_id"], pdf["text_key"], pdf["text"]):
                 if not text:
                     continue
                 raw = text.encode("utf-32-le", "surrogatepass")
                 ends = boundaries(np.frombuffer(raw, np.uint32), bits, least, most)
                 begins = [0, *ends[:-1]]
                 ids.append(np.full(len(ends), doc_id, np.int64))
+                keys.append(np.full(len(ends), key, np.int64))
                 starts += begins
                 sizes += [e - b for b, e in zip(begins, ends)]
                 digests += [xxhash.xxh3_128_digest(raw[4 * b : 4 * e]) for b, e in zip(begins, ends)]
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            yield pd.DataFrame({"doc_id": np.concatenate(ids) if ids else np.empty(0, np.int64), "start": np.array(starts, np.int32), "size": np.array(sizes, np.int32), "d1": halves[:, 0], "d2": halves[:, 1]})
+            yield pd.DataFrame({"doc_id": np.concatenate(ids), "text_key": np.concatenate(keys), "start": np.array(starts, np.int32), "size": np.array(sizes, np.int32), "d1": halves[:, 0], "d2": halves[:, 1]})
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and length(text) > 0")
-    return source.mapInPandas(run, "doc_id long, start int, size int, d1 long, d2 long")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text").where("doc_id is not null and length(text) > 0")
+    return source.mapInPandas(run, "doc_id long, text_key long, start int, size int, d1 long, d2 long")
 
 
 def repeated_spans(docs: DataFrame, run: int = 100, **options) -> DataFrame:
-    """(doc_id, start, end) of passages whose chunks all stand elsewhere before: in a document of smaller id, or further up.
+    """(doc_id, text_key, start, end) of passages whose chunks all stand elsewhere before: in a document of smaller id, or further up.
 
-    Of equal chunks the first by (doc_id, start) stays. Repeats that follow one another make a span; spans of fewer
-    than `run` characters are left alone, as short chunks may agree by chance. Rows that share a doc_id are one document.
+    Of equal chunks the first by (doc_id, text_key, start) stays. Repeats that follow one another make a span; spans of fewer
+    than `run` characters are left alone, as short chunks may agree by chance. Rows that share a doc_id but not the text are
+    documents of their own; rows that share both are one.
     """
     cut = chunks(docs, **options)
-    place = F.struct("doc_id", "start")
+    place = F.struct("doc_id", "text_key", "start")
     first = cut.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
-    again = cut.join(first, ["d1", "d2"]).where(place > F.col("first")).select("doc_id", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
-    by_doc = Window.partitionBy("doc_id").orderBy("start")
+    again = cut.join(first, ["d1", "d2"]).where(place > F.col("first")).select("doc_id", "text_key", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
+    by_doc = Window.partitionBy("doc_id", "text_key").orderBy("start")
     islands = again.withColumn("opens", F.coalesce(F.lag("end").over(by_doc) != F.col("start"), F.lit(True)).cast("int")).withColumn("island", F.sum("opens").over(by_doc))
-    spans = islands.groupBy("doc_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    return spans.where(F.col("end") - F.col("start") >= run).select("doc_id", "start", "end")
+    spans = islands.groupBy("doc_id", "text_key", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return spans.where(F.col("end") - F.col("start") >= run).select("doc_id", "text_key", "start", "end")
 
 
-def spans_by_document(docs: DataFrame, **options) -> DataFrame:
-    """`docs` with `spans`, array<struct<start, end>> in order, empty where nothing repeats."""
-    spans = repeated_spans(docs, **options).groupBy(F.col("doc_id").alias("span_id")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+def spans_by_document(docs: DataFrame, into: str = "spans", **options) -> DataFrame:
+    """`docs` with the column `into`, array<struct<start, end>> in order, empty where nothing repeats; a column of that name is replaced."""
+    span_id, span_key, found = (unused(c, docs) for c in ("span_id", "span_key", "found"))
+    by_text = repeated_spans(docs, **options).groupBy(F.col("doc_id").alias(span_id), F.col("text_key").alias(span_key)).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(found))
     empty = F.filter(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))), lambda x: F.lit(False))
-    return docs.join(save(spans, "spans"), F.col("doc_id").cast("long") == F.col("span_id"), "left").drop("span_id").withColumn("spans", F.coalesce("spans", empty))
+    same = (docs["doc_id"].cast("long") == F.col(span_id)) & (F.xxhash64(docs["text"]) == F.col(span_key))
+    return docs.join(save(by_text, "spans"), same, "left").withColumn(into, F.coalesce(found, empty)).drop(span_id, span_key, found)
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
     """`docs` with the repeated passages cut out of `text`."""
-    found = spans_by_document(docs, **options)
+    spans = unused("spans", docs)
+    found = spans_by_document(docs, spans, **options)
     text, state = F.col("text"), "struct<pos:int,text:string>"
     zero = F.struct(F.lit(0).alias("pos"), F.lit("").alias("text")).cast(state)
     kept = F.aggregate(
-        "spans", zero,
+        spans, zero,
         lambda acc, s: F.struct(s["end"].alias("pos"), F.concat(acc["text"], F.substring(text, acc["pos"] + 1, s["start"] - acc["pos"])).alias("text")).cast(state),
         lambda acc: F.concat(acc["text"], F.substring(text, acc["pos"] + 1, F.length(text))),
     )
-    return found.withColumn("text", F.when(F.size("spans") > 0, kept).otherwise(text)).drop("spans")
+    return found.withColumn("text", F.when(F.size(spans) > 0, kept).otherwise(text)).drop(spans)

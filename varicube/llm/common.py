@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varicube.functions.storage import stored as save
+
 MASK64 = (1 << 64) - 1
 
 
@@ -17,29 +15,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset (tests, one machine), one of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp" if os.path.isdir("/tmp") else None)
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def save(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read again: cuts the lineage and outlives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def arrow_rows(spark: SparkSession, rows: int) -> None:
-    """Rows of an Arrow batch: few for whole texts, as a batch has to fit in a Python worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def sliced(batches, rows: int = 512):
+    """Frames or record batches in slices of at most `rows` rows. Spark bounds a batch by bytes; what a task builds for its rows is bounded by this."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows) if hasattr(batch, "slice") else batch.iloc[at : at + rows]
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """`name`, with as many underscores as it takes to be no column of the frames (names are compared without case, as Spark does)."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def in_blocks(df: DataFrame, keys: list[str], node: str, rows: int) -> tuple[DataFrame, int]:

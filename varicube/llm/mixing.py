@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varicube.llm.common import arrow_rows, save
+from varicube.llm.common import save, sliced, unused
 from varicube.llm.features import features, fit_softmax, posteriors
 
 #: The share of tokens that each domain shall have.
@@ -17,16 +17,16 @@ TARGETS = {"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1}
 
 
 def fit_domains(labelled: DataFrame, domains: list[str], sample: int) -> np.ndarray | None:
-    """Weights of a softmax over hashed features, fitted in one task to at most about `sample` labelled rows a domain, chosen by the hash of their ids. None without labelled rows."""
+    """Weights of a softmax over hashed features, fitted in one task to at most about `sample` labelled rows a domain, chosen by the hash of their ids and texts, never over twice as many. None without labelled rows."""
     known = labelled.where(F.col("domain").isin(domains))
     sizes = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a domain
     if not sizes:
         return None
     one_in = F.coalesce(*[F.when(F.col("domain") == d, F.lit(max(1, -(-n // sample)))) for d, n in sizes.items()])
-    chosen = known.where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), one_in) == 0)
+    chosen = known.where(F.pmod(F.xxhash64(F.lit(5), "doc_id", "text"), one_in) == 0).limit(2 * sample * len(domains))
 
     def described(batches):
-        for pdf in batches:
+        for pdf in sliced(batches):
             yield pd.DataFrame({"x": [features(t).tobytes() for t in pdf["text"]], "domain": pdf["domain"]})
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -42,11 +42,10 @@ def fit_domains(labelled: DataFrame, domains: list[str], sample: int) -> np.ndar
 
 def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int = 1_500) -> DataFrame:
     """(doc_id, tokens, p) per row: the number of words and the posterior of each domain, in the given order; uniform without labelled rows."""
-    arrow_rows(docs.sparkSession, 512)
     w = fit_domains(labelled, domains, sample)
 
     def run(batches):
-        for pdf in batches:
+        for pdf in sliced(batches):
             texts = [t or "" for t in pdf["text"]]
             p = posteriors(np.stack([features(t) for t in texts]), w) if texts and w is not None else np.full((len(texts), len(domains)), 1 / len(domains))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "tokens": [float(len(t.split())) for t in texts], "p": list(p)})
@@ -131,8 +130,9 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, **options) -> DataFrame:
-    """`docs` with each row as many times as its document's copies; rows with a null doc_id stay once."""
-    rates = mixing_rates(docs, labelled, **options).where("doc_id is not null").groupBy(F.col("doc_id").alias("rate_id")).agg(F.max("copies").alias("copies"))
-    joined = docs.join(save(rates, "copies"), docs["doc_id"] == F.col("rate_id"), "left")
-    repeated = joined.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.coalesce("copies", F.lit(1)))))
+    """`docs` with each row as many times as its document's copies; rows with a null doc_id stay once. Rows that share a doc_id have the most copies of any of them."""
+    rate_id, copies, copy = (unused(c, docs) for c in ("rate_id", "copies", "copy"))
+    rates = mixing_rates(docs, labelled, **options).where("doc_id is not null").groupBy(F.col("doc_id").alias(rate_id)).agg(F.max("copies").alias(copies))
+    joined = docs.join(save(rates, "copies"), docs["doc_id"] == F.col(rate_id), "left")
+    repeated = joined.withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.coalesce(copies, F.lit(1)))))
     return repeated.select(*docs.columns)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varicube.llm.common import arrow_rows, save
+from varicube.llm.common import save, sliced, unused
 from varicube.llm.features import features, fit_softmax, posteriors
 
 GOOD, BAD, ABSTAIN = 1, 0, -1
@@ -98,40 +98,41 @@ def buckets(row) -> tuple[int, ...]:
     return tuple(out)
 
 
-def quality_scores(docs: DataFrame, sample: int = 6_000) -> DataFrame:
-    """(doc_id, quality, keep) per row: the scorer's probability that the text is good, and whether it is at least one half.
+def quality_scores(docs: DataFrame, sample: int = 6_000, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, quality, keep) per row, with the columns `also` between: the scorer's probability that the text is good, and whether it is at least one half.
 
     Vote patterns are counted over all documents (at most 2 to the power of the number of labellers, times 3 for the one that can say
     good), EM runs over these counts. The scorer is fitted, in one task, to the posteriors of a sample of at most about `sample` documents
-    chosen by the hash of their ids, and scores every whole text. Empty and null texts have no votes and count as good, as nothing is held against them.
+    chosen by the hash of their ids and texts, never over twice as many, and scores every whole text. Empty and null texts have no votes and count as good, as
+    nothing is held against them. Repeated rows and null ids keep their rows.
     """
     spark = docs.sparkSession
-    arrow_rows(spark, 512)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *also)
 
     def measured(pdf: pd.DataFrame) -> np.ndarray:
         return np.array([measures(t) for t in pdf["text"]]).reshape(len(pdf), len(MEASURES))
 
     def cast(batches):
-        for pdf in batches:
+        for pdf in sliced(batches):
             found, n = np.unique(votes(measured(pdf)), axis=0, return_counts=True)
             yield pd.DataFrame({"votes": list(found), "n": n})
 
     patterns = texts.mapInPandas(cast, "votes array<int>, n long").groupBy("votes").agg(F.sum("n").alias("n"))
     counted = patterns.collect()  # bounded by the number of patterns
-    kind = dict(docs.dtypes)["doc_id"]
+    kinds = dict(docs.dtypes)
+    rows = ", ".join(f"`{c}` {kinds[c]}" for c in ("doc_id", *also))
     if not counted:
-        return spark.createDataFrame([], f"doc_id {kind}, quality double, keep boolean")
+        return spark.createDataFrame([], f"{rows}, quality double, keep boolean")
     total = sum(r["n"] for r in counted)
     shares, prior = fit_label_model(np.array([r["votes"] for r in counted]), np.array([r["n"] for r in counted], float))
     one_in = max(1, -(-total // sample))
-    chosen = texts.where(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(one_in)) == 0)
+    chosen = texts.where(F.pmod(F.xxhash64(F.lit(3), "doc_id", "text"), F.lit(one_in)) == 0).limit(2 * sample)
 
     def vectors(pdf: pd.DataFrame, m: np.ndarray) -> np.ndarray:
         return np.stack([features(t, buckets(r)) for t, r in zip(pdf["text"], m.tolist())])
 
     def described(batches):
-        for pdf in batches:
+        for pdf in sliced(batches):
             if len(pdf):
                 m = measured(pdf)
                 yield pd.DataFrame({"x": [r.tobytes() for r in vectors(pdf, m)], "bad": posterior_bad(votes(m), shares, prior)})
@@ -144,14 +145,16 @@ def quality_scores(docs: DataFrame, sample: int = 6_000) -> DataFrame:
     weights = np.frombuffer(fitted["w"], np.float64).reshape(-1, 2) if fitted else None
 
     def score(batches):
-        for pdf in batches:
+        for pdf in sliced(batches):
             good = posteriors(vectors(pdf, measured(pdf)), weights)[:, 1] if len(pdf) and weights is not None else np.ones(len(pdf))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": np.where((pdf["text"] == "").to_numpy(), 1.0, good)})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], **{c: pdf[c] for c in also}, "quality": np.where((pdf["text"] == "").to_numpy(), 1.0, good)})
 
-    return texts.mapInPandas(score, f"doc_id {kind}, quality double").withColumn("keep", F.col("quality") >= 0.5)
+    return texts.mapInPandas(score, f"{rows}, quality double").withColumn("keep", F.col("quality") >= 0.5)
 
 
 def keep_good(docs: DataFrame, sample: int = 6_000) -> DataFrame:
-    """`docs` without those that the classifier rejects; rows with a null doc_id stay."""
-    rejected = quality_scores(docs, sample).where("not keep and doc_id is not null").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(save(rejected, "rejected"), docs["doc_id"] == F.col("bad_id"), "left_anti")
+    """`docs` without those that the classifier rejects; rows with a null doc_id stay. Of rows that share a doc_id each is judged by its own text."""
+    bad_id, bad_text = unused("bad_id", docs), unused("bad_text", docs)
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    rejected = quality_scores(keyed, sample, ("text_hash",)).where("not keep and doc_id is not null").select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_text)).distinct()
+    return docs.join(save(rejected, "rejected"), (docs["doc_id"] == F.col(bad_id)) & (F.xxhash64(docs["text"]) == F.col(bad_text)), "left_anti")

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from varicube.llm.common import unused
+
 # The base patterns. Where a kind has a least length it is part of the pattern or asked of group 2.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
@@ -18,13 +20,14 @@ KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_mixed")
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_-"
 CANDIDATE = r"[A-Za-z0-9+/_-]{%d,}"
 
-#: Candidates that are never a secret: numbers, UUIDs, dates and paths of words, runs of the alphabet, placeholders.
+#: Candidates that are never a secret: numbers, UUIDs, dates and paths of words.
 ALLOW_LIST = (
     r"[0-9_/+-]+",
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"[a-zA-Z]*([/_-][a-zA-Z]*)*[0-9]{0,4}",
-    r"(?i).*(0123456789|abcdefghij|example|sample|placeholder|xxxxx|dummy).*",
 )
+#: Parts of a candidate that are never a secret; what stands before and after one of them is looked at on its own.
+PLACEHOLDERS = ("0123456789", "abcdefghij", "example", "sample", "placeholder", "xxxxx", "dummy")
 
 
 @dataclass(frozen=True)
@@ -37,6 +40,7 @@ class Entropy:
     digits: int = 2
     letters: int = 2
     allow_list: tuple[str, ...] = ALLOW_LIST
+    placeholders: tuple[str, ...] = PLACEHOLDERS
 
 
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
@@ -114,12 +118,13 @@ def entropy_spans(word: Column, start: Column, rule: Entropy) -> Column:
     return F.transform(let(signs, slide), lambda s: F.struct(kind.alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
 
-def secret_spans(docs: DataFrame, rule: Entropy = Entropy(), text_col: str = "text") -> DataFrame:
-    """`docs` with `spans`, array<struct<kind, start, end>>: in code points, end exclusive, by start, then by kind as in KINDS.
+def secret_spans(docs: DataFrame, rule: Entropy = Entropy(), text_col: str = "text", into: str = "spans") -> DataFrame:
+    """`docs` with the column `into`, array<struct<kind, start, end>>: in code points, end exclusive, by start, then by kind as in KINDS; a column of that name is replaced.
 
     Base kinds: assignments with a value of 8 or more characters, access keys, long hex strings. The entropy kinds
-    are windows in candidate strings that no allow-list entry fits wholly and that no base span covers. A null text has no spans.
+    are windows in candidate strings that no allow-list entry fits wholly, that hold no placeholder and that no base span covers. A null text has no spans. Ids are not looked at.
     """
+    base_col, candidate_col = unused("base", docs), unused("candidates", docs)
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.filter(F.array(F.struct(F.lit("").alias("kind"), F.lit(0).alias("start"), F.lit(0).alias("end"))), lambda x: F.lit(False))
 
@@ -128,17 +133,24 @@ def secret_spans(docs: DataFrame, rule: Entropy = Entropy(), text_col: str = "te
 
     assign = F.filter(matches(text, ASSIGN, 2), lambda m: F.length(m["word"]) >= 8)
     base = F.concat(named("assign", assign), named("access", matches(text, ACCESS)), named("hex", matches(text, HEX)))
-    with_base = docs.withColumn("__base", base)
+    with_base = docs.withColumn(base_col, base)
     allowed = "^(?:" + "|".join(f"(?:{p})" for p in rule.allow_list) + ")$"
     # a candidate has to hold a digit: most long words of prose go here, before any window is looked at
-    candidates = F.filter(matches(text, CANDIDATE % rule.window), lambda m: m["word"].rlike("[0-9]") & ~m["word"].rlike(allowed))
-    with_candidates = with_base.withColumn("__candidates", candidates)
-    added = F.flatten(F.transform("__candidates", lambda m: entropy_spans(m["word"], m["start"], rule)))
-    added = F.filter(added, lambda s: ~F.exists("__base", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))
+    plausible = lambda m: (F.length(m["word"]) >= rule.window) & m["word"].rlike("[0-9]") & ~m["word"].rlike(allowed)
+    marker = "(?i:" + "|".join(rule.placeholders) + ")"
+    between = f"{marker}|(?:(?!{marker}).)+"  # a placeholder, or all up to the next one
+    parts = lambda m: F.when(
+        m["word"].rlike(marker),
+        F.transform(matches(m["word"], between), lambda p: F.struct((m["start"] + p["start"]).alias("start"), (m["start"] + p["end"]).alias("end"), p["word"].alias("word"))),
+    ).otherwise(F.array(m))
+    candidates = F.flatten(F.transform(F.filter(matches(text, CANDIDATE % rule.window), plausible), parts))
+    with_candidates = with_base.withColumn(candidate_col, F.filter(candidates, plausible))
+    added = F.flatten(F.transform(candidate_col, lambda m: entropy_spans(m["word"], m["start"], rule)))
+    added = F.filter(added, lambda s: ~F.exists(base_col, lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))
     order = F.array(*[F.lit(k) for k in KINDS])
-    ranked = F.transform(F.concat("__base", F.when(F.size("__candidates") > 0, added).otherwise(none)), lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
+    ranked = F.transform(F.concat(base_col, F.when(F.size(candidate_col) > 0, added).otherwise(none)), lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
     spans = F.transform(F.array_sort(ranked), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return with_candidates.withColumn("spans", spans).drop("__base", "__candidates")
+    return with_candidates.withColumn(into, spans).drop(base_col, candidate_col)
 
 
 def written(spans: Column) -> Column:
@@ -148,7 +160,8 @@ def written(spans: Column) -> Column:
 
 def redact(docs: DataFrame, rule: Entropy = Entropy(), mark: str = "[SECRET]") -> DataFrame:
     """`docs` with each secret span of `text` replaced by a mark, overlapping spans by one; n_chars follows. Other rows are as they were."""
-    found = secret_spans(docs, rule)
+    spans = unused("spans", docs)
+    found = secret_spans(docs, rule, into=spans)
     text = F.col("text")
     state = "struct<pos:int,text:string>"
 
@@ -158,6 +171,6 @@ def redact(docs: DataFrame, rule: Entropy = Entropy(), mark: str = "[SECRET]") -
         return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), F.when(inside, acc["text"]).otherwise(F.concat(acc["text"], between, F.lit(mark))).alias("text")).cast(state)
 
     zero = F.struct(F.lit(0).alias("pos"), F.lit("").alias("text")).cast(state)
-    cleaned = F.aggregate("spans", zero, add, lambda acc: F.concat(acc["text"], F.substring(text, acc["pos"] + 1, F.length(text))))
-    done = found.withColumn("text", F.when(F.size("spans") > 0, cleaned).otherwise(text)).drop("spans")
+    cleaned = F.aggregate(spans, zero, add, lambda acc: F.concat(acc["text"], F.substring(text, acc["pos"] + 1, F.length(text))))
+    done = found.withColumn("text", F.when(F.size(spans) > 0, cleaned).otherwise(text)).drop(spans)
     return done.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else done

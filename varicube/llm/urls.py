@@ -46,19 +46,22 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.filter(F.concat(*parts), lambda x: x.isNotNull() & (x != "host:")))
 
 
-def mine_rules(urls: DataFrame, labels: DataFrame, least_support: float = 0.002, least_confidence: float = 0.6, longest: int = 4) -> DataFrame:
+def mine_rules(urls: DataFrame, labels: DataFrame, least_support: float = 0.002, least_count: int = 20, least_confidence: float = 0.6, least_lift: float = 1.5) -> DataFrame:
     """(rule_id, items, confidence, support) of token combinations that imply a bad label.
 
-    urls: key, items; labels: key, bad (boolean; null rows are left out). FP-growth mines all labelled urls. A rule is dropped if a rule on
-    part of its tokens has as high a confidence. No labelled url, or none that is bad, gives no rule.
+    urls: key, items; labels: key, bad (boolean; null rows are left out). FP-growth mines all labelled urls; a url with several labels counts once and is
+    bad if one of them is. A rule has to fit a share `least_support` of the labelled urls and `least_count` of them, be right in `least_confidence` of these, and
+    `least_lift` times as often as a guess. A rule is dropped if a rule on part of its tokens has as high a confidence. No labelled url, or none that is bad, gives no rule.
     """
     spark = urls.sparkSession
-    baskets = urls.join(labels.where("bad is not null"), "key").select(F.concat("items", F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array(F.lit("=good")))).alias("items"))
+    marks = labels.where("bad is not null").groupBy("key").agg(F.max("bad").alias("bad"))
+    baskets = urls.join(marks, "key").select(F.concat("items", F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array(F.lit("=good")))).alias("items"))
     baskets = save(baskets, "baskets")
-    if baskets.isEmpty():
+    n = baskets.count()
+    if n < least_count:
         return spark.createDataFrame([], "rule_id long, items array<string>, confidence double, support double")
-    found = FPGrowth(itemsCol="items", minSupport=least_support, minConfidence=least_confidence).fit(baskets).associationRules
-    found = found.where(F.col("consequent") == F.array(F.lit(BAD))).where((F.size("antecedent") <= longest) & ~F.array_contains("antecedent", "=good"))
+    found = FPGrowth(itemsCol="items", minSupport=max(least_support, least_count / n), minConfidence=least_confidence).fit(baskets).associationRules
+    found = found.where(F.col("consequent") == F.array(F.lit(BAD))).where((F.col("lift") >= least_lift) & ~F.array_contains("antecedent", "=good"))
     rules = save(found.select(F.xxhash64(F.array_sort("antecedent")).alias("rule_id"), F.array_sort("antecedent").alias("items"), "confidence", "support"), "rules")
     # a part of a rule shares its items: rules meet through the part's items, and all of them have to be there
     part = rules.select(F.col("rule_id").alias("part_id"), F.col("confidence").alias("part_confidence"), F.size("items").alias("part_size"), F.explode("items").alias("item"))
@@ -82,7 +85,8 @@ def url_verdicts(pages: DataFrame, labels: DataFrame, rules=RULES, **options) ->
     """(page_id, host, path, rule, verdict, n_rules) per row of `pages`.
 
     The longest fixed rule that fits decides; else the url is blocked if it matches a mined rule and allowed if not. labels: page_id, bad.
-    Urls are matched once each, however many pages have them. A null url has empty host and path and is allowed.
+    Urls are matched once each, however many pages have them; a repeated page id keeps its rows, and all its labels mark its urls. A null url has empty host and path and
+    is allowed; a null page id has no label.
     """
     url = F.coalesce("url", F.lit(""))
     host, path = host_and_path(url)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from varicube.llm.common import Forest, arrow_rows, components, dealt_to, groups_for, in_blocks, pairs_within, save, shuffle_partitions
+from varicube.llm.common import Forest, sliced, components, dealt_to, groups_for, in_blocks, pairs_within, save, shuffle_partitions
 
 
 def finite(col: str = "embedding"):
@@ -93,7 +93,6 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, tables: int | None = No
     links at cosine `least` that is missed stays the same. A probe goes on only if its bucket is another row's own.
     """
     spark = vectors.sparkSession
-    arrow_rows(spark, 5_000)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(F.col("embedding").cast("array<double>"), lambda x: x + F.lit(0.0)).alias("embedding"))  # no -0.0
     valid = rows.where(finite()).where(F.exists("embedding", lambda x: x != 0.0))
     members = save(valid.withColumn("node", F.xxhash64("embedding")), "vectors")  # one key for equal vectors
@@ -109,7 +108,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, tables: int | None = No
     real = np.float32 if dict(vectors.dtypes)["embedding"] == "array<float>" else np.float64  # no loss: the source's own width
 
     def hashed(batches):
-        for pdf in batches:
+        for pdf in sliced(batches, 5_000):
             x = padded(list(pdf["embedding"]), width)
             codes = cross_polytope(x / np.linalg.norm(x / np.abs(x).max(1, keepdims=True), axis=1, keepdims=True) / np.abs(x).max(1, keepdims=True), seed, tables, hashes, probes)
             yield pd.DataFrame({"node": pdf["node"], "copies": pdf["copies"], "vector": [v.tobytes() for v in x.astype(real)], "codes": [c.tobytes() for c in codes.astype(code_type)], "slots": list(codes.reshape(len(x), -1))})
@@ -173,6 +172,8 @@ def accumulated(q: np.ndarray, c: np.ndarray, tile: int = 128):
     of the term, into a dense array of scores. 32-bit integers where no score can exceed them.
     """
     bound = (int(np.abs(q).max(initial=0)) * int(np.abs(c).max(initial=0))) * max(1, q.shape[1])
+    if bound >= 1 << 63:
+        raise OverflowError("scores may exceed 64 bits")
     kind = np.int32 if bound < 2**31 else np.int64
     q, c = q.astype(kind), c.astype(kind)
     postings = [np.flatnonzero(c[:, t]) for t in range(c.shape[1])]
@@ -194,10 +195,10 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, block: int = 4
 
     Both frames have vec_id and weights (array<long>); a shorter array is padded with zeros. Every block of queries
     meets every block of candidates in one group, which returns k rows a query; a second selection merges them. A query
-    never meets rows of its own vec_id. Null ids and null weights take no part; repeated candidate rows each count.
+    never meets rows of its own vec_id. Null ids and null weights take no part; repeated candidate rows each count, and each repeated query row has
+    its own places. Weights so large that a score might not fit in 64 bits raise an error.
     """
     spark = candidates.sparkSession
-    arrow_rows(spark, 5_000)
     sides = []
     for df in (queries, candidates):
         sides.append(save(df.select("vec_id", "weights").where("vec_id is not null and weights is not null"), "weights"))
