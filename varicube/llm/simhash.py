@@ -226,7 +226,7 @@ def sketches(docs: DataFrame, words: int, similarity: float, late: np.ndarray) -
 
 def common_shingles(docs: DataFrame, words: int, crowd: int) -> np.ndarray:
     """The shingles, at most 500,000, that some `crowd` texts hold by a count in a sample of the documents, sorted. They only serve to order a set's shingles."""
-    one_in = min(50, max(1, docs.count() // 10_000))
+    one_in = max(1, crowd // 8)
 
     def run(batches):
         for pdf in sliced(batches):
@@ -235,20 +235,24 @@ def common_shingles(docs: DataFrame, words: int, crowd: int) -> np.ndarray:
 
     some = docs.where(F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(one_in)) == 0)
     counted = some.select("text").mapInPandas(run, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("c"))
-    most = counted.where(F.col("c") > max(4, crowd // one_in)).orderBy(F.desc("c"), "shingle").limit(500_000).select("shingle").toPandas()
+    most = counted.where(F.col("c") > crowd // one_in).orderBy(F.desc("c"), "shingle").limit(500_000).select("shingle").toPandas()
     return np.sort(most["shingle"].to_numpy(np.int64))
 
 
-def similar_pairs(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The rows (a, b) of `pairs` of nodes whose texts have a Jaccard similarity of `similarity` or more."""
+def shingle_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of the nodes in `pairs`."""
 
     def shingles(batches):
         for pdf in sliced(batches):
             yield pd.DataFrame({"node": pdf["node"], "shingles": [np.unique(shingle_hashes(t, words)).view(np.int64) for t in pdf["text"]]})
 
-    wanted = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "rep.doc_id", "rep.text_hash")
+    wanted = nodes.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node", "left_semi").select("node", "rep.doc_id", "rep.text_hash")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["node"])
-    sets = save(texts.select("node", "text").mapInPandas(shingles, "node long, shingles array<long>"), "shingles")
+    return save(texts.select("node", "text").mapInPandas(shingles, "node long, shingles array<long>"), "shingles")
+
+
+def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The rows (a, b) of `pairs` of nodes whose sets have a Jaccard similarity of `similarity` or more."""
     met = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     both = met.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("both"))
     return both.where(F.col("both") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
@@ -301,15 +305,15 @@ def may_be_similar(pairs: DataFrame, nodes: DataFrame, similarity: float) -> Dat
     tail = {x: F.ceil(F.lit(similarity) * F.col(f"n{x}") - 1e-9) - 1 for x in ("a", "b")}
     most = F.col("c") + F.when(F.col("last_a") <= F.col("last_b"), tail["a"]).otherwise(tail["b"])
     sized = pairs.join(sides[0], "a").join(sides[1], "b").withColumn("most", most)
-    return sized.where(F.col("most") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("most")) - 1e-9).select("a", "b")
+    return sized.where(F.col("most") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("most")) - 1e-9).select("a", "b", "c")
 
 
-def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, budget: int = 2, rings: int = 1, block: int = 256, crowd: int = 40) -> DataFrame:
+def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, budget: int = 2, rings: int = 1, block: int = 256, crowd: int = 40, orders: int = 3) -> DataFrame:
     """(doc_id, text_hash, group_id, stays) of documents whose word shingles have a Jaccard similarity of `similarity` or more, linked transitively.
 
     Candidates are pairs that share a shingle of their heads (see head_size()), which no similar pair fails to do. First each text is compared with
-    the text that is smallest, by a hash, among the holders of most of its head's shingles, and with those the trie join of SimHashes links to it; components of
-    verified links follow. Then all pairs of candidates whose components still differ are compared, so nothing is missed and a large group is not compared
+    the first of the holders of its head's shingles by `orders` hashes, if they share many, and with those the trie join of SimHashes links to it; components of
+    verified links follow. Then all pairs of candidates whose components still differ are looked at: first each text's likeliest one is compared, then those that are still apart, so nothing is missed and a large group is not compared
     all with all. Before texts are compared, pairs go that share too few of the heads' shingles to be similar (see may_be_similar()). Shingles
     that over `crowd` texts or so hold, by a sample, are put last in every set's order beforehand; the order has no bearing on the result. Equal texts
     form one node. Texts without words are linked only with each other. Null ids take no part. Rows that share a doc_id but not the text are documents of
@@ -329,19 +333,25 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0
     heads = rows.select("doc_id", "text_hash", "head").join(some.select("rep.doc_id", "rep.text_hash", "node", "n"), ["doc_id", "text_hash"]).dropDuplicates(["node"])
     posted = heads.select("node", "n", F.posexplode("head").alias("place", "shingle"))
     same = Window.partitionBy("shingle")
-    known = posted.withColumns({"least": F.min(F.struct("node", "n")).over(same), "greatest": F.max("node").over(same)})
-    met = save(known.where("least.node <> greatest").drop("greatest"), "shared")
-    fits = F.least("n", "least.n") >= F.lit(similarity) * F.greatest("n", "least.n") - 1e-9
-    held = met.where(fits & (F.col("node") != F.col("least.node"))).groupBy("node", "n", F.col("least.node").alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    best = held.groupBy("node", "n").agg(F.max(F.struct("c", "b")).alias("best")).where("20 * best.c >= n")
-    first = equal.unionByName(across).unionByName(best.select(F.col("node").alias("a"), F.col("best.b").alias("b"))).where("a <> b")
+    centers = {f"center_{k}": F.min(F.struct(F.xxhash64(F.lit(k), "node").alias("h"), "node", "n")).over(same) for k in range(orders)}
+    known = posted.withColumns({**centers, "lo": F.min("node").over(same), "hi": F.max("node").over(same)})
+    met = save(known.where("lo <> hi").drop("lo", "hi"), "shared")
+    held = met.select("node", "n", F.explode(F.array_distinct(F.array(*[F.struct(f"{c}.node", f"{c}.n") for c in centers]))).alias("center"))
+    held = held.where(F.least("n", "center.n") >= F.lit(similarity) * F.greatest("n", "center.n") - 1e-9).where("node <> center.node")
+    stars = held.groupBy("node", "n", F.col("center.node").alias("b")).agg(F.count(F.lit(1)).alias("c")).where("20 * c >= n")
+    first = equal.unionByName(across).unionByName(stars.select(F.col("node").alias("a"), "b")).where("a <> b")
     first = save(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
-    edges = save(similar_pairs(docs, nodes, first, words, similarity), "similar")
+    edges = save(similar_pairs(first, shingle_sets(docs, nodes, first, words), similarity), "similar")
     placed = save(components(edges), "placed")
-
     labelled = met.select("shingle", "node", "n", "place").join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rest = save(may_be_similar(apart_pairs(labelled, similarity, block), nodes, similarity), "pairs")
-    groups = components(edges.unionByName(similar_pairs(docs, nodes, rest, words, similarity)))
+    sets = shingle_sets(docs, nodes, rest, words)
+    likely = rest.groupBy("a").agg(F.max(F.struct("c", "b")).alias("x")).select("a", "x.b").union(rest.groupBy("b").agg(F.max(F.struct("c", "a")).alias("x")).select("x.a", "b")).distinct()
+    edges = save(edges.unionByName(similar_pairs(likely, sets, similarity)), "similar")
+    placed = save(components(edges), "placed")
+    ends = [placed.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in ("a", "b")]
+    apart = rest.join(ends[0], "a", "left").join(ends[1], "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+    groups = components(edges.unionByName(similar_pairs(save(apart, "pairs"), sets, similarity)))
     named = small.select("doc_id", "text_hash", "node").join(nodes.select("node", "copies"), "node").join(groups, "node", "left").where("component is not null or copies > 1")
     named = save(named.select("doc_id", "text_hash", F.coalesce("component", "node").alias("component")), "named")
     firsts = named.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
