@@ -6,8 +6,10 @@ import warnings
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from varicube.llm.common import save, sliced, unused
 from varicube.llm.features import features, fit_softmax, posteriors
@@ -36,27 +38,28 @@ def fit_domains(labelled: DataFrame, domains: list[str], sample: int) -> np.ndar
         y /= y.sum(1, keepdims=True)
         return pd.DataFrame({"w": [fit_softmax(x, y).tobytes()]})
 
-    fitted = chosen.select("text", "domain").mapInPandas(described, "x binary, domain string").groupBy().applyInPandas(train, "w binary").first()
-    return np.frombuffer(fitted["w"], np.float64).reshape(-1, len(domains)) if fitted else None
+    weights = chosen.select("text", "domain").mapInPandas(described, "x binary, domain string").groupBy().applyInPandas(train, "w binary").first()
+    return np.frombuffer(weights["w"], np.float64).reshape(-1, len(domains)) if weights else None
 
 
-def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int = 1_500) -> DataFrame:
-    """(doc_id, tokens, p) per row: the number of words and the posterior of each domain, in the given order; uniform without labelled rows."""
-    w = fit_domains(labelled, domains, sample)
+def with_posteriors(docs: DataFrame, w: np.ndarray | None, domains: list[str], tokens: str, p: str) -> DataFrame:
+    """`docs` with the columns `tokens`, the number of words of each row's text, and `p`, the posteriors of the domains in the given order; uniform without weights."""
+    text_at = [c.lower() for c in docs.columns].index("text")
 
     def run(batches):
-        for pdf in sliced(batches):
-            texts = [t or "" for t in pdf["text"]]
-            p = posteriors(np.stack([features(t) for t in texts]), w) if texts and w is not None else np.full((len(texts), len(domains)), 1 / len(domains))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "tokens": [float(len(t.split())) for t in texts], "p": list(p)})
+        for batch in sliced(batches):
+            texts = ["" if t is None else t for t in batch.column(text_at).to_pylist()]
+            found = posteriors(np.stack([features(t) for t in texts]), w) if texts and w is not None else np.full((len(texts), len(domains)), 1 / len(domains))
+            added = [pa.array([float(len(t.split())) for t in texts], pa.float64()), pa.array(list(found.astype(float)), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, tokens, p])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, tokens double, p array<double>")
+    schema = StructType([*docs.schema.fields, StructField(tokens, DoubleType()), StructField(p, ArrayType(DoubleType()))])
+    return docs.mapInArrow(run, schema)
 
 
-def rate(steps: list[np.ndarray]) -> Column:
+def rate(steps: list[np.ndarray], posterior: str = "p") -> Column:
     """A document's rate after the gradient steps so far: from one, less its posterior's product with each step, never below zero."""
-    p = F.col("p")
+    p = F.col(posterior)
     out = F.lit(1.0)
     if not steps:
         return out
@@ -113,26 +116,38 @@ def fit_rates(table: DataFrame, targets: list[float], rounds: int = 60, toleranc
     return steps, now, wanted
 
 
+def fitted(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], sample: int, rounds: int) -> tuple[np.ndarray | None, DataFrame, list[np.ndarray]]:
+    """The classifier's weights, the table (doc_id, tokens, p) and the steps of its rates."""
+    domains = list(targets)
+    w = fit_domains(labelled, domains, sample)
+    table = save(with_posteriors(docs.select("doc_id", "text"), w, domains, "tokens", "p").drop("text"), "posteriors")
+    steps, _, _ = fit_rates(table, [targets[d] for d in domains], rounds)
+    return w, table, steps
+
+
+def whole(rate_: Column) -> Column:
+    """A rate, rounded up or down by the hash of the id, so that the copies are the rate on average."""
+    u = F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return F.floor(rate_ + u).cast("int")
+
+
 def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, sample: int = 1_500, rounds: int = 60) -> DataFrame:
     """(doc_id, tokens, domain, posterior, rate, copies) per row of `docs`.
 
-    labelled: doc_id, text, domain. domain and posterior: the likeliest domain and its share. copies: the rate, rounded up or down
-    by the hash of the id, so that copies are the rate on average. Empty texts have no tokens and a rate by their posterior.
+    labelled: doc_id, text, domain. domain and posterior: the likeliest domain and its share. Empty and null texts have no tokens and a rate by
+    their posterior. Repeated and null ids keep their rows, each judged by its own text.
     """
-    domains = list(targets)
-    table = save(domain_posteriors(docs, labelled, domains, sample), "posteriors")
-    steps, _, _ = fit_rates(table, [targets[d] for d in domains], rounds)
-    names = F.array(*[F.lit(d) for d in domains])
-    u = F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    _, table, steps = fitted(docs, labelled, targets, sample, rounds)
+    names = F.array(*[F.lit(d) for d in targets])
     rated = table.withColumn("rate", rate(steps))
     best = F.array_max("p")
-    return rated.select("doc_id", F.col("tokens").cast("long").alias("tokens"), F.element_at(names, F.array_position("p", best).cast("int")).alias("domain"), best.alias("posterior"), "rate", F.floor(F.col("rate") + u).cast("int").alias("copies"))
+    return rated.select("doc_id", F.col("tokens").cast("long").alias("tokens"), F.element_at(names, F.array_position("p", best).cast("int")).alias("domain"), best.alias("posterior"), "rate", whole(F.col("rate")).alias("copies"))
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, **options) -> DataFrame:
-    """`docs` with each row as many times as its document's copies; rows with a null doc_id stay once. Rows that share a doc_id have the most copies of any of them."""
-    rate_id, copies, copy = (unused(c, docs) for c in ("rate_id", "copies", "copy"))
-    rates = mixing_rates(docs, labelled, **options).where("doc_id is not null").groupBy(F.col("doc_id").alias(rate_id)).agg(F.max("copies").alias(copies))
-    joined = docs.join(save(rates, "copies"), docs["doc_id"] == F.col(rate_id), "left")
-    repeated = joined.withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.coalesce(copies, F.lit(1)))))
-    return repeated.select(*docs.columns)
+def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, sample: int = 1_500, rounds: int = 60) -> DataFrame:
+    """`docs` with each row as many times as its copies (see mixing_rates()); rows with a null doc_id stay once. Posteriors are taken anew in the writing pass, so no text is shuffled."""
+    w, _, steps = fitted(docs, labelled, targets, sample, rounds)
+    tokens, p, copy = (unused(c, docs) for c in ("tokens", "p", "copy"))
+    rated = with_posteriors(docs, w, list(targets), tokens, p)
+    copies = F.when(F.col("doc_id").isNull(), 1).otherwise(whole(rate(steps, p)))
+    return rated.withColumn(copy, F.explode(F.array_repeat(F.lit(1), copies))).select(*docs.columns)

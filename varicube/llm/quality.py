@@ -6,10 +6,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from varicube.llm.common import save, sliced, unused
+from varicube.llm.common import sliced, unused
 from varicube.llm.features import features, fit_softmax, posteriors
 
 GOOD, BAD, ABSTAIN = 1, 0, -1
@@ -98,16 +100,14 @@ def buckets(row) -> tuple[int, ...]:
     return tuple(out)
 
 
-def quality_scores(docs: DataFrame, sample: int = 6_000, also: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, quality, keep) per row, with the columns `also` between: the scorer's probability that the text is good, and whether it is at least one half.
+def fitted_scorer(docs: DataFrame, sample: int):
+    """A function from texts to the scorer's probabilities that they are good; None for an empty table.
 
     Vote patterns are counted over all documents (at most 2 to the power of the number of labellers, times 3 for the one that can say
     good), EM runs over these counts. The scorer is fitted, in one task, to the posteriors of a sample of at most about `sample` documents
-    chosen by the hash of their ids and texts, never over twice as many, and scores every whole text. Empty and null texts have no votes and count as good, as
-    nothing is held against them. Repeated rows and null ids keep their rows.
+    chosen by the hash of their ids and texts, never over twice as many.
     """
-    spark = docs.sparkSession
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *also)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
     def measured(pdf: pd.DataFrame) -> np.ndarray:
         return np.array([measures(t) for t in pdf["text"]]).reshape(len(pdf), len(MEASURES))
@@ -119,10 +119,8 @@ def quality_scores(docs: DataFrame, sample: int = 6_000, also: tuple[str, ...] =
 
     patterns = texts.mapInPandas(cast, "votes array<int>, n long").groupBy("votes").agg(F.sum("n").alias("n"))
     counted = patterns.collect()  # bounded by the number of patterns
-    kinds = dict(docs.dtypes)
-    rows = ", ".join(f"`{c}` {kinds[c]}" for c in ("doc_id", *also))
     if not counted:
-        return spark.createDataFrame([], f"{rows}, quality double, keep boolean")
+        return None
     total = sum(r["n"] for r in counted)
     shares, prior = fit_label_model(np.array([r["votes"] for r in counted]), np.array([r["n"] for r in counted], float))
     one_in = max(1, -(-total // sample))
@@ -144,17 +142,40 @@ def quality_scores(docs: DataFrame, sample: int = 6_000, also: tuple[str, ...] =
     fitted = chosen.mapInPandas(described, "x binary, bad double").groupBy().applyInPandas(train, "w binary").first()
     weights = np.frombuffer(fitted["w"], np.float64).reshape(-1, 2) if fitted else None
 
-    def score(batches):
-        for pdf in sliced(batches):
-            good = posteriors(vectors(pdf, measured(pdf)), weights)[:, 1] if len(pdf) and weights is not None else np.ones(len(pdf))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], **{c: pdf[c] for c in also}, "quality": np.where((pdf["text"] == "").to_numpy(), 1.0, good)})
+    def good(texts: list[str]) -> np.ndarray:
+        if not texts or weights is None:
+            return np.ones(len(texts))
+        pdf = pd.DataFrame({"text": texts})
+        return np.where((pdf["text"] == "").to_numpy(), 1.0, posteriors(vectors(pdf, measured(pdf)), weights)[:, 1])
+
+    return good
+
+
+def scored(docs: DataFrame, sample: int, name: str) -> DataFrame:
+    """`docs` with the column `name`, the quality of each row's text."""
+    good = fitted_scorer(docs, sample)
+    if good is None:
+        return docs.withColumn(name, F.lit(1.0))
+    text_at = [c.lower() for c in docs.columns].index("text")
+
+    def run(batches):
+        for batch in sliced(batches):
+            texts = ["" if t is None else t for t in batch.column(text_at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(good(texts), pa.float64())], [*batch.schema.names, name])
 
-    return texts.mapInPandas(score, f"{rows}, quality double").withColumn("keep", F.col("quality") >= 0.5)
+    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
+    return docs.mapInArrow(run, schema)
+
+
+def quality_scores(docs: DataFrame, sample: int = 6_000) -> DataFrame:
+    """(doc_id, quality, keep) per row: the scorer's probability that the text is good (see fitted_scorer()), and whether it is at least one half.
+
+    Every whole text is scored. Empty and null texts have no votes and count as good, as nothing is held against them. Repeated rows and null ids keep their rows.
+    """
+    return scored(docs.select("doc_id", "text"), sample, "quality").select("doc_id", "quality", (F.col("quality") >= 0.5).alias("keep"))
 
 
 def keep_good(docs: DataFrame, sample: int = 6_000) -> DataFrame:
-    """`docs` without those that the classifier rejects; rows with a null doc_id stay. Of rows that share a doc_id each is judged by its own text."""
-    bad_id, bad_text = unused("bad_id", docs), unused("bad_text", docs)
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    rejected = quality_scores(keyed, sample, ("text_hash",)).where("not keep and doc_id is not null").select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_text)).distinct()
-    return docs.join(save(rejected, "rejected"), (docs["doc_id"] == F.col(bad_id)) & (F.xxhash64(docs["text"]) == F.col(bad_text)), "left_anti")
+    """`docs` without the rows that the classifier rejects, each judged by its own text; ids are not looked at. One pass, without a join."""
+    name = unused("quality", docs)
+    return scored(docs, sample, name).where(F.col(name) >= 0.5).select(*docs.columns)
