@@ -26,11 +26,16 @@ def is_nucleotides(sequence: Column) -> Column:
     return F.upper(sequence).rlike("^[ACGT]+$")
 
 
-def mismatches(window: Column, primer: Column) -> Column:
-    """Places at which the window's base is not among those that the primer's IUPAC code stands for; null if the lengths differ."""
-    codes = F.create_map(*[F.lit(x) for kv in BASES.items() for x in kv])
-    wrong = F.zip_with(F.split(window, ""), F.split(primer, ""), lambda b, c: F.when(F.instr(F.element_at(codes, c), b) > 0, 0).otherwise(1))
-    return F.when(F.length(window) == F.length(primer), F.aggregate(wrong, F.lit(0), lambda n, x: n + x))
+def mismatches(text: Column, start: Column, primer: str) -> Column:
+    """Places of `primer`, laid on the text from `start` (from 1) on, at which the text's base is not among those that the IUPAC code stands for. A term a base, which Spark compiles."""
+    wrong = F.lit(0)
+    for i, code in enumerate(primer):
+        wrong = wrong + F.when(F.substring(text, start + i, F.lit(1)).isin(*BASES[code]), 0).otherwise(1)
+    return wrong
+
+
+def reversed_primer(primer: str) -> str:
+    return primer.translate(str.maketrans(IUPAC, COMPLEMENT))[::-1]
 
 
 def stop_count(sequence: Column, frame: int, code: int = 5) -> Column:

@@ -59,11 +59,13 @@ def chimeras(counts: DataFrame, variants: DataFrame, skew: float = 16) -> DataFr
     """
     n = totals(counts, N_IJ, "read_count")
     placed = n.join(variants, "variant_id")
-    whole = placed.select(*SAMPLE, "variant_id", "read_count", "sequence", F.length("sequence").alias("len"), F.explode(F.sequence(F.lit(1), F.length("sequence"))).alias("k"))
+    # each variant's prefixes and suffixes are hashed once, whatever the number of samples
+    cut = variants.join(placed.select("variant_id").distinct(), "variant_id").select("variant_id", "sequence", F.length("sequence").alias("len"), F.explode(F.sequence(F.lit(1), F.length("sequence"))).alias("k"))
+    cut = cut.select("variant_id", "len", "k", F.xxhash64(F.expr("substr(sequence, 1, k)")).alias("left_part"), F.xxhash64(F.expr("right(sequence, k)")).alias("right_part"))
+    whole = stored(n.join(cut, "variant_id"), "ends")
 
     def ends(side: str) -> DataFrame:
-        part = F.expr("substr(sequence, 1, k)" if side == "left" else "right(sequence, k)")
-        return whole.withColumn("part", F.xxhash64(part))
+        return whole.withColumn("part", F.col(f"{side}_part"))
 
     def holders(side: str) -> DataFrame:
         # the two largest by partial aggregation: the maximum, then the maximum of the rest
@@ -73,8 +75,8 @@ def chimeras(counts: DataFrame, variants: DataFrame, skew: float = 16) -> DataFr
         return top.join(rest, [*SAMPLE, "k", "part"]).select(*SAMPLE, "k", "part", F.array("top", "second").alias(side))
 
     child = whole.where("k < len")
-    left = child.withColumn("part", F.xxhash64(F.expr("substr(sequence, 1, k)"))).join(holders("left"), [*SAMPLE, "k", "part"]).select(*SAMPLE, "variant_id", "read_count", "len", "k", "left")
-    right = child.withColumn("part", F.xxhash64(F.expr("right(sequence, k)"))).join(holders("right"), [*SAMPLE, "k", "part"]).select(*SAMPLE, "variant_id", (F.col("len") - F.col("k")).alias("k"), "right")
+    left = child.withColumn("part", F.col("left_part")).join(holders("left"), [*SAMPLE, "k", "part"]).select(*SAMPLE, "variant_id", "read_count", "len", "k", "left")
+    right = child.withColumn("part", F.col("right_part")).join(holders("right"), [*SAMPLE, "k", "part"]).select(*SAMPLE, "variant_id", (F.col("len") - F.col("k")).alias("k"), "right")
     both = left.join(right, [*SAMPLE, "variant_id", "k"])
     strong = lambda side: F.filter(side, lambda p: p["read_count"] >= F.col("read_count") * skew)
     apart = F.exists(strong("left"), lambda a: F.exists(strong("right"), lambda b: a["variant_id"] != b["variant_id"]))

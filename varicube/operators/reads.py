@@ -7,9 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from varicube.functions.sequences import mismatches, reverse_complement
+from varicube.functions.sequences import mismatches, reverse_complement, reversed_primer
 
-COMPLEMENT = bytes.maketrans(b"ACGTN", b"TGCAN")
+TO_COMPLEMENT = np.frombuffer(bytes.maketrans(b"ACGTN", b"TGCAN"), np.uint8)
 
 
 def merge_pairs(pairs: DataFrame, least_overlap: int = 50, most_differences: float = 0.1, most_errors: float = 1.0, least_length: int = 100, most_length: int = 500, most_ns: int = 0, truncate_quality: int = 10, least_read: int = 50, offset: int = 33) -> DataFrame:
@@ -18,42 +18,70 @@ def merge_pairs(pairs: DataFrame, least_overlap: int = 50, most_differences: flo
     Each mate is cut before its first base of quality `truncate_quality` or less and needs `least_read` bases. The second is
     reverse-complemented; of all overlaps of `least_overlap` or more, with at most the given share of differences, the
     one of fewest differences, then the longest, wins. Where mates differ the better base stands. The merged read must fit the lengths, the number of N
-    and the expected errors. Row by row in Arrow batches; nothing is shuffled.
+    and the expected errors. An overlap is tried on all reads of an Arrow batch at once; nothing is shuffled.
     """
 
-    def one(fs: str, fq: str, rs: str, rq: str):
-        cut = []
-        for s, q in ((fs, fq), (rs, rq)):
-            s, q = s.encode(), np.frombuffer(q.encode(), np.uint8).astype(int) - offset
-            bad = np.flatnonzero(q <= truncate_quality)
-            n = bad[0] if len(bad) else len(s)
-            cut.append((s[:n], q[:n]))
-        (a, qa), (b, qb) = cut
-        if min(len(a), len(b)) < least_read:
-            return None
-        b, qb = b.translate(COMPLEMENT)[::-1], qb[::-1]
-        x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-        best = None
-        for n in range(min(len(x), len(y)), least_overlap - 1, -1):
-            wrong = int((x[len(x) - n :] != y[:n]).sum())
-            if wrong <= most_differences * n and (best is None or wrong < best[0]):
-                best = (wrong, n)
-        if best is None:
-            return None
-        n = best[1]
-        tail, head, qt, qh = x[len(x) - n :], y[:n], qa[len(x) - n :], qb[:n]
-        seq = np.concatenate([x[: len(x) - n], np.where(qt >= qh, tail, head), y[n:]])
-        qual = np.concatenate([qa[: len(x) - n], np.maximum(qt, qh), qb[n:]])
-        errors = float((10.0 ** (-qual / 10)).sum())
-        text = seq.tobytes().decode()
-        if not least_length <= len(text) <= most_length or text.count("N") > most_ns or errors > most_errors:
-            return None
-        return text, errors
+    def matrix(column) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of each string from the left, zeros behind, and the lengths."""
+        size = column.str.len().to_numpy(np.int64)
+        flat = np.frombuffer("".join(column).encode("ascii", "replace"), np.uint8)
+        at = np.arange(size.max(initial=0))
+        inside = at < size[:, None]
+        out = np.zeros(inside.shape, np.uint8)
+        out[inside] = flat
+        return out, size
+
+    def mate(bases, qualities) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bases and qualities, and the lengths up to the first bad base."""
+        (x, n), (q, m) = matrix(bases), matrix(qualities)
+        width = min(x.shape[1], q.shape[1])
+        x, q = x[:, :width], q[:, :width].astype(np.int16) - offset
+        bad = (q <= truncate_quality) | (np.arange(width) >= np.minimum(n, m)[:, None])
+        return x, q, np.where(bad.any(1), bad.argmax(1), width)
+
+    def taken(x: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+        """Of each row the bytes from its start (which may be negative or beyond the end) on, zeros where there are none."""
+        at = start[:, None] + np.arange(width)
+        inside = (at >= 0) & (at < x.shape[1])
+        return np.where(inside, np.take_along_axis(x, np.clip(at, 0, max(0, x.shape[1] - 1)), 1), 0)
+
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, qa, na = mate(pdf["fwd_seq"], pdf["fwd_qual"])
+        r, qr, nb = mate(pdf["rev_seq"], pdf["rev_qual"])
+        keep = np.flatnonzero((na >= least_read) & (nb >= least_read) & (na > 0) & (nb > 0))
+        a, qa, na, r, qr, nb = (v[keep] for v in (a, qa, na, r, qr, nb))
+        if not len(keep):
+            return pdf.iloc[:0][["read_id"]].assign(sequence="", errors=0.0)
+        # the second mate, reverse-complemented, from the left; the first one's end at the right edge
+        turn = lambda x: taken(x[:, ::-1], x.shape[1] - nb, int(nb.max()))
+        b, qb = TO_COMPLEMENT[turn(r)], turn(qr)
+        ends = taken(a, na - int(na.max()), int(na.max()))
+        most, fewest, overlap = np.minimum(na, nb), np.full(len(keep), np.iinfo(np.int64).max), np.zeros(len(keep), np.int64)
+        for n in range(int(most.max()), max(1, least_overlap) - 1, -1):
+            wrong = (ends[:, ends.shape[1] - n :] != b[:, :n]).sum(1)
+            better = (n <= most) & (wrong <= most_differences * n) & (wrong < fewest)
+            fewest[better], overlap[better] = wrong[better], n
+        size = na + nb - overlap
+        width = int(size.max())
+        at = np.arange(width)
+        back = lambda x: taken(x, overlap - na, width)
+        in_a, in_b = at < na[:, None], (at >= (na - overlap)[:, None]) & (at < size[:, None])
+        zero = np.zeros(len(keep), np.int64)
+        x, qx, y, qy = taken(a, zero, width), taken(qa, zero, width), back(b), back(qb)
+        first = in_a & (~in_b | (qx >= qy))
+        bases, quality = np.where(first, x, y), np.where(first, qx, qy)
+        inside = at < size[:, None]
+        errors = np.where(inside, 10.0 ** (-quality / 10), 0.0).sum(1)
+        ok = (overlap > 0) & (size >= least_length) & (size <= most_length) & (((bases == ord("N")) & inside).sum(1) <= most_ns) & (errors <= most_errors)
+        text = bases[ok][inside[ok]].tobytes().decode("ascii")
+        cuts = np.concatenate([[0], np.cumsum(size[ok])])
+        return pd.DataFrame({"read_id": pdf["read_id"].iloc[keep[ok]].to_numpy(), "sequence": [text[i:j] for i, j in zip(cuts, cuts[1:])], "errors": errors[ok]})
 
     def run(batches):
         for pdf in batches:
-            found = [(i, *m) for i, *r in pdf[["read_id", "fwd_seq", "fwd_qual", "rev_seq", "rev_qual"]].itertuples(index=False) if all(r) and (m := one(*r))]
-            yield pd.DataFrame(found, columns=["read_id", "sequence", "errors"])
+            whole = pdf[(pdf[["fwd_seq", "fwd_qual", "rev_seq", "rev_qual"]].fillna("") != "").all(axis=1)]
+            for at in range(0, len(whole), 2_000):
+                yield merged(whole.iloc[at : at + 2_000])
 
     kind = dict(pairs.dtypes)["read_id"]
     return pairs.select("read_id", "fwd_seq", "fwd_qual", "rev_seq", "rev_qual").mapInPandas(run, f"read_id {kind}, sequence string, errors double")
@@ -105,19 +133,20 @@ def primer_trim(reads: DataFrame, fwd: str, rev: str, most: float = 0.1, column:
     primers may begin and end anywhere: the first place of the forward one, and the first of the reverse one behind it, count.
     """
     s = F.col(column)
-    back = reverse_complement(F.lit(rev))
+    back = reversed_primer(rev)
     if anchored:
-        head = mismatches(F.substring(s, 1, len(fwd)), F.lit(fwd))
-        tail = mismatches(F.right(s, F.lit(len(rev))), back)
+        head = mismatches(s, F.lit(1), fwd)
+        tail = mismatches(s, F.length(s) - len(rev) + 1, back)
         fits = (F.length(s) >= len(fwd) + len(rev)) & (head <= int(most * len(fwd))) & (tail <= int(most * len(rev)))
         return reads.where(fits).withColumn("sequence", F.substring(s, F.lit(len(fwd) + 1), F.length(s) - len(fwd) - len(rev)))
 
-    def first(text, primer, width: int):
+    def first(text, primer: str):
+        width = len(primer)
         places = F.when(F.length(text) >= width, F.sequence(F.lit(1), F.length(text) - width + 1))
-        return F.try_element_at(F.filter(places, lambda i: mismatches(F.substring(text, i, F.lit(width)), primer) <= int(most * width)), F.lit(1))
+        return F.try_element_at(F.filter(places, lambda i: mismatches(text, i, primer) <= int(most * width)), F.lit(1))
 
-    placed = reads.withColumn("at_", first(s, F.lit(fwd), len(fwd))).where("at_ is not null").withColumn("behind_", F.substring(s, F.col("at_") + len(fwd), F.length(s)))
-    ended = placed.withColumn("end_", first(F.col("behind_"), back, len(rev))).where("end_ is not null")
+    placed = reads.withColumn("at_", first(s, fwd)).where("at_ is not null").withColumn("behind_", F.substring(s, F.col("at_") + len(fwd), F.length(s)))
+    ended = placed.withColumn("end_", first(F.col("behind_"), back)).where("end_ is not null")
     return ended.withColumn("sequence", F.substring("behind_", F.lit(1), F.col("end_") - 1)).drop("at_", "behind_", "end_")
 
 

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from varicube.functions.storage import stored
 
+# The ranks from the broadest to the narrowest, and those that an annotated table has.
+HIERARCHY = [
+    "no rank", "phylum", "superclass", "class", "subclass", "infraclass", "superorder", "order", "suborder", "infraorder", "family", "subfamily", "genus", "subgenus", "species", "subspecies",
+]
 RANKS = ["phylum", "class", "order", "family", "genus", "species"]
 # The steps of the identity ladder.
 LADDER = [100, 99, 97, 95, 90, 85, 80, 75, 70]
@@ -39,7 +43,7 @@ def resolve_old(ids: DataFrame, taxonomy: DataFrame) -> DataFrame:
 def lineage_steps(ids: DataFrame, taxonomy: DataFrame, deepest: int = 64) -> DataFrame:
     """(tax_id, depth, at, rank, name_txt, ok): a row for each taxon on the way from a taxon to the root, the root excluded.
 
-    Walks up by one join a level for the taxa that are needed only; a missing parent ends the walk, as does `deepest` levels. ok is false
+    Walks up by one join a level for the taxa that are needed only; a missing parent ends the walk. Over `deepest` levels, as in a circle of parents, raise an error. ok is false
     on the last row of a walk that ended without reaching the root. The first row keeps the number asked for, be it obsolete.
     """
     taxa, _ = split_taxonomy(taxonomy)
@@ -55,10 +59,13 @@ def lineage_steps(ids: DataFrame, taxonomy: DataFrame, deepest: int = 64) -> Dat
         part = walked.drop("parent_tax_id")
         out = part if out is None else out.unionByName(part)
         now = walked.where("parent_tax_id is not null and parent_tax_id <> 1").select("tax_id", F.col("parent_tax_id").alias("at"))
+    else:
+        if not now.isEmpty():
+            raise ValueError(f"lineages of more than {deepest} levels")
     return out if out is not None else ids.sparkSession.createDataFrame([], "tax_id long, depth int, at long, rank string, name_txt string, ok boolean")
 
 
-def lineages(ids: DataFrame, taxonomy: DataFrame, ranks: list[str] = RANKS) -> DataFrame:
+def lineages(ids: DataFrame, taxonomy: DataFrame, ranks: list[str] = HIERARCHY) -> DataFrame:
     """tax_id and a column per rank with the taxon of that rank above it; of several the one nearest the root. A walk that breaks off leaves what it found."""
     steps = lineage_steps(ids, taxonomy).where("rank is not null")
     one = [F.max_by("at", F.when(F.col("rank") == r, F.col("depth"))).alias(r) for r in ranks]
@@ -93,7 +100,7 @@ def ladder_eligible(laddered: DataFrame, sure: int = 97, least_taxa: int = 3) ->
     return n.where((F.col("step") >= sure) | (F.col("n_taxa") >= least_taxa))
 
 
-def rank_consensus(laddered: DataFrame, ranks: list[str] = RANKS) -> DataFrame:
+def rank_consensus(laddered: DataFrame, ranks: list[str] = HIERARCHY) -> DataFrame:
     """Of each variant, step and rank, the commonest taxon and its share of all hits, those without a taxon of the rank included; ties go to the smallest."""
     ids = ["variant_id", "step"]
     n = laddered.groupBy(*ids).agg(F.count(F.lit(1)).alias("n_hits"))
@@ -103,9 +110,9 @@ def rank_consensus(laddered: DataFrame, ranks: list[str] = RANKS) -> DataFrame:
     return best.join(n, ids).select(*ids, "rank", F.col("b.tax_id").alias("tax_id"), (F.col("b.n").cast("double") * 100 / F.col("n_hits")).alias("share"))
 
 
-def ltg_at_step(consensus: DataFrame, include_prop: float = 90, ranks: list[str] = RANKS) -> DataFrame:
+def ltg_at_step(consensus: DataFrame, include_prop: float = 90, ranks: list[str] = HIERARCHY) -> DataFrame:
     """The lowest rank whose commonest taxon has a share of `include_prop` per cent or more."""
-    order = F.array_position(F.array(*[F.lit(r) for r in ranks]), F.col("rank"))
+    order = F.array_position(F.array(*[F.lit(r) for r in ranks]), F.col("rank"))  # narrower ranks come later
     best = consensus.where(F.col("share") >= include_prop).groupBy("variant_id", "step").agg(F.max_by(F.struct("rank", "tax_id"), order).alias("b"))
     return best.select("variant_id", "step", F.col("b.rank").alias("ltg_rank"), F.col("b.tax_id").alias("ltg_tax_id"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from varicube.functions.storage import stored
 from varicube.operators.counts import N_I, N_IK, N_JK, OCCURRENCE, RUN_MARKER, total_over
 from varicube.operators.pairs import pcr_error_ratios
 
@@ -60,10 +61,9 @@ def cutoff_grid(spark, read_count_start: int = 10, ratio_start: float = 0.001) -
 
 
 def optimize_grid(counts: DataFrame, known: DataFrame, sample_replicate: float, replicates: int, by_replicate: bool = False) -> DataFrame:
-    """Settings that keep every occurrence that any setting keeps, with the deletes that are left, by run and marker.
+    """Settings that keep at least as many occurrences as the run and marker has distinct expected variants, with the deletes that are left.
 
-    Ratios are computed once over all counts, then only the known occurrences meet the grid (at most 100 rows, broadcast). Survivors
-    shrink as either cutoff grows, so the most that any setting keeps is what the loosest keeps.
+    A run and marker of which no setting keeps so many has no row. Ratios are computed once over all counts, then only the known occurrences meet the grid (at most 100 rows, broadcast).
     """
     ratio = "ratio_ik" if by_replicate else "ratio_i"
     own = with_ratios(counts).where(F.col("ratio_jk") > sample_replicate).join(known.select(*OCCURRENCE, "action").distinct(), OCCURRENCE)
@@ -72,8 +72,13 @@ def optimize_grid(counts: DataFrame, known: DataFrame, sample_replicate: float,
     left = met.groupBy(*OCCURRENCE, "action", "read_count_cutoff", "ratio_cutoff").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= replicates)
     n = lambda a, name: F.sum((F.col("action") == a).cast("long")).alias(name)
     told = left.groupBy(*RUN_MARKER, "read_count_cutoff", "ratio_cutoff").agg(n("keep", "n_keep"), n("delete", "n_delete"))
-    best = F.max("n_keep").over(Window.partitionBy(*RUN_MARKER))
-    return told.withColumn("best", best).where("n_keep = best and n_keep > 0").drop("best")
+    wanted = known_split(known, "keep").groupBy(*RUN_MARKER).agg(F.countDistinct("variant_id").alias("n_expected"))
+    return told.join(wanted, RUN_MARKER).where("n_keep >= n_expected").drop("n_expected")
+
+
+def grid_report(grid: DataFrame) -> DataFrame:
+    """optimize_grid()'s settings in the order of a report: most keeps, fewest deletes, highest cutoffs first within a run and marker."""
+    return grid.orderBy(*RUN_MARKER, F.desc("n_keep"), "n_delete", F.desc("read_count_cutoff"), F.desc("ratio_cutoff"))
 
 
 def specific_cutoffs(counts: DataFrame, known: DataFrame, by_replicate: bool = False) -> DataFrame:
@@ -123,6 +128,7 @@ def delete_habitat(table: DataFrame, types: DataFrame, proportion: float = 0.5)
 
 
 def known_occurrences(table: DataFrame, types: DataFrame, mock: DataFrame, proportion: float = 0.5) -> DataFrame:
+    table = stored(table, "variant-table")  # read by all of the rules
     keep = known_keep(mock, table).select(*SAMPLE, "variant_id", "action")
     gone = delete_negative(table, types).unionByName(delete_mock(table, types, mock)).unionByName(delete_habitat(table, types, proportion))
     return keep.unionByName(gone).distinct()

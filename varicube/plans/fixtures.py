@@ -76,11 +76,11 @@ select cast(1 as bigint) as tax_id, cast(1 as bigint) as parent_tax_id, 'no rank
 union all
 select cast(10 + r_regionkey as bigint), cast(1 as bigint), 'phylum', r_name, cast(null as bigint) from {region}
 union all
-select cast(100 + n_nationkey as bigint), cast(10 + n_regionkey as bigint), 'order', n_name, cast(null as bigint) from {nation}
+select cast(100 + n_nationkey as bigint), cast(10 + n_regionkey as bigint), case n_nationkey % 3 when 0 then 'suborder' when 1 then 'superorder' else 'order' end, n_name, cast(null as bigint) from {nation}
 union all
-select cast(1000 + s_suppkey as bigint), cast(100 + s_nationkey as bigint), 'genus', s_name, cast(null as bigint) from {supplier}
+select cast(1000 + s_suppkey as bigint), cast(100 + s_nationkey as bigint), case s_suppkey % 3 when 0 then 'subfamily' when 1 then 'subgenus' else 'genus' end, s_name, cast(null as bigint) from {supplier}
 union all
-select cast(100000 + p_partkey as bigint), cast(1000 + s_suppkey as bigint), 'species', p_name,
+select cast(100000 + p_partkey as bigint), cast(1000 + s_suppkey as bigint), case p_partkey % 4 when 0 then 'subspecies' else 'species' end, p_name,
        case when p_partkey % 10 = 0 then cast(900000 + p_partkey as bigint) end
 from {part} join (select s_suppkey, row_number() over (order by s_suppkey) - 1 as pos, count(*) over () as n from {supplier}) g
   on p_partkey % n = pos""",

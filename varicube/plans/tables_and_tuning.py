@@ -180,7 +180,9 @@ def _(s, d):
 def grid_sql(ratio: str) -> str:
     return KNOWN + GRID + f""", l as (select {OCC}, action, read_count_cutoff, ratio_cutoff from r join acts using ({OCC}) join grid on {ratio} > ratio_cutoff and read_count >= read_count_cutoff where ratio_jk > 0.0005 group by all having count(*) >= 2),
  t as (select run_id, marker_id, read_count_cutoff, ratio_cutoff, cast(sum((action = 'keep')::int) as bigint) as n_keep, cast(sum((action = 'delete')::int) as bigint) as n_delete from l group by all)
- select * from t where n_keep > 0 and n_keep = (select max(n_keep) from t u where u.run_id = t.run_id and u.marker_id = t.marker_id)"""
+,
+ e as (select run_id, marker_id, count(distinct variant_id) as n_expected from known_occurrences where action = 'keep' group by all)
+ select t.* from t join e using (run_id, marker_id) where n_keep >= n_expected"""
 
 
 @query("optimize_grid_variant", grid_sql("ratio_i"))
@@ -209,7 +211,7 @@ def _(s, d):
 
 # --- known occurrences from the table: variants of the mock list by sequence, some of them to tolerate, some in no table
 
-MOCK = """, tab as (select n.run_id, n.marker_id, n.variant_id, sample_id, cast(sum(read_count) as bigint) as read_count, sequence from nijk n join variant v on n.variant_id = v.variant_id where n.variant_id % 11 <> 0 group by all),
+MOCK = """, tab as (select n.run_id, n.marker_id, n.variant_id, sample_id, cast(sum(read_count) as bigint) as read_count, sequence from nijk n join variant v on n.variant_id = v.variant_id where n.variant_id % 25 <> 0 group by all),
  mock as (select distinct k.run_id, k.marker_id, k.sample_id, sequence, case when k.variant_id % 15 = 0 then 'tolerate' when k.variant_id % 10 = 0 then null else 'keep' end as action from known_occurrences k join variant v on k.variant_id = v.variant_id where mock = 1),
  keeps as (select m.run_id, m.marker_id, m.sample_id, m.sequence, coalesce(t.variant_id, 0) as variant_id, 'keep' as action from mock m left join (select distinct run_id, marker_id, sequence, variant_id from tab) t using (run_id, marker_id, sequence) where coalesce(action, 'keep') <> 'tolerate'),
  neg as (select run_id, marker_id, sample_id, variant_id, 'delete' as action from tab where read_count > 0 and sample_id in (select sample_id from sample_types where sample_type = 'negative')),
@@ -222,7 +224,7 @@ MOCKS = ctes("nijk", "variant", "known_occurrences", "sample_types") + MOCK
 
 
 def long_table(s, d):
-    n = nijk(s, d).where("variant_id % 11 <> 0").groupBy("run_id", "marker_id", "variant_id", "sample_id").agg(F.sum("read_count").alias("read_count"))
+    n = nijk(s, d).where("variant_id % 25 <> 0").groupBy("run_id", "marker_id", "variant_id", "sample_id").agg(F.sum("read_count").alias("read_count"))
     return n.join(variant(s, d), "variant_id")
 
 
