@@ -113,6 +113,23 @@ def test_one_edit_pairs_against_all_pairs(spark):
     assert want and {tuple(r) for r in pairs.one_edit_pairs(df).collect()} == want
 
 
+def test_one_edit_pairs_of_short_repeated_and_missing_sequences(spark):
+    seqs = list(enumerate(["", "A", "C", "AA", "AC", "CA", "AAA", "ACA", "ACA", None, "ACAC"], 1))
+    df = spark.createDataFrame(seqs, "variant_id long, sequence string")
+    want = {(i, j) for i, a in seqs for j, b in seqs if i < j and a is not None and b is not None and edits(a, b) == 1}
+    assert {tuple(r) for r in pairs.one_edit_pairs(df).collect()} == want
+
+
+@pytest.mark.parametrize("identity", [0.72, 0.85, 0.97])
+def test_close_pairs_of_unequal_lengths(spark, identity):
+    seqs = [*sequences(spark, 40, 34, 8), (101, "ACGTACGT"), (102, "ACGTACG"), (103, "ACGTACGT"), (104, ""), (105, None)]
+    df = spark.createDataFrame(seqs, "variant_id long, sequence string")
+    known = [(i, s) for i, s in seqs if s]
+    near = {(i, j) for i, a in known for j, b in known if i != j and edits(a, b) <= int((1 - identity) * max(len(a), len(b)))}
+    got = [tuple(r) for r in pairs.close_pairs(df, identity).collect()]
+    assert near and sorted(got) == sorted(near)
+
+
 def test_close_pairs_and_greedy_clusters_against_brute_force(spark):
     seqs = sequences(spark, 40, 40, 5)
     df = spark.createDataFrame(seqs, "variant_id long, sequence string")
@@ -132,6 +149,28 @@ def test_overlapping_pairs(spark):
     assert {tuple(sorted(r)) for r in pairs.overlapping_pairs(v, 6).collect()} == {(1, 2), (1, 3)}
 
 
+def overlaps(a, b, least):
+    """Some place of a from which a and b agree to the end of either, over min(least, len(b)) bases or more."""
+    return any(a[i : i + len(b)] == b[: len(a) - i] for i in range(len(a) - min(least, len(b)) + 1)) if b else False
+
+
+def test_overlapping_pairs_against_all_pairs(spark):
+    import random
+
+    rng = random.Random(4)
+    genome = ["".join(rng.choice("ACGT") for _ in range(60)) for _ in range(3)]
+    seqs = []
+    for i in range(70):
+        at, n = rng.randrange(50), rng.randrange(3, 40)
+        s = rng.choice(genome)[at : at + n]
+        seqs.append((i, s[:-1] + "A" if i % 5 == 0 else s))
+    seqs += [(100, "AAAAAAAAAAAA"), (101, "AAAAAAAAAA"), (102, "AAA"), (103, ""), (104, None)]
+    df = spark.createDataFrame(seqs, "variant_id long, sequence string")
+    known = [(i, s) for i, s in seqs if s]
+    one = {(i, j) for i, a in known for j, b in known if i != j and overlaps(a, b, 8)}
+    assert one and {tuple(r) for r in pairs.overlapping_pairs(df, 8).collect()} == one | {(j, i) for i, j in one}
+
+
 def test_chimera(spark):
     left, right = "ACGTACGTAA", "GGCCTTGGCC"
     v = spark.createDataFrame([(1, left + right), (2, "TTTTGGGGTT" + "AACCAACCAA"), (3, left + "AACCAACCAA"), (4, "CCCCCCCCCCCCCCCCCCCC")], "variant_id long, sequence string")

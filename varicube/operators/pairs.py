@@ -15,20 +15,22 @@ SAMPLE = [*RUN_MARKER, "sample_id"]
 def one_edit_pairs(variants: DataFrame) -> DataFrame:
     """(variant_a, variant_b), a < b, of sequences that differ by one substitution, insertion or deletion.
 
-    Two sequences within one edit share the first or the last half of the shorter one exactly, at a length that
-    either can name, so they meet by an equi-join on (side, length, half) and are confirmed by their distance. The length
-    in the key keeps variants of other lengths apart under a common prefix.
+    With one substitution, two sequences are equal without the character at that place; else the longer one without one of
+    its characters is the shorter. So each sequence is keyed by hashes of itself without each of its characters, and of itself.
+    Keys grow with the total length, and only sequences a step or two apart share one, however much of them is conserved.
     """
-    halves = F.array_distinct(F.array(F.floor(F.length("sequence") / 2), F.floor((F.length("sequence") - 1) / 2)))
-    cut = variants.select("variant_id", "sequence", F.explode(halves).alias("h"))
-    sides = F.array(
-        F.struct(F.lit("P").alias("side"), F.expr("substr(sequence, 1, h)").alias("half")),
-        F.struct(F.lit("S").alias("side"), F.expr("right(sequence, h)").alias("half")),
-    )
-    keyed = cut.select("variant_id", "sequence", "h", F.inline(sides)).where("h > 0")
-    a = keyed.select(F.col("variant_id").alias("variant_a"), F.col("sequence").alias("a"), "side", "h", "half")
-    b = keyed.select(F.col("variant_id").alias("variant_b"), F.col("sequence").alias("b"), "side", "h", "half")
-    met = a.join(b, ["side", "h", "half"]).where("variant_a < variant_b and abs(length(a) - length(b)) <= 1")
+    own = variants.select("variant_id", "sequence").where("sequence is not null")
+    places = own.where("sequence <> ''").withColumn("at", F.explode(F.sequence(F.lit(1), F.length("sequence"))))
+    rest = F.expr("xxhash64(concat(substr(sequence, 1, at - 1), substr(sequence, at + 1)))")
+    without = places.select("variant_id", "at", F.expr("substr(sequence, at, 1)").alias("base"), rest.alias("rest"))
+    a, b = [without.select(F.col("variant_id").alias(f"variant_{x}"), "at", "rest", F.col("base").alias(x)) for x in "ab"]
+    swapped = a.join(b, ["at", "rest"]).where("variant_a < variant_b and a <> b").select("variant_a", "variant_b")
+    longer = without.select(F.col("variant_id").alias("longer"), "rest").distinct()
+    shifted = longer.join(own.select(F.col("variant_id").alias("shorter"), F.xxhash64("sequence").alias("rest")), "rest")
+    shifted = shifted.select(F.least("longer", "shorter").alias("variant_a"), F.greatest("longer", "shorter").alias("variant_b"))
+    met = swapped.unionByName(shifted).distinct()
+    for x in "ab":
+        met = met.join(own.select(F.col("variant_id").alias(f"variant_{x}"), F.col("sequence").alias(x)), f"variant_{x}")
     return met.where(F.levenshtein("a", "b", 1) == 1).select("variant_a", "variant_b").distinct()
 
 
@@ -134,21 +136,30 @@ def filter_chain(counts: DataFrame, variants: DataFrame, cutoffs: filters.LfnCut
 def close_pairs(variants: DataFrame, identity: float = 0.97) -> DataFrame:
     """(a, b), a <> b both ways, of sequences whose edit distance is at most (1 - identity) of the longer one's length.
 
-    e edits leave one of e + 1 segments of a sequence whole, at most e places away in the other; so each segment of one
-    meets the windows of the other around its place by an equi-join on (place, text), and the distance confirms.
+    e edits leave one of e + 1 segments of the longer one whole. If the other is d shorter and the segment lies s places
+    further on in it, |s| edits stand before the segment and |d + s| after it, so s is between -(e + d) / 2 and (e - d) / 2.
+    Each sequence gives its windows at these places for each length that a longer one may have and some sequence has; hashes
+    of segments and windows meet by an equi-join, and the distance confirms. Null and empty sequences take no part.
     """
+    if not 0 < identity <= 1:
+        raise ValueError("identity has to be over 0 and 1 at most")
     edits = F.floor((1 - F.lit(identity)) * F.col("len")).cast("int")
-    base = variants.select("variant_id", "sequence", F.length("sequence").alias("len")).where("len > 0").withColumn("e", edits)
-    # a's segments: e + 1 of them, the count set by a pair's longer one, so a names those for each length that b may have
-    span = base.withColumn("parts", F.explode(F.sequence(F.lit(1), F.col("e") + 2)))
-    seg = span.withColumn("w", F.floor(F.col("len") / F.col("parts")).cast("int")).where("w > 0").withColumn("s", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    a = seg.select(F.col("variant_id").alias("a"), F.col("sequence").alias("sa"), "parts", (F.col("s") * F.col("w") + 1).alias("pos"), "w").withColumn("word", F.expr("substr(sa, pos, w)"))
-    widths = a.select("w", "pos", "parts").distinct()
-    b = base.select(F.col("variant_id").alias("b"), F.col("sequence").alias("sb"), F.col("len").alias("lb"), F.col("e").alias("eb"))
-    shifts = F.explode(F.sequence(-F.col("eb") - 1, F.col("eb") + 1))
-    windows = b.join(F.broadcast(widths), F.col("parts") <= F.col("eb") + 2).withColumn("shift", shifts).withColumn("at", F.col("pos") + F.col("shift")).where("at >= 1 and at + w - 1 <= lb")
-    windows = windows.withColumn("word", F.expr("substr(sb, at, w)")).select("b", "sb", "parts", "pos", "w", "word")
-    met = a.join(windows, ["parts", "pos", "w", "word"]).where("a < b").select("a", "b", "sa", "sb").distinct()
+    base = variants.select("variant_id", "sequence", F.length("sequence").alias("len")).where("len > 0")
+    lengths = base.select("len").distinct().withColumn("e", edits).withColumn("w", F.expr("cast(len div (e + 1) as int)"))
+    place = F.explode(F.sequence(F.lit(0), F.col("e"))).alias("j")
+    segments = base.join(lengths, "len").select(F.col("variant_id").alias("b"), "len", "w", "sequence", place)
+    segments = segments.select("b", "len", "j", F.expr("xxhash64(substr(sequence, j * w + 1, w))").alias("word"))
+    longer = F.explode(F.sequence("short", F.floor(F.col("short") / identity).cast("int") + 1)).alias("len")
+    windows = base.withColumnRenamed("len", "short").select(F.col("variant_id").alias("a"), "sequence", "short", longer)
+    windows = windows.join(lengths, "len").withColumn("d", F.col("len") - F.col("short")).where("d <= e")
+    shifts = F.explode(F.expr("sequence(cast(-((e + d) div 2) as int), cast((e - d) div 2 as int))")).alias("s")
+    windows = windows.select("a", "sequence", "short", "len", "w", "e", "d", place).select("a", "sequence", "short", "len", "w", "j", shifts)
+    windows = windows.withColumn("at", F.col("j") * F.col("w") + 1 + F.col("s")).where("at >= 1 and at + w - 1 <= short")
+    windows = windows.select("a", "len", "j", F.expr("xxhash64(substr(sequence, at, w))").alias("word"))
+    met = windows.join(segments, ["len", "j", "word"]).where("a <> b")
+    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for x in "ab":
+        met = met.join(base.select(F.col("variant_id").alias(x), F.col("sequence").alias(f"s{x}")), x)
     most = F.floor((1 - F.lit(identity)) * F.greatest(F.length("sa"), F.length("sb"))).cast("int")
     near = met.where(F.levenshtein("sa", "sb") <= most).select("a", "b")
     return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -186,14 +197,26 @@ def cluster_sizes(clusters: DataFrame) -> DataFrame:
 def overlapping_pairs(variants: DataFrame, least: int = 32) -> DataFrame:
     """(a, b) both ways of sequences that agree wherever they overlap, over `least` bases or the whole of a shorter one.
 
-    The start of one stands in the other: each sequence's first `least` bases (or all of it, if shorter) meet the windows of
-    all sequences by an equi-join, and what follows must agree to the end of either.
+    An end of one that is the start of another meets it by an equi-join on length and hash, so sequences that merely begin
+    alike never meet. What stands wholly inside another is found by its first `least` bases (or all of it, if shorter) among
+    the other's inner windows. The texts confirm both.
     """
-    heads = variants.select(F.col("variant_id").alias("b"), F.col("sequence").alias("sb"), F.least(F.length("sequence"), F.lit(least)).alias("w")).where("w > 0").withColumn("word", F.expr("substr(sb, 1, w)"))
+    own = variants.select("variant_id", "sequence", F.length("sequence").alias("len")).where("len > 0")
+    ends = own.where(F.col("len") >= least).select("variant_id", "sequence", F.explode(F.sequence(F.lit(least), F.col("len"))).alias("n"))
+    tails = ends.select(F.col("variant_id").alias("a"), "n", F.expr("xxhash64(right(sequence, n))").alias("word"))
+    fronts = ends.select(F.col("variant_id").alias("b"), "n", F.expr("xxhash64(substr(sequence, 1, n))").alias("word"))
+    joined = tails.join(fronts, ["n", "word"]).where("a <> b").select("a", "b", F.lit(0).alias("at"), "n")
+
+    heads = own.select(F.col("variant_id").alias("b"), F.col("len").alias("n"), F.least("len", F.lit(least)).alias("w"), F.expr(f"xxhash64(substr(sequence, 1, least(len, {least})))").alias("word"))
     widths = F.broadcast(heads.select("w").distinct())  # at most `least` of them
-    a = variants.select(F.col("variant_id").alias("a"), F.col("sequence").alias("sa")).join(widths, F.col("w") <= F.length("sa"))
-    windows = a.withColumn("at", F.explode(F.sequence(F.lit(1), F.length("sa") - F.col("w") + 1))).withColumn("word", F.expr("substr(sa, at, w)"))
-    met = windows.join(heads, ["w", "word"]).where("a <> b")
-    n = F.least(F.length("sa") - F.col("at") + 1, F.length("sb"))
-    agree = met.withColumn("n", n).where("substr(sa, at, n) = substr(sb, 1, n)").select("a", "b").distinct()
+    windows = own.select(F.col("variant_id").alias("a"), "sequence", "len").join(widths, F.col("w") <= F.col("len"))
+    windows = windows.withColumn("at", F.explode(F.sequence(F.lit(1), F.col("len") - F.col("w") + 1))).where((F.col("at") > 1) | (F.col("w") < least))
+    windows = windows.select("a", "len", "w", "at", F.expr("xxhash64(substr(sequence, at, w))").alias("word"))
+    inside = windows.join(heads, ["w", "word"]).where("a <> b and at + n - 1 <= len").select("a", "b", "at", "n")
+
+    met = joined.unionByName(inside)
+    for x in "ab":
+        met = met.join(own.select(F.col("variant_id").alias(x), F.col("sequence").alias(f"s{x}")), x)
+    text = F.when(F.col("at") == 0, F.expr("right(sa, n)")).otherwise(F.expr("substr(sa, at, n)"))
+    agree = met.where(text == F.expr("substr(sb, 1, n)")).select("a", "b")
     return agree.unionByName(agree.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
