@@ -57,6 +57,28 @@ def resolve(given: dict | None = None) -> Params:
     return replace(Params(), **given)
 
 
+def read_params(path: str) -> Params:
+    """Parameters from a text of lines `name: value`, as flat YAML has them; # begins a comment, an empty value or null is none."""
+    given = {}
+    with open(path, encoding="utf-8") as lines:
+        for line in lines:
+            name, colon, value = line.split("#")[0].strip().partition(":")
+            if not name or name == "---":
+                continue
+            if not colon:
+                raise ValueError(f"not a line of name and value: {line.strip()}")
+            given[name.strip()] = parsed(value.strip())
+    return resolve(given)
+
+
+def parsed(text: str):
+    """A number, a truth value or none; anything else is an error, as no parameter takes it."""
+    fixed = {"": None, "null": None, "true": True, "false": False, "0": 0, "1": 1}
+    if text.lower() in fixed:
+        return fixed[text.lower()]
+    return float(text) if any(c in text for c in ".eE") else int(text)
+
+
 def chain_options(p: Params) -> dict:
     """The keyword arguments of pairs.filter_chain that the parameters stand for."""
     from varicube.operators.filters import LfnCutoffs
