@@ -44,11 +44,28 @@ def boundaries(text: np.ndarray, bits: int, least: int, most: int) -> list[int]:
     return ends
 
 
-def chunks(docs: DataFrame, bits: int = 5, least: int = 12, most: int = 256) -> DataFrame:
-    """(doc_id, text_key, start, size, d1, d2) of each chunk of each text, in code points, with its 128-bit digest; text_key tells texts of one id apart.
+def with_text_keys(docs: DataFrame, name: str) -> DataFrame:
+    """`docs` with the column `name`: a hash of the text (never 0) where other texts have the same doc_id, else 0.
 
-    Null and empty texts have none, nor have null ids.
+    Zeros take no room in a shuffle, where a hash in each chunk's row would nearly double it. Ids of several texts are written as a table
+    first, so that Spark knows its size when it chooses the join; with few of them no text is shuffled.
     """
+    shared_id, many = unused("shared_id", docs), unused("many", docs)
+    hashed = docs.select(F.col("doc_id").cast("long").alias(shared_id), F.xxhash64("text").alias("h")).where(F.col(shared_id).isNotNull())
+    shared = hashed.groupBy(shared_id).agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select(shared_id, F.lit(True).alias(many))
+    joined = docs.join(save(shared, "shared_ids"), docs["doc_id"].cast("long") == F.col(shared_id), "left")
+    return joined.withColumn(name, F.when(F.col(many), F.xxhash64("text").bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long"))).drop(shared_id, many)
+
+
+def chunks(docs: DataFrame, bits: int = 5, least: int = 12, most: int = 256, key: str | None = None) -> DataFrame:
+    """(doc_id, text_key, start, size, d1, d2) of each chunk of each text, in code points, with its 128-bit digest.
+
+    text_key tells texts of one id apart, see with_text_keys(); `key` names the column of `docs` that has it, if one does. Null and
+    empty texts have no chunks, nor have null ids.
+    """
+    if key is None:
+        key = unused("text_key", docs)
+        docs = with_text_keys(docs, key)
 
     def run(batches):
         for pdf in sliced(batches):
@@ -67,7 +84,7 @@ def chunks(docs: DataFrame, bits: int = 5, least: int = 12, most: int = 256) ->
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield pd.DataFrame({"doc_id": np.concatenate(ids), "text_key": np.concatenate(keys), "start": np.array(starts, np.int32), "size": np.array(sizes, np.int32), "d1": halves[:, 0], "d2": halves[:, 1]})
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text").where("doc_id is not null and length(text) > 0")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(key).alias("text_key"), "text").where("doc_id is not null and length(text) > 0")
     return source.mapInPandas(run, "doc_id long, text_key long, start int, size int, d1 long, d2 long")
 
 
@@ -90,11 +107,12 @@ def repeated_spans(docs: DataFrame, run: int = 100, **options) -> DataFrame:
 
 def spans_by_document(docs: DataFrame, into: str = "spans", **options) -> DataFrame:
     """`docs` with the column `into`, array<struct<start, end>> in order, empty where nothing repeats; a column of that name is replaced."""
-    span_id, span_key, found = (unused(c, docs) for c in ("span_id", "span_key", "found"))
-    by_text = repeated_spans(docs, **options).groupBy(F.col("doc_id").alias(span_id), F.col("text_key").alias(span_key)).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(found))
+    span_id, span_key, found, key = (unused(c, docs) for c in ("span_id", "span_key", "found", "own_key"))
+    keyed = with_text_keys(docs, key)
+    by_text = repeated_spans(keyed, key=key, **options).groupBy(F.col("doc_id").alias(span_id), F.col("text_key").alias(span_key)).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(found))
     empty = F.filter(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))), lambda x: F.lit(False))
-    same = (docs["doc_id"].cast("long") == F.col(span_id)) & (F.xxhash64(docs["text"]) == F.col(span_key))
-    return docs.join(save(by_text, "spans"), same, "left").withColumn(into, F.coalesce(found, empty)).drop(span_id, span_key, found)
+    same = (keyed["doc_id"].cast("long") == F.col(span_id)) & (keyed[key] == F.col(span_key))
+    return keyed.join(save(by_text, "spans"), same, "left").withColumn(into, F.coalesce(found, empty)).drop(span_id, span_key, found, key)
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
