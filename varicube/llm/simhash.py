@@ -203,8 +203,17 @@ def head_size(n: int, similarity: float) -> int:
     return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """256 bits of a set as four signed numbers: whether an odd number of its members falls on each.
+
+    Members that two sets share cancel out, so the sets have at least as many members not in common as their bits differ.
+    """
+    return np.packbits(np.bincount((shingles & np.uint64(255)).astype(np.int64), minlength=256) & 1).view(">i8").astype(np.int64)
+
+
 def sketches(docs: DataFrame, words: int, similarity: float, late: np.ndarray) -> DataFrame:
-    """(doc_id, text_hash, fp, text_key, n, head, last) per row: a hash of the text, the SimHash over distinct shingles, a hash of the lower-cased words, the number of distinct shingles, the first head_size() of them in order and the last of these."""
+    """(doc_id, text_hash, fp, text_key, n, parity, head, last) per row: a hash of the text, the SimHash over distinct shingles, a hash of the lower-cased words,
+    the number of distinct shingles, their parities(), the first head_size() of them in order and the last of these."""
 
     def run(batches):
         for pdf in sliced(batches):
@@ -216,12 +225,13 @@ def sketches(docs: DataFrame, words: int, similarity: float, late: np.ndarray) -
                 "fp": np.array([simhash(x) for x in sets], np.int64),
                 "text_key": np.array([xxhash.xxh3_64_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split())) for t in pdf["text"]], np.uint64).view(np.int64),
                 "n": np.array([len(x) for x in sets], np.int64),
+                "parity": [parities(x) for x in sets],
                 "head": heads,
                 "last": np.array([x[-1] if len(x) else 0 for x in heads], np.int64),
             })
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").where("doc_id is not null")
-    return source.mapInPandas(run, "doc_id long, text_hash long, fp long, text_key long, n long, head array<long>, last long")
+    return source.mapInPandas(run, "doc_id long, text_hash long, fp long, text_key long, n long, parity array<long>, head array<long>, last long")
 
 
 def common_shingles(docs: DataFrame, words: int, crowd: int) -> np.ndarray:
@@ -258,13 +268,16 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataF
     return both.where(F.col("both") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-def apart_pairs(rows: DataFrame, similarity: float, block: int) -> DataFrame:
-    """(a, b, c): pairs of nodes of different components that share c shingles of their heads and may still be similar by size and place.
+def apart_pairs(rows: DataFrame, nodes: DataFrame, similarity: float, block: int) -> DataFrame:
+    """(a, b, c): pairs of nodes of different components that share c shingles of their heads and may still be similar by size, place and parities.
 
-    rows: shingle, node, component, n, place. A shingle whose nodes are all of one component forms no pairs.
+    rows: shingle, node, component, n, place; nodes: node, parity. A shingle whose nodes are all of one component forms no pairs. Sets of
+    na and nb members are similar if at most (1 - similarity) / (1 + similarity) of na + nb are not in common, so a pair whose
+    parities() differ in more bits never leaves its task.
     """
     open_ = rows.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("shingle")
-    met, total = in_blocks(save(rows.join(open_, "shingle"), "open"), ["shingle"], "node", block)
+    open_rows = save(rows.join(open_, "shingle").join(nodes.select("node", "parity"), "node"), "open")
+    met, total = in_blocks(open_rows, ["shingle"], "node", block)
     groups = groups_for(rows.sparkSession, total, 50_000)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -272,6 +285,7 @@ def apart_pairs(rows: DataFrame, similarity: float, block: int) -> DataFrame:
         order = np.lexsort((comp, unit[:, 2], unit[:, 1], unit[:, 0]))
         unit, comp = unit[order], comp[order]
         node, n, place, blk = (pdf[c].to_numpy(np.int64)[order] for c in ("node", "n", "place", "blk"))
+        parity = np.stack(list(pdf["parity"])).astype(np.int64).view(np.uint64)[order]  # bits of a negative number would be counted by its size
         new = np.concatenate([[True], (unit[1:] != unit[:-1]).any(1)])
         turn = np.concatenate([[True], new[1:] | (comp[1:] != comp[:-1])])
         ends = [np.append(np.flatnonzero(x)[1:], len(x))[np.cumsum(x) - 1] for x in (new, turn)]
@@ -286,6 +300,9 @@ def apart_pairs(rows: DataFrame, similarity: float, block: int) -> DataFrame:
             ok = ((blk[i] != blk[j]) | (unit[i, 1] == unit[i, 2])) & (node[i] != node[j])
             ok &= np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9
             ok &= most >= similarity * (n[i] + n[j] - most) - 1e-9
+            i, j = i[ok], j[ok]
+            odd = np.bitwise_count(parity[i] ^ parity[j]).sum(1, dtype=np.int64)
+            ok = odd <= (1 - similarity) / (1 + similarity) * (n[i] + n[j]) + 1e-9
             both, c = np.unique(np.stack([np.minimum(node[i], node[j])[ok], np.maximum(node[i], node[j])[ok]], 1), axis=0, return_counts=True)
             found.append(both)
             counts.append(c)
@@ -314,7 +331,7 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0
     Candidates are pairs that share a shingle of their heads (see head_size()), which no similar pair fails to do. First each text is compared with
     the first of the holders of its head's shingles by `orders` hashes, if they share many, and with those the trie join of SimHashes links to it; components of
     verified links follow. Then all pairs of candidates whose components still differ are looked at: first each text's likeliest one is compared, then those that are still apart, so nothing is missed and a large group is not compared
-    all with all. Before texts are compared, pairs go that share too few of the heads' shingles to be similar (see may_be_similar()). Shingles
+    all with all. Before texts are compared, pairs go whose parities() differ too much, and those that share too few of the heads' shingles (see may_be_similar()). Shingles
     that over `crowd` texts or so hold, by a sample, are put last in every set's order beforehand; the order has no bearing on the result. Equal texts
     form one node. Texts without words are linked only with each other. Null ids take no part. Rows that share a doc_id but not the text are documents of
     their own; rows that share both stay or go together. group_id is the smallest doc_id of a group, `stays` marks its row; documents alone in their group have no row.
@@ -322,7 +339,7 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0
     late = common_shingles(docs, words, crowd)
     rows = save(sketches(docs, words, similarity, late), "prints")
     small = rows.drop("head").withColumn("node", F.xxhash64("fp", "text_key"))
-    nodes = save(small.groupBy("node", "fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("last").alias("last")), "nodes")
+    nodes = save(small.groupBy("node", "fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("last").alias("last")), "nodes")
     some = nodes.where("n > 0")
 
     links = close_fingerprints(some, budget, rings)
@@ -344,7 +361,7 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0
     edges = save(similar_pairs(first, shingle_sets(docs, nodes, first, words), similarity), "similar")
     placed = save(components(edges), "placed")
     labelled = met.select("shingle", "node", "n", "place").join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rest = save(may_be_similar(apart_pairs(labelled, similarity, block), nodes, similarity), "pairs")
+    rest = save(may_be_similar(apart_pairs(labelled, nodes, similarity, block), nodes, similarity), "pairs")
     sets = shingle_sets(docs, nodes, rest, words)
     likely = rest.groupBy("a").agg(F.max(F.struct("c", "b")).alias("x")).select("a", "x.b").union(rest.groupBy("b").agg(F.max(F.struct("c", "a")).alias("x")).select("x.a", "b")).distinct()
     edges = save(edges.unionByName(similar_pairs(likely, sets, similarity)), "similar")
