@@ -485,6 +485,30 @@ def test_near_duplicates_at_the_edge(spark):
     assert len(set(want.values())) < len(texts) and groups_of(spark, texts) == want
 
 
+def test_parities_never_differ_in_more_bits_than_the_sets_in_members():
+    rng = np.random.default_rng(24)
+    bits = lambda x: simhash.parities(x).view(np.uint64)
+    assert not bits(np.empty(0, np.uint64)).any()
+    for n, apart in ((1, 1), (50, 0), (50, 12), (400, 90), (5_000, 900)):
+        own = rng.integers(0, 1 << 64, n + apart, dtype=np.uint64)
+        a, b = own[:n], own[apart:]
+        differ = int(np.bitwise_count(bits(a) ^ bits(b)).sum())
+        assert differ <= len(np.setxor1d(a, b)) and (differ > 0) == (apart > 0)
+
+
+def test_many_copies_of_one_text_with_similarities_about_the_limit(spark):
+    rng = random.Random(25)
+    base, texts = prose(rng, 90, 10**6).split(), []
+    for k in range(70):  # one or two words changed, or a longer tail of a text's own, so that many pairs lie about 0.8
+        w = list(base)
+        for at in rng.sample(range(90), 1 + k % 2):
+            w[at] = f"own{k}x{at}"
+        texts.append(" ".join(w + [f"tail{k}y{i}" for i in range(k % 9)]))
+    sets = five_word_sets(texts)
+    want = linked(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    assert groups_of(spark, texts, crowd=5, block=16) == want and 1 < len(set(want.values())) < len(texts)
+
+
 def test_lines_common_to_unlike_texts_do_not_hide_or_link(spark):
     rng = random.Random(23)
     line, texts = prose(rng, 40, 10**6), []
