@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varicube.llm import bpe, chunks, lm, mixing, quality, secrets, simhash, urls, vectors
+from varicube.llm import bpe, chat, chunks, lm, mixing, negatives, quality, secrets, simhash, trie, urls, vectors
 from varicube.llm.common import table
 
 
@@ -68,9 +70,34 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(table(spark, sf_dir, "pages"), labels)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(vectors.finite())
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    weights = F.transform("embedding", lambda x: F.floor(F.lit(256) * x.cast("double")))
+    return negatives.hard_negatives(rows.select("vec_id", label.alias("label"), weights.alias("weights")), F.col("vec_id") % 50 == 0)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), conv - conv % 20, F.crc32(conv.cast("string").cast("binary")) % 4)
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the table's rows are turns; a record in the layout of message lists joins them
+    rows = chat.canonical(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), ["conv_id", "turn"])
+    text = "</s>[INST] ok [/INST]"
+    record = json.dumps({"messages": [{"role": r, "content": text} for r in ("user", "assistant")]})
+    more = chat.canonical(spark.createDataFrame([(-7, record)], "conv_id long, record string"), ["conv_id"], json="record")
+    turns = chat.turns_of(rows, "turn").unionByName(chat.turns_of(more))
+    return chat.read_back(chat.format_turns(turns), in_order=True)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_near_vectors, op2_byte_bpe, op3_quality, op4_backoff_scores, op5_top_k, op6_secret_scan, op7_mixing, op8_substrings, op9_simhash, op10_url_filter)
+    for f in (
+        op1_near_vectors, op2_byte_bpe, op3_quality, op4_backoff_scores, op5_top_k, op6_secret_scan, op7_mixing, op8_substrings, op9_simhash, op10_url_filter, op11_hard_negatives,
+        op12_prefix_trie, op13_chat_format,
+    )
 }
 
 VALID = "embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
@@ -122,4 +149,56 @@ with v as (
   from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
 ), r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 20""",
+    "op11_hard_negatives": f"""
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as w
+  from embeddings where label is not null and {VALID}
+), s as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, cast(list_inner_product(a.w, c.w) as bigint) as score
+  from v a join v c on a.vec_id <> c.vec_id where a.vec_id % 50 = 0
+), p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, positive_id, cast(row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as int) as rank, vec_id as negative_id, positive_score, score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify rank <= 3""",
+    "op12_prefix_trie": r"""
+with t as (
+  select conv_id, role, text, row_number() over (partition by conv_id order by turn nulls first, role, text) as i
+  from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null) x
+), n as (select conv_id, count(*) as n from t group by conv_id),
+c as (
+  select conv_id, conv_id - conv_id % 20 as base, xor(list_reduce(list_transform(string_split(cast(conv_id as varchar), ''), lambda x: cast(ascii(x) as bigint)),
+    lambda a, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::bigint[], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)), xor(a, b)), 4294967295), 4294967295) % 4 as h from n
+), r as (
+  select c.conv_id, i as d, role, text from c join t on t.conv_id = c.base and i <= h
+  union all
+  select c.conv_id, least(h, coalesce(n.n, 0)) + i - h, role, text from c join t on t.conv_id = c.conv_id and i > h left join n on n.conv_id = c.base
+), p as (
+  select conv_id, d, string_agg(sha256(length(role) || ':' || role || text), ',') over (partition by conv_id order by d) as path,
+         len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) as words, max(d) over (partition by conv_id) as last
+  from r
+  union all
+  select c.conv_id, 0, '', 0, (select coalesce(max(d), 0) from r where r.conv_id = c.conv_id) from c
+), node as (
+  select d, path, min(conv_id) as id, count(*) as n, any_value(words) as words, count(*) filter (last = d) as ends, string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (last = d) as ended
+  from p group by d, path
+), sub as (
+  select p.d, p.path, sum((u.n - 1) * u.words) as saved, count(*) filter (u.n = u.ends) as leaves from node u join p on p.conv_id = u.id and p.d <= u.d group by p.d, p.path
+), up as (
+  select node.d, node.path, parent.id from node join p on p.conv_id = node.id and p.d = node.d - 1 join node parent on parent.d = p.d and parent.path = p.path
+), kids as (select parent.d, parent.path, count(*) as n from node join p on p.conv_id = node.id and p.d = node.d - 1 join node parent on parent.d = p.d and parent.path = p.path group by parent.d, parent.path)
+select node.id as conv_id, cast(node.d as bigint) as depth, up.id as parent_conv_id, node.n as n_convs, coalesce(kids.n, 0) as n_children, leaves as n_leaves, cast(saved as bigint) as saved_tokens, sha256(coalesce(ended, '')) as ends_sha256
+from node join sub on sub.d = node.d and sub.path = node.path left join up on up.d = node.d and up.path = node.path left join kids on kids.d = node.d and kids.path = node.path""",
+    "op13_chat_format": r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), m as (
+  select *, 32 + length(role) + length(text) + len(regexp_extract_all(role || ' ' || text, '\\|<\|im_start\|>|<\|im_sep\|>|<\|im_end\|>|<\|endoftext\|>|</?s>|\[/?INST\]|<</?SYS>>')) as size from t
+)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256, cast(sum(size) as bigint) as formatted_chars
+from m group by conv_id""",
 }
