@@ -66,7 +66,7 @@ def test_from_hits_to_groups(spark, tmp_path):
     (tmp_path / "hits.tsv").write_text("".join(f"1\tt{i}\t98.5\t0.0\t{c}\t{t}\n" for i, (t, c) in enumerate([(7, 100), (7, 95), (7, 90), (8, 20)])))
     (tmp_path / "taxa.tsv").write_text("tax_id\tparent_tax_id\trank\tname_txt\told_tax_id\n1\t1\tno rank\troot\t\n5\t1\tphylum\tP\t\n7\t5\tgenus\tG\t\n8\t5\tgenus\tH\t\n")
     variants = spark.createDataFrame([(1, "ACGT"), (2, "GGGG")], "variant_id long, sequence string")
-    got = workflow.assigned(variants, sheets.read_hits(spark, str(tmp_path / "hits.tsv")), sheets.read_taxonomy(spark, str(tmp_path / "taxa.tsv")))
+    got, _ = workflow.assigned(variants, sheets.read_hits(spark, str(tmp_path / "hits.tsv")), sheets.read_taxonomy(spark, str(tmp_path / "taxa.tsv")))
     assert {(r.variant_id, r.ltg_rank, r.ltg_tax_name, r.phylum) for r in got.collect()} == {(1, "genus", "G", "P"), (2, None, None, None)}
 
 

@@ -26,13 +26,6 @@ def is_nucleotides(sequence: Column) -> Column:
     return F.upper(sequence).rlike("^[ACGT]+$")
 
 
-def mismatches(window: Column, primer: Column) -> Column:
-    """Places at which the window's base is not among those that the primer's IUPAC code stands for; null if the lengths differ."""
-    codes = F.create_map(*[F.lit(x) for kv in BASES.items() for x in kv])
-    wrong = F.zip_with(F.split(window, ""), F.split(primer, ""), lambda b, c: F.when(F.instr(F.element_at(codes, c), b) > 0, 0).otherwise(1))
-    return F.when(F.length(window) == F.length(primer), F.aggregate(wrong, F.lit(0), lambda n, x: n + x))
-
-
 def stop_count(sequence: Column, frame: int, code: int = 5) -> Column:
     """Stop codons among the whole codons of reading frame 1, 2 or 3."""
     last = F.length(sequence) - 2

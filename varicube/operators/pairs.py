@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from varicube.functions.graphs import components
 from varicube.functions.storage import stored
 from varicube.operators import filters
 from varicube.operators.counts import N_IJ, RUN_MARKER, replicate_average, totals
@@ -12,31 +14,43 @@ from varicube.operators.counts import N_IJ, RUN_MARKER, replicate_average, total
 SAMPLE = [*RUN_MARKER, "sample_id"]
 
 
-def one_edit_pairs(variants: DataFrame) -> DataFrame:
+def deletion_keys(variants: DataFrame) -> DataFrame:
+    """(variant_id, at, base, rest): a hash of each sequence without the character at each place, and of the whole one at place 0. An index for one_edit_pairs."""
+    own = variants.select("variant_id", "sequence").where("sequence is not null")
+    placed = own.withColumn("at", F.explode(F.sequence(F.lit(0), F.length("sequence"))))
+    rest = F.expr("xxhash64(if(at = 0, sequence, concat(substr(sequence, 1, at - 1), substr(sequence, at + 1))))")
+    return placed.select("variant_id", "at", F.when(F.col("at") > 0, F.expr("substr(sequence, at, 1)")).alias("base"), rest.alias("rest"))
+
+
+def one_edit_pairs(variants: DataFrame, known: DataFrame | None = None, keys: DataFrame | None = None) -> DataFrame:
     """(variant_a, variant_b), a < b, of sequences that differ by one substitution, insertion or deletion.
 
     With one substitution, two sequences are equal without the character at that place; else the longer one without one of
     its characters is the shorter. So each sequence is keyed by hashes of itself without each of its characters, and of itself.
     Keys grow with the total length, and only sequences a step or two apart share one, however much of them is conserved.
+
+    known: variants of earlier runs, keys: their deletion_keys() if they are stored. Then only pairs with one of `variants` at least are returned: new ones meet the index, and the
+    known ones do not meet each other again.
     """
-    own = variants.select("variant_id", "sequence").where("sequence is not null")
-    places = own.where("sequence <> ''").withColumn("at", F.explode(F.sequence(F.lit(1), F.length("sequence"))))
-    rest = F.expr("xxhash64(concat(substr(sequence, 1, at - 1), substr(sequence, at + 1)))")
-    without = places.select("variant_id", "at", F.expr("substr(sequence, at, 1)").alias("base"), rest.alias("rest"))
-    a, b = [without.select(F.col("variant_id").alias(f"variant_{x}"), "at", "rest", F.col("base").alias(x)) for x in "ab"]
-    swapped = a.join(b, ["at", "rest"]).where("variant_a < variant_b and a <> b").select("variant_a", "variant_b")
-    longer = without.select(F.col("variant_id").alias("longer"), "rest").distinct()
-    shifted = longer.join(own.select(F.col("variant_id").alias("shorter"), F.xxhash64("sequence").alias("rest")), "rest")
-    shifted = shifted.select(F.least("longer", "shorter").alias("variant_a"), F.greatest("longer", "shorter").alias("variant_b"))
-    met = swapped.unionByName(shifted).distinct()
+    own = stored(variants.select("variant_id", "sequence").where("sequence is not null"), "variants")
+    fresh = stored(deletion_keys(own), "deletions")
+    index, every = fresh, own
+    if known is not None:
+        earlier = known.select("variant_id", "sequence").where("sequence is not null")
+        index, every = fresh.unionByName(keys if keys is not None else deletion_keys(earlier)), own.unionByName(earlier)
+    a, b = [x.select("rest", *[F.col(c).alias(f"{c}_{side}") for c in ("variant_id", "at", "base")]) for x, side in ((fresh, "a"), (index, "b"))]
+    swapped = "at_a > 0 and at_a = at_b and base_a <> base_b"
+    shifted = "(at_a = 0) <> (at_b = 0)"
+    met = a.join(b, "rest").where(f"variant_id_a <> variant_id_b and ({swapped} or {shifted})")
+    met = met.select(F.least("variant_id_a", "variant_id_b").alias("variant_a"), F.greatest("variant_id_a", "variant_id_b").alias("variant_b")).distinct()
     for x in "ab":
-        met = met.join(own.select(F.col("variant_id").alias(f"variant_{x}"), F.col("sequence").alias(x)), f"variant_{x}")
+        met = met.join(every.select(F.col("variant_id").alias(f"variant_{x}"), F.col("sequence").alias(x)), f"variant_{x}")
     return met.where(F.levenshtein("a", "b", 1) == 1).select("variant_a", "variant_b").distinct()
 
 
 def pcr_error_ratios(counts: DataFrame, variants: DataFrame) -> DataFrame:
     """In each sample that holds both of a one-edit pair, reads of the one over reads of the other, both ways round."""
-    pairs = one_edit_pairs(variants)
+    pairs = stored(one_edit_pairs(variants), "pairs")
     ways = pairs.toDF("variant_unexpected", "variant_expected").unionByName(pairs.toDF("variant_expected", "variant_unexpected"))
     n_ij = totals(counts, N_IJ, "n")
     u = n_ij.withColumnsRenamed({"variant_id": "variant_unexpected", "n": "n_ij_unexpected"})
@@ -52,46 +66,53 @@ def pcr_error(counts: DataFrame, variants: DataFrame, most: float = 0.1) -> Data
     return counts.join(bad, [*SAMPLE, "variant_id"], "left").select(*counts.columns, F.coalesce("gone", F.lit(False)).alias("filter_delete"))
 
 
+def branches(variants: DataFrame) -> DataFrame:
+    """(variant_id, len, side, k, part): the beginnings (side left) and ends (right) of each variant at which another one leaves it or it stops, by length and hash.
+
+    What a variant has in common with another one ends at such a place for both, so these rows tell all longest common beginnings and ends. Most places of a
+    sequence are none: there are about as many as a tree of all sequences forks along it.
+    """
+    own = variants.select("variant_id", "sequence", F.length("sequence").alias("len")).where("len > 0")
+    placed = own.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("len"))))
+    parts = {"left": F.expr("substr(sequence, 1, k)"), "right": F.expr("right(sequence, k)")}
+    sides = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.xxhash64(part).alias("part")) for side, part in parts.items()]))
+    cut = stored(placed.select("variant_id", "len", "k", sides.alias("s")).select("variant_id", "len", "k", "s.side", "s.part"), "parts")
+    held = cut.groupBy("side", "k", "part").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = cut.join(held, ["side", "k", "part"])
+    next_n = F.lead("n").over(Window.partitionBy("variant_id", "side").orderBy("k"))  # of one sequence's places
+    return shared.withColumn("next_n", next_n).where("next_n is null or next_n < n").select("variant_id", "len", "side", "k", "part")
+
+
 def chimeras(counts: DataFrame, variants: DataFrame, skew: float = 16) -> DataFrame:
     """run, marker, sample, variant, read_count and filter_delete: the variant is exactly a left part of one parent and a right part of another.
 
-    Both parents have at least `skew` times its reads in the sample, and differ. No pairs are formed: for each sample and each
-    prefix (and suffix) the two most abundant holders are found by one aggregation, and a child looks up
-    its own prefixes and suffixes, so the work follows the total length of the sequences. Prefixes go by hash with their length.
+    Both parents have at least `skew` (over 1) times its reads in the sample, and differ. No pairs are formed: for each sample and each
+    branching beginning (and end) the two most abundant holders are found by aggregation, and a child looks up its own. It is a chimera
+    if its longest beginning that a strong parent has and its longest end that another one has make up its length.
     """
     n = totals(counts, N_IJ, "read_count")
-    placed = n.join(variants, "variant_id")
-    # each variant's prefixes and suffixes are hashed once, whatever the number of samples
-    cut = variants.join(placed.select("variant_id").distinct(), "variant_id").select("variant_id", "sequence", F.length("sequence").alias("len"), F.explode(F.sequence(F.lit(1), F.length("sequence"))).alias("k"))
-    cut = cut.select("variant_id", "len", "k", F.xxhash64(F.expr("substr(sequence, 1, k)")).alias("left_part"), F.xxhash64(F.expr("right(sequence, k)")).alias("right_part"))
-    whole = stored(n.join(cut, "variant_id"), "ends")
-
-    def ends(side: str) -> DataFrame:
-        return whole.withColumn("part", F.col(f"{side}_part"))
-
-    def holders(side: str) -> DataFrame:
-        # the two largest by partial aggregation: the maximum, then the maximum of the rest
-        keyed = ends(side)
-        top = keyed.groupBy(*SAMPLE, "k", "part").agg(F.max(F.struct("read_count", "variant_id")).alias("top"), F.count(F.lit(1)).alias("holders")).where("holders > 1")
-        rest = keyed.join(top, [*SAMPLE, "k", "part"]).where("variant_id <> top.variant_id").groupBy(*SAMPLE, "k", "part").agg(F.max(F.struct("read_count", "variant_id")).alias("second"))
-        return top.join(rest, [*SAMPLE, "k", "part"]).select(*SAMPLE, "k", "part", F.array("top", "second").alias(side))
-
-    child = whole.where("k < len")
-    left = child.withColumn("part", F.col("left_part")).join(holders("left"), [*SAMPLE, "k", "part"]).select(*SAMPLE, "variant_id", "read_count", "len", "k", "left")
-    right = child.withColumn("part", F.col("right_part")).join(holders("right"), [*SAMPLE, "k", "part"]).select(*SAMPLE, "variant_id", (F.col("len") - F.col("k")).alias("k"), "right")
-    both = left.join(right, [*SAMPLE, "variant_id", "k"])
-    strong = lambda side: F.filter(side, lambda p: p["read_count"] >= F.col("read_count") * skew)
-    apart = F.exists(strong("left"), lambda a: F.exists(strong("right"), lambda b: a["variant_id"] != b["variant_id"]))
-    found = both.where(apart).select(*SAMPLE, "variant_id").distinct().withColumn("found", F.lit(True))
+    used = stored(variants.join(n.select("variant_id").distinct(), "variant_id", "left_semi"), "variants")
+    whole = stored(n.join(branches(used), "variant_id"), "branches")
+    node = [*SAMPLE, "side", "k", "part"]
+    # the two largest by partial aggregation: the maximum, then the maximum of the rest
+    top = whole.groupBy(*node).agg(F.max(F.struct("read_count", "variant_id")).alias("top"), F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    rest = whole.join(top, node).where("variant_id <> top.variant_id").groupBy(*node).agg(F.max(F.struct("read_count", "variant_id")).alias("second"))
+    held = top.join(rest, node).select(*node, F.array("top", "second").alias("held"))
+    met = whole.join(held, node).withColumn("parent", F.explode("held")).where(F.col("parent.read_count") >= F.col("read_count") * skew)
+    found = F.struct(F.least("k", F.col("len") - 1).alias("k"), F.col("parent.variant_id").alias("id"))
+    sides = [F.collect_list(F.when(F.col("side") == side, found)).alias(side) for side in ("left", "right")]  # two a branch of one sequence at most
+    parents = met.groupBy(*SAMPLE, "variant_id", "len").agg(*sides)
+    joined = F.exists("left", lambda a: F.exists("right", lambda b: (a["id"] != b["id"]) & (a["k"] > 0) & (b["k"] > 0) & (a["k"] + b["k"] >= F.col("len"))))
+    found = parents.where(joined).select(*SAMPLE, "variant_id").withColumn("found", F.lit(True))
     return n.join(found, [*SAMPLE, "variant_id"], "left").select(*SAMPLE, "variant_id", "read_count", F.coalesce("found", F.lit(False)).alias("filter_delete"))
 
 
-def chimera_borderline(counts: DataFrame, variants: DataFrame, skew: float = 16) -> DataFrame:
-    """As chimeras, but flags only the chimeras that are one edit from a single parent: they may as well be errors of it."""
+def chimera_borderline(counts: DataFrame, variants: DataFrame, skew: float = 16, differences: int = 1) -> DataFrame:
+    """As chimeras, but flags only the chimeras that are at most `differences` edits from a single parent: they may as well be errors of it."""
     n = totals(counts, N_IJ, "n_parent").withColumnRenamed("variant_id", "parent_id")
-    pairs = one_edit_pairs(variants)
-    ways = pairs.toDF("variant_id", "parent_id").unionByName(pairs.toDF("parent_id", "variant_id"))
-    flagged = chimeras(counts, variants, skew)
+    flagged = stored(chimeras(counts, variants, skew), "chimeras")
+    some = stored(variants.join(n.select(F.col("parent_id").alias("variant_id")).distinct(), "variant_id", "left_semi"), "variants")
+    ways = pairs_within(some, differences).toDF("variant_id", "parent_id")
     near = flagged.where("filter_delete").join(ways, "variant_id").join(n, [*SAMPLE, "parent_id"]).where(F.col("n_parent") >= F.col("read_count") * skew)
     near = near.select(*SAMPLE, "variant_id").distinct().withColumn("near", F.lit(True))
     return flagged.join(near, [*SAMPLE, "variant_id"], "left").select(*SAMPLE, "variant_id", "read_count", (F.col("filter_delete") & F.coalesce("near", F.lit(False))).alias("filter_delete"))
@@ -134,50 +155,97 @@ def filter_chain(counts: DataFrame, variants: DataFrame, cutoffs: filters.LfnCut
 
 
 def close_pairs(variants: DataFrame, identity: float = 0.97) -> DataFrame:
-    """(a, b), a <> b both ways, of sequences whose edit distance is at most (1 - identity) of the longer one's length.
-
-    e edits leave one of e + 1 segments of the longer one whole. If the other is d shorter and the segment lies s places
-    further on in it, |s| edits stand before the segment and |d + s| after it, so s is between -(e + d) / 2 and (e - d) / 2.
-    Each sequence gives its windows at these places for each length that a longer one may have and some sequence has; hashes
-    of segments and windows meet by an equi-join, and the distance confirms. Null and empty sequences take no part.
-    """
+    """(a, b), a <> b both ways, of sequences whose edit distance is at most (1 - identity) of the longer one's length. Null and empty sequences take no part."""
     if not 0 < identity <= 1:
         raise ValueError("identity has to be over 0 and 1 at most")
     edits = F.floor((1 - F.lit(identity)) * F.col("len")).cast("int")
-    base = variants.select("variant_id", "sequence", F.length("sequence").alias("len")).where("len > 0")
-    lengths = base.select("len").distinct().withColumn("e", edits).withColumn("w", F.expr("cast(len div (e + 1) as int)"))
-    place = F.explode(F.sequence(F.lit(0), F.col("e"))).alias("j")
-    segments = base.join(lengths, "len").select(F.col("variant_id").alias("b"), "len", "w", "sequence", place)
-    segments = segments.select("b", "len", "j", F.expr("xxhash64(substr(sequence, j * w + 1, w))").alias("word"))
-    longer = F.explode(F.sequence("short", F.floor(F.col("short") / identity).cast("int") + 1)).alias("len")
+    return segment_pairs(variants, edits, F.floor(F.col("short") / identity).cast("int") + 1)
+
+
+def pairs_within(variants: DataFrame, edits: int) -> DataFrame:
+    """(a, b), a <> b both ways, of sequences at most `edits` edits apart. Null and empty sequences take no part."""
+    return segment_pairs(variants, F.lit(edits), F.col("short") + edits)
+
+
+def segment_pairs(variants: DataFrame, edits: Column, longest: Column) -> DataFrame:
+    """Pairs (a, b) both ways whose edit distance is at most `edits`, a column of the longer one's length `len`; longest, a column of a length `short`, is what a longer one may have."""
+    base = stored(variants.select("variant_id", "sequence", F.length("sequence").alias("len")).where("len > 0"), "sequences")
+    met = segment_candidates(base, edits, longest)
+    for x in "ab":
+        met = met.join(base.select(F.col("variant_id").alias(x), F.col("sequence").alias(f"s{x}")), x)
+    most = met.withColumn("len", F.greatest(F.length("sa"), F.length("sb"))).withColumn("most", edits.cast("int"))
+    near = stored(most.where(F.levenshtein("sa", "sb") <= F.col("most")).select("a", "b"), "close")
+    return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def segment_candidates(base: DataFrame, edits: Column, longest: Column) -> DataFrame:
+    """(a, b), a < b: pairs of which one has a segment of the other, no pair of segment_pairs() missing. base: variant_id, sequence, len.
+
+    The longer sequence is cut into m segments of some ten characters, more than e + 1. e edits leave m - e of them whole, so of any e + 1 at least one: each sequence uses
+    its e + 1 rarest, by how many windows hold their text. What is conserved in up to m - e - 1 segments brings nothing together.
+    If the other is d shorter and the segment lies s places further on in it, |s| edits stand before the segment and |d + s| after it, so s is between
+    -(e + d) / 2 and (e - d) / 2. Each sequence gives its windows at these places for each length that a longer one may have and some sequence
+    has; hashes of segments and windows meet by an equi-join.
+    """
+    lengths = base.select("len").distinct().withColumn("e", edits.cast("int"))
+    lengths = lengths.withColumn("m", F.expr("greatest(e + 1, least(len div 10, 4 * (e + 1)))")).withColumn("w", F.expr("cast(len div m as int)"))
+    lengths = stored(lengths, "lengths")
+    place = F.explode(F.expr("sequence(0, cast(m - 1 as int))")).alias("j")
+    segments = base.join(lengths, "len").select(F.col("variant_id").alias("b"), "len", "e", "w", "sequence", place)
+    segments = stored(segments.select("b", "len", "e", "j", F.expr("xxhash64(substr(sequence, j * w + 1, w))").alias("word")), "segments")
+    longer = F.explode(F.sequence("short", longest)).alias("len")
     windows = base.withColumnRenamed("len", "short").select(F.col("variant_id").alias("a"), "sequence", "short", longer)
     windows = windows.join(lengths, "len").withColumn("d", F.col("len") - F.col("short")).where("d <= e")
     shifts = F.explode(F.expr("sequence(cast(-((e + d) div 2) as int), cast((e - d) div 2 as int))")).alias("s")
     windows = windows.select("a", "sequence", "short", "len", "w", "e", "d", place).select("a", "sequence", "short", "len", "w", "j", shifts)
     windows = windows.withColumn("at", F.col("j") * F.col("w") + 1 + F.col("s")).where("at >= 1 and at + w - 1 <= short")
     windows = windows.select("a", "len", "j", F.expr("xxhash64(substr(sequence, at, w))").alias("word"))
-    met = windows.join(segments, ["len", "j", "word"]).where("a <> b")
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    for x in "ab":
-        met = met.join(base.select(F.col("variant_id").alias(x), F.col("sequence").alias(f"s{x}")), x)
-    most = F.floor((1 - F.lit(identity)) * F.greatest(F.length("sa"), F.length("sb"))).cast("int")
-    near = met.where(F.levenshtein("sa", "sb") <= most).select("a", "b")
-    return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    often = windows.groupBy("len", "j", "word").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("b").orderBy("n", "j"))  # of one sequence's segments
+    rarest = segments.join(often, ["len", "j", "word"]).withColumn("r", rank).where("r <= e + 1").select("b", "len", "j", "word")
+    met = windows.join(rarest, ["len", "j", "word"]).where("a <> b")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def greedy_clusters(sizes: DataFrame, close: DataFrame) -> DataFrame:
+def greedy_clusters(sizes: DataFrame, close: DataFrame, largest: int = 1 << 20) -> DataFrame:
     """(variant_id, clusterid): greedy clustering by (size descending, id), as if variants were taken one after the other.
 
     sizes: variant_id, size; close: symmetric pairs (a, b). A variant is a centroid if no earlier centroid is close to it, else a
-    member of the earliest such. Rounds: an undecided variant all of whose earlier neighbours are members becomes a centroid; its
-    later neighbours become members once nothing undecided stands before their earliest centroid. Few rounds are needed in practice;
-    only a count of the undecided reaches the driver.
+    member of the earliest such. Variants that no pairs connect have no bearing on each other, so connected components are found first and each of up to
+    `largest` pairs is worked off in order in its own task. Only larger ones go through rounds: an undecided variant all of whose earlier neighbours are
+    members becomes a centroid; its later neighbours become members once nothing undecided stands before their earliest centroid.
     """
     order = F.struct((-F.col("size")).alias("neg"), F.col("variant_id").alias("id"))
     nodes = stored(sizes.select("variant_id", order.alias("ord")), "cluster-nodes")
     edges = close.join(nodes.select(F.col("variant_id").alias("a"), F.col("ord").alias("oa")), "a").join(nodes.select(F.col("variant_id").alias("b"), F.col("ord").alias("ob")), "b")
-    edges = stored(edges.where("oa < ob").select("a", "oa", "b"), "cluster-edges")  # a stands before b
-    state = nodes.withColumn("clusterid", F.lit(None).cast("long"))
+    edges = stored(edges.where("oa < ob").select("a", "oa", "b", "ob").distinct(), "cluster-edges")  # a stands before b
+    placed = stored(components(edges.select("a", "b")), "cluster-components")
+    known = edges.join(placed.withColumnRenamed("node", "a"), "a")
+    crowded = stored(known.groupBy("component").count().where(F.col("count") > largest).select("component"), "cluster-large")
+    small = known.join(crowded, "component", "left_anti")
+
+    def in_order(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["neg", "a"])
+        cluster: dict[int, int] = {}
+        for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist()):  # what stands before a has been dealt with
+            if cluster.setdefault(a, a) == a:
+                cluster.setdefault(b, a)
+        for b in pdf["b"].tolist():
+            cluster.setdefault(b, b)
+        return pd.DataFrame(list(cluster.items()), columns=["variant_id", "clusterid"], dtype="int64")
+
+    told = small.select("component", "a", F.col("oa.neg").alias("neg"), "b").groupBy("component").applyInPandas(in_order, "variant_id long, clusterid long")
+    alone = nodes.select("variant_id").join(placed.select(F.col("node").alias("variant_id")), "variant_id", "left_anti").withColumn("clusterid", F.col("variant_id"))
+    told = alone.unionByName(told)
+    if crowded.isEmpty():
+        return told
+    wide = known.join(crowded, "component", "left_semi").select("a", "oa", "b")
+    state = nodes.join(placed.join(crowded, "component", "left_semi").select(F.col("node").alias("variant_id")), "variant_id").withColumn("clusterid", F.lit(None).cast("long"))
+    return told.unionByName(in_rounds(state, stored(wide, "cluster-edges")))
+
+
+def in_rounds(state: DataFrame, edges: DataFrame) -> DataFrame:
+    """greedy_clusters() of variants (variant_id, ord, clusterid still null) by rounds over edges (a, oa, b), a before b. Only whether any is undecided reaches the driver."""
     while True:
         state = stored(state, "clusters")
         if state.where("clusterid is null").isEmpty():

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from varicube.functions.sequences import mismatches, reverse_complement
+from varicube.functions.sequences import BASES, COMPLEMENT, IUPAC, reverse_complement
 
 TO_COMPLEMENT = np.frombuffer(bytes.maketrans(b"ACGTN", b"TGCAN"), np.uint8)
 
 
-def merge_pairs(pairs: DataFrame, least_overlap: int = 50, most_differences: float = 0.1, most_errors: float = 1.0, least_length: int = 100, most_length: int = 500, most_ns: int = 0, truncate_quality: int = 10, least_read: int = 50, offset: int = 33) -> DataFrame:
-    """(read_id, sequence, errors) of mates that merge. pairs: read_id, fwd_seq, fwd_qual, rev_seq, rev_qual.
+def merge_pairs(pairs: DataFrame, least_overlap: int = 50, most_differences: float = 0.1, most_errors: float = 1.0, least_length: int = 100, most_length: int = 500, most_ns: int = 0, truncate_quality: int = 10, least_read: int = 50, offset: int = 33, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(read_id, sequence, errors) of mates that merge, with the columns named in `keep`. pairs: read_id, fwd_seq, fwd_qual, rev_seq, rev_qual.
 
     Each mate is cut before its first base of quality `truncate_quality` or less and needs `least_read` bases. The second is
     reverse-complemented; of all overlaps of `least_overlap` or more, with at most the given share of differences, the
@@ -48,15 +52,15 @@ def merge_pairs(pairs: DataFrame, least_overlap: int = 50, most_differences: flo
     def merged(pdf: pd.DataFrame) -> pd.DataFrame:
         a, qa, na = mate(pdf["fwd_seq"], pdf["fwd_qual"])
         r, qr, nb = mate(pdf["rev_seq"], pdf["rev_qual"])
-        keep = np.flatnonzero((na >= least_read) & (nb >= least_read) & (na > 0) & (nb > 0))
-        a, qa, na, r, qr, nb = (v[keep] for v in (a, qa, na, r, qr, nb))
-        if not len(keep):
-            return pdf.iloc[:0][["read_id"]].assign(sequence="", errors=0.0)
+        kept = np.flatnonzero((na >= least_read) & (nb >= least_read) & (na > 0) & (nb > 0))
+        a, qa, na, r, qr, nb = (v[kept] for v in (a, qa, na, r, qr, nb))
+        if not len(kept):
+            return pdf.iloc[:0][["read_id", *keep]].assign(sequence="", errors=0.0)
         # the second mate, reverse-complemented, from the left; the first one's end at the right edge
         turn = lambda x: taken(x[:, ::-1], x.shape[1] - nb, int(nb.max()))
         b, qb = TO_COMPLEMENT[turn(r)], turn(qr)
         ends = taken(a, na - int(na.max()), int(na.max()))
-        most, fewest, overlap = np.minimum(na, nb), np.full(len(keep), np.iinfo(np.int64).max), np.zeros(len(keep), np.int64)
+        most, fewest, overlap = np.minimum(na, nb), np.full(len(kept), np.iinfo(np.int64).max), np.zeros(len(kept), np.int64)
         for n in range(int(most.max()), max(1, least_overlap) - 1, -1):
             wrong = (ends[:, ends.shape[1] - n :] != b[:, :n]).sum(1)
             better = (n <= most) & (wrong <= most_differences * n) & (wrong < fewest)
@@ -66,7 +70,7 @@ def merge_pairs(pairs: DataFrame, least_overlap: int = 50, most_differences: flo
         at = np.arange(width)
         back = lambda x: taken(x, overlap - na, width)
         in_a, in_b = at < na[:, None], (at >= (na - overlap)[:, None]) & (at < size[:, None])
-        zero = np.zeros(len(keep), np.int64)
+        zero = np.zeros(len(kept), np.int64)
         x, qx, y, qy = taken(a, zero, width), taken(qa, zero, width), back(b), back(qb)
         first = in_a & (~in_b | (qx >= qy))
         bases, quality = np.where(first, x, y), np.where(first, qx, qy)
@@ -75,7 +79,7 @@ def merge_pairs(pairs: DataFrame, least_overlap: int = 50, most_differences: flo
         ok = (overlap > 0) & (size >= least_length) & (size <= most_length) & (((bases == ord("N")) & inside).sum(1) <= most_ns) & (errors <= most_errors)
         text = bases[ok][inside[ok]].tobytes().decode("ascii")
         cuts = np.concatenate([[0], np.cumsum(size[ok])])
-        return pd.DataFrame({"read_id": pdf["read_id"].iloc[keep[ok]].to_numpy(), "sequence": [text[i:j] for i, j in zip(cuts, cuts[1:])], "errors": errors[ok]})
+        return pdf[["read_id", *keep]].iloc[kept[ok]].assign(sequence=[text[i:j] for i, j in zip(cuts, cuts[1:])], errors=errors[ok])
 
     def run(batches):
         for pdf in batches:
@@ -83,8 +87,8 @@ def merge_pairs(pairs: DataFrame, least_overlap: int = 50, most_differences: flo
             for at in range(0, len(whole), 2_000):
                 yield merged(whole.iloc[at : at + 2_000])
 
-    kind = dict(pairs.dtypes)["read_id"]
-    return pairs.select("read_id", "fwd_seq", "fwd_qual", "rev_seq", "rev_qual").mapInPandas(run, f"read_id {kind}, sequence string, errors double")
+    schema = T.StructType([*[pairs.schema[c] for c in ("read_id", *keep)], T.StructField("sequence", T.StringType()), T.StructField("errors", T.DoubleType())])
+    return pairs.select("read_id", *keep, "fwd_seq", "fwd_qual", "rev_seq", "rev_qual").mapInPandas(run, schema)
 
 
 def both_strands(reads: DataFrame, column: str = "raw") -> DataFrame:
@@ -106,19 +110,67 @@ def demux_anchored(reads: DataFrame, tags: DataFrame, column: str = "raw") -> Da
     return found.withColumn("inner", F.expr(f"substr({column}, lf + 1, length({column}) - lf - lr)")).drop("lf", "lr", "head", "tail")
 
 
-def demux_floating(reads: DataFrame, tags: DataFrame, read_key: str = "read_id", column: str = "raw") -> DataFrame:
-    """Reads that hold a forward tag anywhere and the reverse complement of its partner behind it; the first place of each counts.
+def demux_floating(reads: DataFrame, tags: DataFrame, read_key: str = "read_id", column: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Reads that hold a forward tag anywhere and the reverse complement of its partner behind it; the first place of each counts. `inner` is what is between.
 
-    Equal rows come out once. Windows of a read meet the forward tags by an equi-join; what lies behind is searched for the partner. `inner` is what is between.
+    One automaton of all tags, forward ones and reversed partners, goes over each read once, whatever the number of tags. tags is a sheet that a user has written: its distinct rows
+    are held by every task. Rows come out for hits only, equal ones once. Null and empty tags find nothing. keep: other columns of the reads to return.
     """
-    t = tags.withColumns({"w": F.length("tagfwd"), "word": F.col("tagfwd"), "tail": reverse_complement(F.col("tagrev"))})
-    widths = F.broadcast(t.select("w").distinct())  # tag lengths: a few
-    windows = reads.join(widths, F.length(column) >= F.col("w")).withColumn("at", F.explode(F.sequence(F.lit(1), F.length(column) - F.col("w") + 1)))
-    windows = windows.withColumn("word", F.expr(f"substr({column}, at, w)"))
-    met = windows.join(t, ["w", "word"]).withColumn("behind", F.expr(f"substr({column}, at + w)")).withColumn("end_", F.expr("instr(behind, tail)")).where("end_ > 0")
-    keys = [c for c in tags.columns]
-    first = F.min_by(F.struct("at", F.expr("substr(behind, 1, end_ - 1)").alias("inner")), "at")
-    return met.groupBy(read_key, column, *keys).agg(first.alias("f")).select(read_key, column, *keys, F.col("f.at").alias("place"), F.col("f.inner").alias("inner"))
+    sheet = [tuple(r) for r in tags.distinct().collect()]
+    place = {c: i for i, c in enumerate(tags.columns)}
+    pairs = [(r[place["tagfwd"]], r[place["tagrev"]]) for r in sheet]
+    pairs = [(a, b[::-1].translate(str.maketrans(IUPAC, COMPLEMENT))) if a and b else None for a, b in pairs]
+    schema = T.StructType([*[reads.schema[c] for c in (read_key, *keep, column)], *tags.schema.fields, T.StructField("place", T.IntegerType()), T.StructField("inner", T.StringType())])
+    kinds = tags.schema.fields
+
+    def run(batches):
+        words = sorted({w for p in pairs if p for w in p})
+        by_head: dict[str, list[int]] = {}
+        for i, p in enumerate(pairs):
+            if p:
+                by_head.setdefault(p[0], []).append(i)
+        places = word_places(words)
+        for pdf in batches:
+            out = []
+            for *own, text in zip(*[pdf[c] for c in (read_key, *keep, column)]):
+                found = places(text or "")
+                for head in by_head.keys() & found.keys():
+                    first = found[head][0]
+                    behind = first + len(head)
+                    for i in by_head[head]:
+                        ends = found.get(pairs[i][1], ())
+                        at = bisect_left(ends, behind)
+                        if at < len(ends):
+                            out.append((*own, text, *sheet[i], first + 1, text[behind : ends[at]]))
+            if out:
+                frame = pd.DataFrame(out, columns=schema.names)
+                yield frame.astype({f.name: "Int64" for f in kinds if isinstance(f.dataType, T.IntegralType)})
+
+    return reads.select(read_key, *keep, column).mapInPandas(run, schema).distinct() if sheet else reads.sparkSession.createDataFrame([], schema)
+
+
+def word_places(words: list[str]):
+    """A function that gives, for a text, the places of each word that it holds, in order: one pass over the text by an automaton of all words."""
+    try:
+        import ahocorasick
+    except ImportError:  # a pass for each word
+        def slowly(text: str) -> dict[str, list[int]]:
+            found = {w: [m.start() for m in re.finditer(f"(?={re.escape(w)})", text)] for w in words}
+            return {w: at for w, at in found.items() if at}
+
+        return slowly
+    automaton = ahocorasick.Automaton()
+    for w in words:
+        automaton.add_word(w, w)
+    automaton.make_automaton()
+
+    def places(text: str) -> dict[str, list[int]]:
+        found: dict[str, list[int]] = {}
+        for end, w in automaton.iter(text) if words else ():
+            found.setdefault(w, []).append(end + 1 - len(w))
+        return found
+
+    return places
 
 
 def tag_conflicts(sheet: DataFrame, file_col: str) -> DataFrame:
@@ -126,27 +178,78 @@ def tag_conflicts(sheet: DataFrame, file_col: str) -> DataFrame:
     return sheet.groupBy(file_col, "tagfwd", "tagrev").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def primer_trim(reads: DataFrame, fwd: str, rev: str, most: float = 0.1, column: str = "inner", anchored: bool = True) -> DataFrame:
+def primer_trim(reads: DataFrame, fwd: str | Column, rev: str | Column, most: float = 0.1, column: str = "inner", anchored: bool = True) -> DataFrame:
     """Reads whose start matches the forward primer and whose end the reverse-complemented reverse one, without them.
 
-    At most that share of a primer's bases may differ, without indels; IUPAC codes match any base that they stand for. Floating
-    primers may begin and end anywhere: the first place of the forward one, and the first of the reverse one behind it, count.
+    At most that share of a primer's bases may differ, without indels; IUPAC codes match any base that they stand for. Primers may be
+    columns. Floating primers may begin and end anywhere: the first place of the forward one, and the first of the reverse one behind it, count. Only the text goes to Python and back come
+    two numbers: a batch's bases are one matrix of masks of four bits, in which a primer base is compared with all reads and places at once.
     """
-    s = F.col(column)
-    back = reverse_complement(F.lit(rev))
-    if anchored:
-        head = mismatches(F.substring(s, 1, len(fwd)), F.lit(fwd))
-        tail = mismatches(F.right(s, F.lit(len(rev))), back)
-        fits = (F.length(s) >= len(fwd) + len(rev)) & (head <= int(most * len(fwd))) & (tail <= int(most * len(rev)))
-        return reads.where(fits).withColumn("sequence", F.substring(s, F.lit(len(fwd) + 1), F.length(s) - len(fwd) - len(rev)))
-
-    def first(text, primer, width: int):
-        places = F.when(F.length(text) >= width, F.sequence(F.lit(1), F.length(text) - width + 1))
-        return F.try_element_at(F.filter(places, lambda i: mismatches(F.substring(text, i, F.lit(width)), primer) <= int(most * width)), F.lit(1))
-
-    placed = reads.withColumn("at_", first(s, F.lit(fwd), len(fwd))).where("at_ is not null").withColumn("behind_", F.substring(s, F.col("at_") + len(fwd), F.length(s)))
-    ended = placed.withColumn("end_", first(F.col("behind_"), back, len(rev))).where("end_ is not null")
-    return ended.withColumn("sequence", F.substring("behind_", F.lit(1), F.col("end_") - 1)).drop("at_", "behind_", "end_")
+
+    def trimmed(texts: pd.Series, fwd: str, rev: str) -> tuple[np.ndarray, np.ndarray]:
+        """Start of each text's inner part, -1 where a primer is missing, and its length."""
+        back, limits = rev[::-1].translate(str.maketrans(IUPAC, COMPLEMENT)), (int(most * len(fwd)), int(most * len(rev)))
+        masks, n = base_masks(texts)
+        if anchored:
+            tails = aligned_right(masks, n)
+            ok = (n >= len(fwd) + len(rev)) & (wrong_bases(masks, fwd, 1)[:, 0] <= limits[0]) & (wrong_bases(tails[:, max(0, tails.shape[1] - len(back)) :], back, 1)[:, 0] <= limits[1])
+            first, last = np.full(len(texts), len(fwd)), n - len(rev)
+        else:
+            first, found = first_place(wrong_bases(masks, fwd) <= limits[0], n - len(fwd), np.zeros(len(texts), np.int64))
+            first = first + len(fwd)
+            last, ended = first_place(wrong_bases(masks, back) <= limits[1], n - len(rev), first)
+            ok = found & ended
+        return np.where(ok, first, -1), np.where(ok, last - first, 0)
+
+    def cut(texts: pd.Series, fwds: pd.Series, revs: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame({"start": -1, "size": 0}, index=texts.index)
+        for (f, r), some in texts.fillna("").groupby([fwds, revs]):  # a few primers; rows without one have no group
+            for at in range(0, len(some), 4096):
+                part = some.iloc[at : at + 4096]
+                out.loc[part.index, "start"], out.loc[part.index, "size"] = trimmed(part, f, r)
+        return out
+
+    place = F.pandas_udf(cut, "start long, size long")
+    cut_ = reads.withColumn("cut_", place(F.col(column), *[F.lit(p) if isinstance(p, str) else p for p in (fwd, rev)])).where("cut_.start >= 0")
+    return cut_.withColumn("sequence", F.substring(F.col(column), (F.col("cut_.start") + 1).cast("int"), F.col("cut_.size").cast("int"))).drop("cut_")
+
+
+# a bit for each of A, C, G and T
+MASKS = {code: sum(1 << "ACGT".index(b) for b in bases) for code, bases in BASES.items()}
+READ_MASKS = np.zeros(256, np.uint8)
+READ_MASKS[[ord(b) for b in "ACGT"]] = [1, 2, 4, 8]
+
+
+def base_masks(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """A row of masks for each text, zeros (which match nothing) behind it, and the lengths."""
+    n = texts.str.len().to_numpy(np.int64)
+    inside = np.arange(n.max(initial=0)) < n[:, None]
+    out = np.zeros(inside.shape, np.uint8)
+    out[inside] = READ_MASKS[np.frombuffer("".join(texts).encode("ascii", "replace"), np.uint8)]
+    return out, n
+
+
+def aligned_right(masks: np.ndarray, n: np.ndarray) -> np.ndarray:
+    at = np.arange(masks.shape[1]) - (masks.shape[1] - n)[:, None]
+    return np.where(at >= 0, np.take_along_axis(masks, np.maximum(at, 0), 1), 0) if masks.size else masks
+
+
+def wrong_bases(masks: np.ndarray, primer: str, places: int | None = None) -> np.ndarray:
+    """For each read and place, bases of the primer that do not match there; beyond a read's end none do."""
+    places = masks.shape[1] if places is None else places
+    wide = np.zeros((len(masks), places + len(primer)), np.uint8)
+    wide[:, : min(masks.shape[1], wide.shape[1])] = masks[:, : wide.shape[1]]
+    out = np.zeros((len(masks), places), np.int16)
+    for j, code in enumerate(primer):
+        out += (wide[:, j : j + places] & MASKS[code]) == 0
+    return out
+
+
+def first_place(fits: np.ndarray, last: np.ndarray, since: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first place of each row from `since` to `last` that fits, and whether there is one."""
+    at = np.arange(fits.shape[1])
+    fits = fits & (at <= last[:, None]) & (at >= since[:, None])
+    return (fits.argmax(1), fits.any(1)) if fits.shape[1] else (np.zeros(len(fits), np.int64), np.zeros(len(fits), bool))
 
 
 def length_window(reads: DataFrame, least: int = 50, most: int = 500, column: str = "sequence") -> DataFrame:

@@ -137,21 +137,3 @@ def annotate(variants: DataFrame, groups: DataFrame, taxonomy: DataFrame) -> Dat
 def unassigned(variants: DataFrame, store: DataFrame, reset: bool = False) -> DataFrame:
     """Variants still to be assigned: all on reset, else those without a stored group."""
     return variants if reset else variants.join(store.where("ltg_tax_id is not null").select("variant_id"), "variant_id", "left_anti")
-
-
-def similar_targets(queries: DataFrame, targets: DataFrame, k: int = 11, identity: float = 70, coverage: float = 80) -> DataFrame:
-    """(variant_id, target_id, identity, coverage): targets that share k-mers with a query over most of it.
-
-    queries: variant_id, sequence; targets: target_id, sequence. k-mers meet by an equi-join; a pair's coverage is the span of its shared
-    k-mers in the query, and its identity 100 less the edit distance in per cent of the longer sequence. Both are approximations of an alignment's.
-    """
-    def words(df: DataFrame, key: str) -> DataFrame:
-        starts = F.when(F.length("sequence") >= k, F.sequence(F.lit(1), F.length("sequence") - k + 1))
-        return df.select(key, F.explode(starts).alias("pos"), "sequence").select(key, "pos", F.xxhash64(F.expr(f"substr(sequence, pos, {k})")).alias("word"))
-
-    shared = words(queries, "variant_id").join(words(targets, "target_id").drop("pos").distinct(), "word")
-    spans = shared.groupBy("variant_id", "target_id").agg((F.max("pos") - F.min("pos") + k).alias("span"))
-    q, t = queries.select("variant_id", F.col("sequence").alias("sq")), targets.select("target_id", F.col("sequence").alias("st"))
-    told = spans.join(q, "variant_id").join(t, "target_id")
-    told = told.withColumn("coverage", F.col("span") * 100.0 / F.length("sq")).where(F.col("coverage") >= coverage)
-    return told.withColumn("identity", (1 - F.levenshtein("sq", "st") / F.greatest(F.length("sq"), F.length("st"))) * 100).where(F.col("identity") >= identity).select("variant_id", "target_id", "identity", "coverage")

@@ -58,22 +58,27 @@ def resolve(given: dict | None = None) -> Params:
 
 
 def read_params(path: str) -> Params:
-    """Parameters from a text of lines `name: value`, as flat YAML has them; # begins a comment, an empty value or null is none."""
+    """Parameters from a text of lines `name: value`, as flat YAML has them; # begins a comment. A value that no parameter takes is an error that names its line."""
     given = {}
     with open(path, encoding="utf-8") as lines:
-        for line in lines:
+        for number, line in enumerate(lines, 1):
             name, colon, value = line.split("#")[0].strip().partition(":")
             if not name or name == "---":
                 continue
             if not colon:
-                raise ValueError(f"not a line of name and value: {line.strip()}")
-            given[name.strip()] = parsed(value.strip())
+                raise ValueError(f"{path}, line {number}: not a line of name and value: {line.strip()}")
+            try:
+                given[name.strip()] = parsed(value.strip())
+            except ValueError:
+                raise ValueError(f"{path}, line {number}: {name.strip()} can't be {value.strip()}") from None
     return resolve(given)
 
 
 def parsed(text: str):
-    """A number, a truth value or none; anything else is an error, as no parameter takes it."""
-    fixed = {"": None, "null": None, "true": True, "false": False, "0": 0, "1": 1}
+    """A number, a truth value or none, in quotes or not; anything else is an error, as no parameter takes it."""
+    if len(text) > 1 and text[0] == text[-1] and text[0] in "'\"":
+        text = text[1:-1].strip()
+    fixed = {"": None, "null": None, "~": None, "true": True, "yes": True, "on": True, "false": False, "no": False, "off": False}
     if text.lower() in fixed:
         return fixed[text.lower()]
     return float(text) if any(c in text for c in ".eE") else int(text)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from varicube.functions.sequences import reverse_complement
-from varicube.operators import reads, taxonomy
+from varicube.operators import alignment, reads, taxonomy
 from varicube.plans.denoising import nijk, variant
 from varicube.plans.fixtures import PRIMER_FWD, PRIMER_REV, ctes, rc, view
 from varicube.plans.registry import query
@@ -14,7 +14,9 @@ from varicube.sources import sinks
 
 RANKS = taxonomy.RANKS
 # All ranks that a lowest group may have, from the broadest to the narrowest, written out for the SQL.
-ALL_RANKS = "no rank,phylum,superclass,class,subclass,infraclass,superorder,order,suborder,infraorder,family,subfamily,genus,subgenus,species,subspecies".split(",")
+ALL_RANKS = [
+    "no rank", "phylum", "superclass", "class", "subclass", "infraclass", "superorder", "order", "suborder", "infraorder", "family", "subfamily", "genus", "subgenus", "species", "subspecies",
+]
 
 
 def taxa(s, d):
@@ -155,7 +157,7 @@ def _(s, d):
 @query("similar_targets")
 def _(s, d):
     v = variant(s, d)
-    return taxonomy.similar_targets(v, v.withColumnRenamed("variant_id", "target_id"))
+    return alignment.similar_targets(v, v.withColumnRenamed("variant_id", "target_id"))
 
 
 @query("variant_dictionary", ctes("reads", "variant") + """, seqs as (select distinct sequence from reads union select sequence from variant),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # The columns that each kind of sheet must have.
 REQUIRED = {
-    "fastq": ("tagfwd", "primerfwd", "tagrev", "primerrev", "marker", "sample", "replicate", "run", "fastqfwd", "fastqrev"),
+    "fastq": ("marker", "sample", "replicate", "run", "fastqfwd", "fastqrev"),
     "merged": ("tagfwd", "primerfwd", "tagrev", "primerrev", "marker", "sample", "replicate", "run", "mergedfasta"),
     "sorted": ("marker", "sample", "replicate", "run", "sortedfasta"),
     "known": ("marker", "run", "sample", "mock", "action", "sequence"),
