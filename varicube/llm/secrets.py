@@ -43,6 +43,30 @@ class Entropy:
     placeholders: tuple[str, ...] = PLACEHOLDERS
 
 
+def let(value: Column, then) -> Column:
+    """then(value), with the value taken once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def folded(items: Column, zero: Column, kind: str, fields: list[str], step) -> Column:
+    """A fold over an array that is not empty, from the state `zero` of type `kind` with these fields, the last of which lists what the steps have found.
+
+    An array grows by being copied, so the fold goes over blocks of about the square root of the number of items, and a block's finds join the others at once:
+    work grows with the power 1.5 of the number of items, not with its square.
+    """
+    *carried, out = fields
+    width = F.ceil(F.sqrt(F.size(items))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / width).cast("int")), lambda k: F.slice(items, k * width + 1, width))
+
+    def state(x: Column, found: Column) -> Column:
+        return F.struct(*[x[f].alias(f) for f in carried], found.alias(out)).cast(kind)
+
+    def block(acc: Column, items: Column) -> Column:
+        return let(F.aggregate(items, state(acc, zero[out]), step), lambda x: state(x, F.concat(acc[out], x[out])))
+
+    return F.aggregate(blocks, zero, block)
+
+
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """array<struct<start, end, word>> of the leftmost non-overlapping matches, in code points; word is the group asked for.
 
@@ -60,10 +84,29 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
 
     none = F.lit(None).cast("array<struct<start:int,end:int,word:string>>")
     zero = F.struct(F.lit(0).alias("pos"), F.filter(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("word"))), lambda x: F.lit(False)).alias("found")).cast(kind)
-    found = F.aggregate(lengths, zero, add, lambda acc: acc["found"])
+    found = let(lengths, lambda x: folded(x, zero, kind, ["pos", "found"], add)["found"])
     return F.coalesce(F.when(text.rlike(pattern), found).otherwise(none), zero["found"])
 
 
+def uncovered(spans: Column, base: Column) -> Column:
+    """The spans (kind, start, end) that lie in none of `base` wholly.
+
+    One fold over both in order of start, bases first, that keeps the furthest end of the bases so far.
+    """
+    mark = lambda own: lambda s: F.struct(s["start"].alias("start"), F.lit(own).alias("own"), s["end"].alias("end"), s["kind"].alias("kind"))
+    both = F.array_sort(F.concat(F.transform(base, mark(0)), F.transform(spans, mark(1))))
+    kind = "struct<furthest:int,found:array<struct<kind:string,start:int,end:int>>>"
+    zero = F.struct(F.lit(-1).alias("furthest"), F.filter(F.array(F.struct(F.lit("").alias("kind"), F.lit(0).alias("start"), F.lit(0).alias("end"))), lambda x: F.lit(False)).alias("found")).cast(kind)
+
+    def step(acc: Column, s: Column) -> Column:
+        one = F.array(F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+        keeps = (s["own"] == 1) & (s["end"] > acc["furthest"])
+        furthest = F.when(s["own"] == 0, F.greatest(acc["furthest"], s["end"])).otherwise(acc["furthest"])
+        return F.struct(furthest.cast("int").alias("furthest"), F.when(keeps, F.concat(acc["found"], one)).otherwise(acc["found"]).alias("found")).cast(kind)
+
+    return let(both, lambda x: folded(x, zero, kind, ["furthest", "found"], step)["found"])
+
+
 def weight(n: Column) -> Column:
     return F.when(n > 1, n * F.log2(n.cast("double"))).otherwise(F.lit(0.0))
 
@@ -85,9 +128,6 @@ def entropy_spans(word: Column, start: Column, rule: Entropy) -> Column:
         F.filter(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))), lambda x: F.lit(False)).alias("spans"),
     ).cast(state)
 
-    def let(value: Column, then) -> Column:
-        return F.element_at(F.transform(F.array(value), then), 1)
-
     def slide(codes: Column):
         def step(acc: Column, i: Column) -> Column:  # i: the place of the entering character, from 1
             enter = F.element_at(codes, i)
@@ -146,7 +186,7 @@ def secret_spans(docs: DataFrame, rule: Entropy = Entropy(), text_col: str = "te
     candidates = F.flatten(F.transform(F.filter(matches(text, CANDIDATE % rule.window), plausible), parts))
     with_candidates = with_base.withColumn(candidate_col, F.filter(candidates, plausible))
     added = F.flatten(F.transform(candidate_col, lambda m: entropy_spans(m["word"], m["start"], rule)))
-    added = F.filter(added, lambda s: ~F.exists(base_col, lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))
+    added = let(added, lambda x: F.when((F.size(x) > 0) & (F.size(base_col) > 0), uncovered(x, F.col(base_col))).otherwise(x))
     order = F.array(*[F.lit(k) for k in KINDS])
     ranked = F.transform(F.concat(base_col, F.when(F.size(candidate_col) > 0, added).otherwise(none)), lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
     spans = F.transform(F.array_sort(ranked), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
