@@ -66,8 +66,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
-    return urls.url_verdicts(table(spark, sf_dir, "pages"), labels)
+    pages, documents = table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return urls.url_verdicts(pages, urls.page_labels(pages, documents, labels))
 
 
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,6 +46,38 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.filter(F.concat(*parts), lambda x: x.isNotNull() & (x != "host:")))
 
 
+def passages(text: Column, least: int = 40) -> Column:
+    """Hashes of a text's lines of `least` characters or more, without case, each once; white space counts as one space."""
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), r"[\r\n]+"), lambda x: F.lower(F.trim(F.regexp_replace(x, r"\s+", " "))))
+    return F.array_distinct(F.transform(F.filter(lines, lambda x: F.length(x) >= least), lambda x: F.xxhash64(x)))
+
+
+# The entities that texts in HTML need.
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+
+
+def plain_text(html: Column) -> Column:
+    """A page's text: scripts, styles and comments go, each other tag ends a line, entities are characters."""
+    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
+    text = F.regexp_replace(text, r"<[^>]*>", "\n")
+    for entity, character in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(character))
+    return text
+
+
+def page_labels(pages: DataFrame, documents: DataFrame, labels: DataFrame, least: int = 40) -> DataFrame:
+    """(page_id, bad) of pages that hold passages of labelled documents; labels: doc_id, bad.
+
+    A page's html carries documents' texts, line by line; numbers of pages and documents have nothing to do with each other. Each passage has the share of bad ones
+    among the labelled documents that hold it, and a page is bad if the mean over its passages is a half or more. Passages are counted over all documents before
+    pages meet them, so one that many pages and documents share makes no pairs. Null texts have no passages, null ids and labels take no part.
+    """
+    marked = documents.select("doc_id", passages(F.col("text"), least).alias("passages")).join(labels.where("bad is not null"), "doc_id")
+    shares = marked.select(F.explode("passages").alias("passage"), "bad").groupBy("passage").agg(F.avg(F.col("bad").cast("int")).alias("share"))
+    held = pages.where("page_id is not null").select("page_id", F.explode(passages(plain_text(F.col("html")), least)).alias("passage"))
+    return held.join(shares, "passage").groupBy("page_id").agg((F.avg("share") >= 0.5).alias("bad"))
+
+
 def mine_rules(urls: DataFrame, labels: DataFrame, least_support: float = 0.002, least_count: int = 20, least_confidence: float = 0.6, least_lift: float = 1.5) -> DataFrame:
     """(rule_id, items, confidence, support) of token combinations that imply a bad label.
 
