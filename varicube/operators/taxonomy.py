@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,26 +45,35 @@ def resolve_old(ids: DataFrame, taxonomy: DataFrame) -> DataFrame:
 def lineage_steps(ids: DataFrame, taxonomy: DataFrame, deepest: int = 64) -> DataFrame:
     """(tax_id, depth, at, rank, name_txt, ok): a row for each taxon on the way from a taxon to the root, the root excluded.
 
-    Walks up by one join a level for the taxa that are needed only; a missing parent ends the walk. Over `deepest` levels, as in a circle of parents, raise an error. ok is false
+    One recursive query walks up for the taxa that are needed only; a missing parent ends the walk. Over `deepest` levels, as in a circle of parents, raise an error. ok is false
     on the last row of a walk that ended without reaching the root. The first row keeps the number asked for, be it obsolete.
     """
-    taxa, _ = split_taxonomy(taxonomy)
-    taxa = stored(taxa, "taxa")
-    step = taxa.select(F.col("tax_id").alias("at"), "parent_tax_id", "rank", "name_txt")
-    now = resolve_old(ids, taxonomy).select("tax_id", F.coalesce("current_tax_id", "tax_id").alias("at"))
-    out = None
-    for depth in range(deepest):
-        walked = now.join(step, "at", "left").where("at <> 1")
-        walked = stored(walked.select("tax_id", F.lit(depth).alias("depth"), F.when(F.lit(depth == 0), F.col("tax_id")).otherwise(F.col("at")).alias("at"), "rank", "name_txt", F.col("parent_tax_id").isNotNull().alias("ok"), "parent_tax_id"), "lineage")
-        if walked.isEmpty():
-            break
-        part = walked.drop("parent_tax_id")
-        out = part if out is None else out.unionByName(part)
-        now = walked.where("parent_tax_id is not null and parent_tax_id <> 1").select("tax_id", F.col("parent_tax_id").alias("at"))
-    else:
-        if not now.isEmpty():
-            raise ValueError(f"lineages of more than {deepest} levels")
-    return out if out is not None else ids.sparkSession.createDataFrame([], "tax_id long, depth int, at long, rank string, name_txt string, ok boolean")
+    spark = ids.sparkSession
+    taxa = stored(split_taxonomy(taxonomy)[0], "taxa")
+    first = stored(resolve_old(ids, taxonomy).select("tax_id", F.coalesce("current_tax_id", "tax_id").alias("at")), "wanted")
+    names, limits = [f"{x}_{uuid.uuid4().hex}" for x in ("taxa", "wanted")], {"spark.sql.cteRecursionRowLimit": -1, "spark.sql.cteRecursionLevelLimit": deepest + 2}
+    for df, name in zip((taxa, first), names):
+        df.createOrReplaceTempView(name)
+    step = "t.tax_id is not null as known, t.parent_tax_id as parent, t.rank, t.name_txt"
+    text = f"""
+with recursive up(tax_id, depth, at, known, parent, rank, name_txt) as (
+  select w.tax_id, 0, w.at, {step} from {names[1]} w left join {names[0]} t on t.tax_id = w.at where w.at <> 1
+  union all
+  select up.tax_id, up.depth + 1, up.parent, {step} from up left join {names[0]} t on t.tax_id = up.parent where up.parent <> 1 and up.depth < {deepest}
+) select * from up"""
+    kept = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        walked = stored(spark.sql(text), "lineage")
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+        for name in names:
+            spark.catalog.dropTempView(name)
+    if not walked.where(F.col("depth") >= deepest).isEmpty():
+        raise ValueError(f"lineages of more than {deepest} levels")
+    return walked.select("tax_id", "depth", F.when(F.col("depth") == 0, F.col("tax_id")).otherwise(F.col("at")).alias("at"), "rank", "name_txt", F.col("parent").isNotNull().alias("ok"))
 
 
 def lineages(ids: DataFrame, taxonomy: DataFrame, ranks: list[str] = HIERARCHY) -> DataFrame:

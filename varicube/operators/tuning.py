@@ -60,6 +60,23 @@ def cutoff_grid(spark, read_count_start: int = 10, ratio_start: float = 0.001) -
     return counts.select("read_count_cutoff", grid.alias("ratio_cutoff"))
 
 
+def grid_rows(counts: DataFrame, by_replicate: bool = False) -> DataFrame:
+    """Each setting of the grid with n_rows, the count rows that reach both of its cutoffs: what a setting leaves of all data, known or not.
+
+    A row goes to the last setting that it reaches in either direction, and only these at most 121 sums meet the grid.
+    """
+    grid = cutoff_grid(counts.sparkSession)
+    reads, ratios = [sorted({r[i] for r in grid.collect()}) for i in (0, 1)]
+    reached = lambda cuts, fits: sum((fits(F.lit(c)).cast("int") for c in cuts), F.lit(0))
+    ratio = F.col("ratio_ik" if by_replicate else "ratio_i")
+    placed = with_ratios(counts).select(reached(reads, lambda c: F.col("read_count") >= c).alias("i"), reached(ratios, lambda c: ratio > c).alias("j"))
+    sums = placed.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"))
+    place = lambda c, cuts: F.array_position(F.array(*[F.lit(x) for x in cuts]), F.col(c))
+    marked = grid.withColumns({"gi": place("read_count_cutoff", reads), "gj": place("ratio_cutoff", ratios)})
+    met = marked.join(F.broadcast(sums), (F.col("i") >= F.col("gi")) & (F.col("j") >= F.col("gj")), "left")
+    return met.groupBy("read_count_cutoff", "ratio_cutoff").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+
+
 def optimize_grid(counts: DataFrame, known: DataFrame, sample_replicate: float, replicates: int, by_replicate: bool = False) -> DataFrame:
     """Settings that keep at least as many occurrences as the run and marker has distinct expected variants, with the deletes that are left.
 

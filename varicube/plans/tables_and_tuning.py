@@ -171,10 +171,10 @@ RATIOS = [round(0.001 + i * 0.005, 3) for i in range(10)]
 GRID = f", grid as (select cast(c.c as int) as read_count_cutoff, cast(x as double) as ratio_cutoff from (select unnest(range(10, 101, 10)) as c) c cross join (select unnest({RATIOS}) as x) x)"
 
 
-@query("cutoff_grid", ctes("nijk") + GRID + ", m as (select max(read_count) as most from nijk) select read_count_cutoff, ratio_cutoff from grid, m where read_count_cutoff <= most")
+@query("cutoff_grid", ctes("nijk") + GRID + """, t as (select read_count, cast(read_count as double) / sum(read_count) over (partition by run_id, marker_id, variant_id) as ratio_i from nijk)
+ select read_count_cutoff, ratio_cutoff, count(t.read_count) as n_rows from grid left join t on read_count >= read_count_cutoff and ratio_i > ratio_cutoff group by read_count_cutoff, ratio_cutoff""")
 def _(s, d):
-    most = nijk(s, d).agg(F.max("read_count").alias("most"))
-    return tuning.cutoff_grid(s).join(F.broadcast(most), F.col("read_count_cutoff") <= F.col("most")).drop("most")
+    return tuning.grid_rows(nijk(s, d))
 
 
 def grid_sql(ratio: str) -> str:
