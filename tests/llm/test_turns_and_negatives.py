@@ -131,8 +131,10 @@ def some_turns(rng, convs, longest=7):
     return rows
 
 
-HEAD = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
-BASE = F.col("conv_id") - F.col("conv_id") % 20
+def rule():
+    """Columns of a conversation's base and of the turns that it takes from there."""
+    conv = F.col("conv_id")
+    return conv - conv % 20, F.crc32(conv.cast("string").cast("binary")) % 4
 
 
 def head(c):
@@ -151,7 +153,7 @@ def test_prefix_trie_against_brute_force(spark, primes):
     rows += [(c, *r[1:]) for r in copies for c in range(300, 420)]  # many that end in one node
     rows += [(30, 2, "user", "twice")] * 2 + [(31, None, "user", "null turn"), (31, None, None, None), (None, 0, "user", "no id"), (32, 0, "user", "first"), (32, 1, "user", "first")]
     rng.shuffle(rows)
-    got = trie.prefix_trie(conversations(spark, rows), BASE, HEAD, primes=primes)
+    got = trie.prefix_trie(conversations(spark, rows), *rule(), primes=primes)
     assert got.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     assert sorted(map(tuple, got.collect()), key=repr) == brute_trie(rows, base, head)
 

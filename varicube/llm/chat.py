@@ -78,7 +78,7 @@ def paths_of_type(kind: T.DataType, at: str = "") -> list[str]:
     return [at]
 
 
-TOKEN = re.compile(r"OBJECT<|ARRAY<|>|`(?:[^`]|``)*`|, |: |[^<>,:` ][^<>,:`]*(?:\([^)]*\))?")
+TOKEN = re.compile(r"OBJECT<|ARRAY<|>|`(?:[^`]|``)*`|, |: |[^<>,:`( ][^<>,:`(]*(?:\([^)]*\))?")
 
 
 def paths_of_schema(text: str | None) -> list[str]:
