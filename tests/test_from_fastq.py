@@ -193,6 +193,35 @@ def test_groups_are_kept_in_the_cache(spark):
         assert {r.variant_id for r in stored.collect()} == {1, 2, 9}
 
 
+def test_groups_by_a_search_of_our_own(spark):
+    rng = random.Random(9)
+    first, second = ("".join(rng.choices("ACGT", k=150)) for _ in range(2))
+    flank = lambda s: "".join(rng.choices("ACGT", k=200)) + s + "".join(rng.choices("ACGT", k=100))
+    references = spark.createDataFrame([("a", flank(first), "7"), ("b", flank(first[:70] + "A" + first[71:]), "7;9"), ("c", second, None), ("d", "ACGT", "8")], "target_id string, sequence string, target_tax_ids string")
+    variants = spark.createDataFrame([(1, first), (2, second), (3, "".join(rng.choices("ACGT", k=150)))], "variant_id long, sequence string")
+    taxa = spark.createDataFrame([(1, 1, "no rank", "root", None), (5, 1, "phylum", "P", None), (7, 5, "genus", "G", None)], "tax_id long, parent_tax_id long, rank string, name_txt string, old_tax_id long")
+    table, _ = workflow.assigned(variants, workflow.similar_hits(variants, references), taxa)
+    assert {(r.variant_id, r.ltg_rank, r.ltg_tax_name, r.phylum) for r in table.collect()} == {(1, "genus", "G", "P"), (2, None, None, None), (3, None, None, None)}
+
+
+def test_a_stored_dictionary_stays_in_its_buckets(spark):
+    spark.sql("drop table if exists own_dictionary")
+    sinks.store_dictionary(spark.createDataFrame([(1, "ACGT"), (5, "GGGG")], "variant_id long, sequence string"), "own_dictionary", 4)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        more = spark.createDataFrame([("tttt",), ("ACGT",), ("CCCC",), ("CCCC",), (None,)], "sequence string")
+        assert {tuple(r) for r in sinks.extend_stored_dictionary("own_dictionary", more).collect()} == {(1, "ACGT"), (5, "GGGG"), (6, "CCCC"), (7, "TTTT")}
+        assert sinks.extend_stored_dictionary("own_dictionary", more).count() == 4
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        plan = sinks.unseen_sequences(more, "own_dictionary")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        spark.sql("drop table own_dictionary")
+    right = plan[plan.index("SortMergeJoin") :]
+    stored = right[right.rindex("Sort [digest") :]
+    assert "own_dictionary" in stored and "Exchange" not in stored
+
+
 def test_stop_codons_of_other_codes(spark):
     df = spark.createDataFrame([("TAATAGTGAAGATTATCATTT",)], "s string")
     got = df.select(*[stop_count(df.s, 1, code).alias(str(code)) for code in (1, 2, 6, 14, 22, 23)]).first()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from varicube.functions.storage import stored
 from varicube.operators import counts as cube
-from varicube.operators import pairs, tables, taxonomy, tuning
+from varicube.operators import alignment, pairs, tables, taxonomy, tuning
 from varicube.operators import reads as reads_
 from varicube.operators.counts import KEYS, N_IJ, RUN_MARKER, SAMPLE_REPLICATE
 from varicube.params import Params, chain_options, resolve
@@ -179,6 +179,13 @@ def made_known_occurrences(table: DataFrame, types: DataFrame, mock: DataFrame,
     return known.distinct(), tuning.missing_occurrences(keep, long).select(*[F.col(v).alias(k) for k, v in NAMES.items()], "sequence").distinct()
 
 
+def similar_hits(variants: DataFrame, references: DataFrame, params: Params | None = None, identity: float = 70) -> DataFrame:
+    """Hits for assigned() by a search of our own: references are target_id, sequence, target_tax_ids (numbers joined by ;), a target once each."""
+    p = params or resolve()
+    found = alignment.similar_targets(variants, references, identity, p.qcov_hsp_perc)
+    return found.join(references.select("target_id", "target_tax_ids"), "target_id").select("variant_id", "target_id", "identity", "coverage", "target_tax_ids")
+
+
 def assigned(variants: DataFrame, hits: DataFrame, taxa: DataFrame, params: Params | None = None, cache: DataFrame | None = None, reset: bool = False) -> tuple[DataFrame, DataFrame]:
     """(table, cache): variants with their lowest groups, and the groups of all variants assigned so far.
 

@@ -32,22 +32,59 @@ def table_exists(spark, path: str) -> bool:
 
 
 def extend_dictionary(known: DataFrame, sequences: DataFrame) -> DataFrame:
-    """Known variants, and unseen sequences with the next numbers in order of sequence.
+    """Known variants, and unseen sequences with the next numbers in order of sequence."""
+    fresh = sequences.select(F.upper("sequence").alias("sequence")).distinct().join(known.select("sequence"), "sequence", "left_anti")
+    largest = known.agg(F.coalesce(F.max("variant_id"), F.lit(0)).alias("largest"))
+    return known.select("variant_id", "sequence").unionByName(numbered(fresh, largest))
+
+
+def numbered(sequences: DataFrame, largest: DataFrame) -> DataFrame:
+    """variant_id, sequence: the numbers after the one of `largest` (a row) in order of sequence.
 
     Numbers are dense without a single sorting task: ranges of sequences are sorted apart and offset by the sizes of those before.
     """
-    fresh = sequences.select(F.upper("sequence").alias("sequence")).distinct().join(known.select("sequence"), "sequence", "left_anti")
     from varicube.functions.storage import stored
 
     # stored, so that the parts are the same for the sizes and for the numbers
-    parts = stored(fresh.repartitionByRange("sequence").withColumn("part", F.spark_partition_id()), "sequences")
+    parts = stored(sequences.repartitionByRange("sequence").withColumn("part", F.spark_partition_id()), "sequences")
     before = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # a row for each part
     before = before.withColumn("offset", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    largest = known.agg(F.coalesce(F.max("variant_id"), F.lit(0)).alias("largest"))
     place = F.row_number().over(Window.partitionBy("part").orderBy("sequence"))
-    numbered = parts.withColumn("place", place).join(before, "part").crossJoin(F.broadcast(largest))  # one row
-    new = numbered.select((F.col("largest") + F.col("offset") + F.col("place")).cast("long").alias("variant_id"), "sequence")
-    return known.select("variant_id", "sequence").unionByName(new)
+    told = parts.withColumn("place", place).join(before, "part").crossJoin(F.broadcast(largest))  # one row
+    return told.select((F.col("largest") + F.col("offset") + F.col("place")).cast("long").alias("variant_id"), "sequence")
+
+
+def digest(sequence: str = "sequence"):
+    """128 bits of a sequence, by which the stored dictionary is dealt into buckets."""
+    return F.md5(F.col(sequence))
+
+
+def store_dictionary(known: DataFrame, table: str, buckets: int = 64) -> None:
+    """Begin a stored dictionary: a table in buckets of the sequences' digests, sorted by them. It must not exist yet."""
+    rows = known.select("variant_id", "sequence", digest().alias("digest"))
+    rows.write.mode("error").bucketBy(buckets, "digest").sortBy("digest").saveAsTable(table)
+
+
+def unseen_sequences(sequences: DataFrame, table: str) -> DataFrame:
+    """Distinct upper-case sequences that the stored dictionary lacks.
+
+    Only the new sequences are shuffled, to the dictionary's buckets; what earlier runs have stored stays where it is.
+    """
+    fresh = sequences.select(F.upper("sequence").alias("sequence")).where("sequence is not null").distinct().withColumn("digest", digest())
+    return fresh.join(sequences.sparkSession.table(table).select("digest"), "digest", "left_anti").select("sequence")
+
+
+def extend_stored_dictionary(table: str, sequences: DataFrame) -> DataFrame:
+    """Add the unseen sequences to the stored dictionary, with the next numbers in their order, and return it: variant_id, sequence."""
+    from varicube.functions.storage import stored
+
+    spark = sequences.sparkSession
+    known = spark.table(table)
+    largest = known.agg(F.coalesce(F.max("variant_id"), F.lit(0)).alias("largest"))
+    new = stored(numbered(unseen_sequences(sequences, table), largest), "numbered")
+    buckets = spark.sql(f"describe extended {table}").where("col_name = 'Num Buckets'").first()["data_type"]
+    new.withColumn("digest", digest()).write.mode("append").bucketBy(int(buckets), "digest").sortBy("digest").saveAsTable(table)
+    return spark.table(table).select("variant_id", "sequence")
 
 
 def write_tsv(df: DataFrame, path: str, order: list[str] | None = None, decimals: dict[str, int] | None = None, compression: str | None = None) -> None:
