@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from varicube.llm import chat, negatives, trie
+from varicube.llm import chat, negatives, trie, vectors
 
 EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -83,6 +83,15 @@ def test_bounds_spare_work_and_lose_nothing():
     assert scored < 0.5 * 60 * 500
 
 
+# --- 5: repeated queries
+
+def test_repeated_queries_have_places_of_their_own(spark):
+    rows = spark.createDataFrame([(i, [i % 7, i % 3]) for i in range(30)], "vec_id long, weights array<long>")
+    one = rows.where("vec_id = 20")
+    single = sorted(map(tuple, vectors.top_k(one, rows, k=5).collect()))
+    assert len(single) == 5 and sorted(map(tuple, vectors.top_k(one.union(one), rows, k=5, block=8).collect())) == sorted(single * 2)
+
+
 # --- 12: prefix trie
 
 def brute_trie(rows, base, head):

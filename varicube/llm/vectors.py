@@ -201,14 +201,14 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, block: int = 4
     spark = candidates.sparkSession
     sides = []
     for df in (queries, candidates):
-        sides.append(save(df.select("vec_id", "weights").where("vec_id is not null and weights is not null"), "weights"))
+        sides.append(save(df.select("vec_id", "weights").where("vec_id is not null and weights is not null").withColumn("row", F.monotonically_increasing_id()), "weights"))
     nq, nc = (-(-s.count() // block) for s in sides)
     if not nq or not nc:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     dealt = []
     for side, (df, own, other) in enumerate(zip(sides, (nq, nc), (nc, nq))):
         blk = F.pmod(F.xxhash64("vec_id"), F.lit(own)).cast("int")
-        df = df.select("vec_id", "weights", F.lit(side).alias("side"), blk.alias("own"), F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("other"))
+        df = df.select("vec_id", "weights", "row", F.lit(side).alias("side"), blk.alias("own"), F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("other"))
         dealt.append(df.withColumns({"qb": F.col(("own", "other")[side]), "cb": F.col(("other", "own")[side])}).drop("own", "other"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -220,8 +220,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, block: int = 4
             m = np.zeros((len(own), width), np.int64)
             for i, v in enumerate(own["weights"]):
                 m[i, : len(v)] = v
-            parts.append((own["vec_id"].to_numpy(np.int64), m))
-        (qid, q), (cid, c) = parts
+            parts.append((own["vec_id"].to_numpy(np.int64), own["row"].to_numpy(np.int64), m))
+        (qid, qrow, q), (cid, _, c) = parts
         out = []
         if len(qid) and len(cid):
             for at, scores in accumulated(q, c):
@@ -238,10 +238,10 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, block: int = 4
                         take = np.concatenate([over, ties[: k - len(over)]])  # rows stand by vec_id
                     else:
                         take = np.arange(len(s))
-                    out.append(pd.DataFrame({"query_id": ids[col], "vec_id": cid[pos[take]], "score": s[take]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+                    out.append(pd.DataFrame({"query_id": ids[col], "row": qrow[at + col], "vec_id": cid[pos[take]], "score": s[take]}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "row": [], "vec_id": [], "score": []}, dtype="int64")
 
     pairs = dealt[0].unionByName(dealt[1]).repartition(max(shuffle_partitions(spark), min(nq * nc, 10_000)), "qb", "cb")
-    best = pairs.groupBy("qb", "cb").applyInPandas(lambda pdf: run(pdf), "query_id long, vec_id long, score long")
-    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+    best = pairs.groupBy("qb", "cb").applyInPandas(lambda pdf: run(pdf), "query_id long, row long, vec_id long, score long")
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
