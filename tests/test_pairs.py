@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from varicube.functions import graphs
+from varicube.functions import graphs, storage
 from varicube.operators import pairs, reads
 from varicube.functions.sequences import BASES, COMPLEMENT, IUPAC
 
@@ -174,6 +174,17 @@ def test_components_by_rounds(spark, monkeypatch):
     assert graphs.components(df.limit(0)).count() == 0
 
 
+def test_tables_of_rounds_are_removed(spark):
+    import os
+
+    df = storage.stored(spark.range(3).toDF("x"), "gone")
+    path = df.stored_path.removeprefix("file://")
+    assert os.path.isdir(path) and df.count() == 3
+    storage.discard(df)
+    storage.discard(df)
+    assert not os.path.isdir(path)
+
+
 # --- tags and primers
 
 def rc(s):

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varicube.functions.storage import stored
+from varicube.functions.storage import discard, stored
 
 FEW = 1 << 20  # edges that one task may take whole
 
@@ -47,7 +47,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         seen = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if seen[0] <= FEW:
-            now = stored(now.coalesce(1).mapInPandas(in_task, "u long, v long"), "edges")
+            last, now = now, stored(now.coalesce(1).mapInPandas(in_task, "u long, v long"), "edges")
+            discard(last)
             break
         if seen == before:
             break
@@ -57,6 +58,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = sides.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        now = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        last, now = now, stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(last)
     own = now.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
     return own.unionByName(now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node")))

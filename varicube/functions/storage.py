@@ -24,4 +24,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write and read again, so that a round's plan doesn't hold all earlier rounds and a lost executor costs one round."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a stored() table that nothing reads any more, as a round's when the next one is written."""
+    path = vars(df).pop("stored_path", None)
+    if path:
+        spark = df.sparkSession
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varicube.functions.graphs import components
-from varicube.functions.storage import stored
+from varicube.functions.storage import discard, stored
 from varicube.operators import filters
 from varicube.operators.counts import N_IJ, RUN_MARKER, replicate_average, totals
 
@@ -246,8 +246,11 @@ def greedy_clusters(sizes: DataFrame, close: DataFrame, largest: int = 1 << 20)
 
 def in_rounds(state: DataFrame, edges: DataFrame) -> DataFrame:
     """greedy_clusters() of variants (variant_id, ord, clusterid still null) by rounds over edges (a, oa, b), a before b. Only whether any is undecided reaches the driver."""
+    last = None
     while True:
         state = stored(state, "clusters")
+        if last is not None:
+            discard(last)
         if state.where("clusterid is null").isEmpty():
             return state.select("variant_id", "clusterid")
         seen = edges.join(state.select(F.col("variant_id").alias("a"), F.col("clusterid").alias("ca")), "a")
@@ -255,7 +258,7 @@ def in_rounds(state: DataFrame, edges: DataFrame) -> DataFrame:
         first = seen.where("ca is null or ca = a").groupBy("b").agg(F.min(F.struct("oa", "a", "ca")).alias("f"))
         joined = state.join(first.withColumnRenamed("b", "variant_id"), "variant_id", "left")
         new = F.coalesce("clusterid", F.when(F.col("f").isNull(), F.col("variant_id")).when(F.col("f.ca").isNotNull(), F.col("f.a")))
-        state = joined.select("variant_id", "ord", new.alias("clusterid"))
+        last, state = state, joined.select("variant_id", "ord", new.alias("clusterid"))
 
 
 def cluster_sizes(clusters: DataFrame) -> DataFrame:
