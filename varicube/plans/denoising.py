@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from varicube.operators import counts, filters, pairs
@@ -182,9 +184,12 @@ def _(s, d):
     return filters.renkonen_cutoffs(filters.renkonen_distances(nijk(s, d)))
 
 
-@query("renkonen", RENK + """, each as (select run_id, marker_id, sample_id, unnest([replicate_left, replicate_right]) as replicate, (renkonen_distance > cutoff)::int as far from dist join cut using (run_id, marker_id)),
+GONE = """, each as (select run_id, marker_id, sample_id, unnest([replicate_left, replicate_right]) as replicate, (renkonen_distance > cutoff)::int as far from dist join cut using (run_id, marker_id)),
  sizes as (select run_id, marker_id, sample_id, count(*) as n from reps group by all),
- gone as (select run_id, marker_id, sample_id, replicate from each join sizes using (run_id, marker_id, sample_id) group by run_id, marker_id, sample_id, replicate, n having sum(far) > (n - 1) / 2)
+ gone as (select run_id, marker_id, sample_id, replicate from each join sizes using (run_id, marker_id, sample_id) group by run_id, marker_id, sample_id, replicate, n having sum(far) > (n - 1) / 2)"""
+
+
+@query("renkonen", RENK + GONE + """
  select nijk.*, gone.replicate is not null as filter_delete from nijk left join gone on nijk.run_id = gone.run_id and nijk.marker_id = gone.marker_id and nijk.sample_id = gone.sample_id and nijk.replicate = gone.replicate""")
 def _(s, d):
     return filters.renkonen(nijk(s, d))
@@ -268,6 +273,30 @@ def _(s, d):
     return pairs.borderline_any(pairs.chimera_borderline(nijk(s, d), variant(s, d), 16))
 
 
-@query("filter_chain")
+def chained() -> str:
+    """The SQL of all filters one after the other, each on what the one before has kept."""
+    sample = "(run_id, marker_id, sample_id, variant_id)"
+    body = lambda text, *views: text[len(ctes(*views)) :].removeprefix(", ") if views else text.removeprefix(", ")
+    fewer = f"select {KEYS}, read_count from (select *, count(replicate) over (partition by run_id, marker_id, variant_id, sample_id) as n from nijk) x where n >= 2"
+    stages = [
+        f"with {body(TOTALS)} select {KEYS}, read_count from t where not (read_count = 0 or ri <= 0.005 or rjk <= 0.0005 or read_count < 20)",
+        fewer,
+        f"with {body(RATIO)}, bad as (select distinct run_id, marker_id, sample_id, variant_unexpected as variant_id from ratios where ratio < 0.1) select nijk.* from nijk anti join bad using {sample}",
+        f"with {body(CHIMERA, 'nijk', 'variant')} select nijk.* from nijk anti join (select * from flagged where filter_delete) f using {sample}",
+        fewer,
+        f"with {body(RENK, 'nijk')}{GONE} select nijk.* from nijk anti join gone using (run_id, marker_id, sample_id, replicate)",
+        fewer,
+        """with own as (select distinct n.variant_id, length(sequence) % 3 as phase from nijk n join variant v on n.variant_id = v.variant_id)
+ select nijk.* from nijk join own using (variant_id) where phase = (select phase from own group by phase order by count(*) desc, phase limit 1)""",
+        "select nijk.* from nijk join variant using (variant_id) where not (" + " and ".join(f"regexp_matches(substr(sequence, {f}), '^(?:...)*?TA[AG]')" for f in (1, 2, 3)) + ")",
+    ]
+    text, kept = ctes("nijk", "variant") + EDIT, "nijk"
+    for k, stage in enumerate(stages):
+        text += f", kept{k} as (" + re.sub(r"\bnijk\b", kept, stage) + ")"
+        kept = f"kept{k}"
+    return text + f" select run_id, marker_id, variant_id, sample_id, cast(sum(read_count) as bigint) as read_count, count(*) as replicate_count, cast(sum(read_count) as double) / count(*) as read_count_average from {kept} group by run_id, marker_id, variant_id, sample_id"
+
+
+@query("filter_chain", chained())
 def _(s, d):
     return pairs.filter_chain(nijk(s, d), variant(s, d), CUT)["average"]
