@@ -55,12 +55,28 @@ def sizes(s, d):
     return nijk(s, d).groupBy("variant_id").agg(F.sum("read_count").alias("size"))
 
 
-@query("cluster_variants")
+# Greedy clusters one variant after the other: the list of centroids so far goes along, and a variant joins it unless it is close to one of them.
+CLUSTERS = """, size as (select variant_id, cast(sum(read_count) as bigint) as size from nijk group by variant_id),
+ near as (select s.variant_id, row_number() over (order by size desc, s.variant_id) as rank, (select coalesce(list(b), []) from close where a = s.variant_id) as near from size s),
+ walk as (select cast(0 as bigint) as k, []::bigint[] as centroids union all
+  select k + 1, case when list_has_any(near, centroids) then centroids else list_append(centroids, variant_id) end from walk join near on rank = k + 1),
+ greedy as (select variant_id, coalesce(list_filter(c.centroids, lambda x: list_contains(near.near, x) or x = near.variant_id)[1], near.variant_id) as clusterid
+  from near, (select centroids from walk order by k desc limit 1) c)"""
+RECURSIVE = ctes("nijk", "variant").replace("with ", "with recursive ", 1)
+CLOSE = RECURSIVE + """, close as (select a.variant_id as a, b.variant_id as b from variant a join variant b on a.variant_id <> b.variant_id
+  and levenshtein(a.sequence, b.sequence) <= floor((1 - cast(0.97 as double)) * greatest(length(a.sequence), length(b.sequence))))""" + CLUSTERS
+# the text of one from some place on agrees with the other to the end of either, over 32 bases or the whole of the other
+OVERLAP = RECURSIVE + """, one as (select a.variant_id as a, b.variant_id as b from variant a join variant b on a.variant_id <> b.variant_id
+  where len(list_filter(range(1, length(a.sequence) - least(32, length(b.sequence)) + 2), lambda i: substr(a.sequence, i, length(b.sequence)) = substr(b.sequence, 1, length(a.sequence) - i + 1))) > 0),
+ close as (select a, b from one union select b, a from one)""" + CLUSTERS
+
+
+@query("cluster_variants", CLOSE + " select * from greedy")
 def _(s, d):
     return pairs.greedy_clusters(sizes(s, d), pairs.close_pairs(variant(s, d), 0.97))
 
 
-@query("cluster_size")
+@query("cluster_size", CLOSE + " select variant_id, clusterid, count(*) over (partition by clusterid) as clustersize from greedy")
 def _(s, d):
     return pairs.cluster_sizes(pairs.greedy_clusters(sizes(s, d), pairs.close_pairs(variant(s, d), 0.97)))
 
@@ -69,7 +85,7 @@ def pool(s, d):
     return pairs.greedy_clusters(sizes(s, d), pairs.overlapping_pairs(variant(s, d), 32))
 
 
-@query("pool_clusters")
+@query("pool_clusters", OVERLAP + " select * from greedy")
 def _(s, d):
     return pool(s, d)
 
