@@ -234,7 +234,10 @@ def greedy_clusters(sizes: DataFrame, close: DataFrame, largest: int = 1 << 20)
             cluster.setdefault(b, b)
         return pd.DataFrame(list(cluster.items()), columns=["variant_id", "clusterid"], dtype="int64")
 
-    told = small.select("component", "a", F.col("oa.neg").alias("neg"), "b").groupBy("component").applyInPandas(in_order, "variant_id long, clusterid long")
+    # components are dealt out whole, many small ones to a task; in order of their variants they do not disturb each other
+    tasks = max(int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions")), edges.count() // 200_000 + 1)
+    dealt = small.select(F.pmod(F.xxhash64("component"), F.lit(tasks)).alias("task"), "a", F.col("oa.neg").alias("neg"), "b")
+    told = dealt.groupBy("task").applyInPandas(in_order, "variant_id long, clusterid long")
     alone = nodes.select("variant_id").join(placed.select(F.col("node").alias("variant_id")), "variant_id", "left_anti").withColumn("clusterid", F.col("variant_id"))
     told = alone.unionByName(told)
     if crowded.isEmpty():
