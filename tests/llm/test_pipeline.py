@@ -18,7 +18,7 @@ from varicube.llm import queries  # noqa: E402
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_same_as_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     columns = sorted(df.columns)
