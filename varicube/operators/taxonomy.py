@@ -139,6 +139,7 @@ def ltg(hits: DataFrame, lineage: DataFrame, include_prop: float = 90, sure: int
 def annotate(variants: DataFrame, groups: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """Variants with their group, its name and the names of its lineage; the sequence last. A group without a name has null ones."""
     taxa, _ = split_taxonomy(taxonomy)
+    groups = stored(groups, "groups")  # read three times
     names = taxa.select(F.col("tax_id").alias("ltg_tax_id"), F.col("name_txt").alias("ltg_tax_name"))
     lineage = lineage_names(groups.select(F.col("ltg_tax_id").alias("tax_id")), taxonomy).withColumnRenamed("tax_id", "ltg_tax_id")
     joined = variants.join(groups, "variant_id", "left").join(names, "ltg_tax_id", "left").join(lineage, "ltg_tax_id", "left")
