@@ -32,3 +32,35 @@ def test_parts_meet_suppliers_by_an_equi_join(spark, rows, stars):
 def test_no_suppliers_no_parts(spark, rows, stars):
     spark.createDataFrame([], "s_suppkey long, s_name string, s_nationkey int").write.mode("overwrite").parquet(f"{stars}/supplier.parquet")
     assert fixtures.view(spark, stars, "taxonomy").count() == 1 + 2 + 3
+
+
+
+def made_of_rows(spark, tmp_path):
+    """Sequences by an aggregate of a table, as the variants of a run are of its reads."""
+    spark.range(100).selectExpr("id % 4 as variant_id").write.parquet(f"{tmp_path}/rows")
+    return spark.read.parquet(f"{tmp_path}/rows").distinct().withColumn("sequence", F.concat(F.repeat(F.lit("ACGT"), 10), F.repeat(F.lit("G"), F.col("variant_id").cast("int"))))
+
+
+def test_variants_are_made_once(spark, tmp_path):
+    from varicube.operators import alignment, pairs
+
+    variants = made_of_rows(spark, tmp_path)
+    for df in (pairs.overlapping_pairs(variants, 32), alignment.similar_targets(variants, variants.withColumnRenamed("variant_id", "target_id"))):
+        assert f"{tmp_path}/rows" not in plan(df) and df.count() > 0
+
+
+def test_a_sheet_of_tags_goes_to_the_reads(spark, tmp_path, rows):
+    from varicube.operators import reads
+
+    spark.createDataFrame([(1, "AACC", "GGTT"), (2, "TTCC", "GGAA")] * 5, "sample_id int, tagfwd string, tagrev string").write.parquet(f"{tmp_path}/sheet")
+    spark.createDataFrame([(1, "AACCxACGTAACC"), (2, "TTCCACGTTTCC"), (3, "CCCC"), (4, None)], "read_id long, raw string").write.parquet(f"{tmp_path}/reads")
+    raw, tags = spark.read.parquet(f"{tmp_path}/reads"), spark.read.parquet(f"{tmp_path}/sheet").distinct()
+    found = reads.demux_anchored(reads.both_strands(raw), tags)
+    assert rows(found.where("strand = '+'").select("read_id", "sample_id", "inner")) == [(1, 1, "xACGT"), (2, 2, "ACGT")]
+    assert "SortMergeJoin" not in plan(found) and plan(found).count(f"{tmp_path}/reads") == 1
+    both = reads.both_strands(raw)
+    assert both.columns == ["read_id", "raw", "strand"] and rows(both) == sorted([(1, "AACCxACGTAACC", "+"), (1, "GGTTACGTxGGTT", "-"), (2, "TTCCACGTTTCC", "+"), (2, "GGAAACGTGGAA", "-"), (3, "CCCC", "+"), (3, "GGGG", "-"), (4, None, "+"), (4, None, "-")], key=repr)
+
+
+def test_raw_reads_do_not_crowd(spark):
+    assert "SortMergeJoin" not in plan(fixtures.view(spark, "/root/testdata/sf0.001", "raw_reads"))

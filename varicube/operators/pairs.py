@@ -169,7 +169,7 @@ def pairs_within(variants: DataFrame, edits: int) -> DataFrame:
 
 def segment_pairs(variants: DataFrame, edits: Column, longest: Column) -> DataFrame:
     """Pairs (a, b) both ways whose edit distance is at most `edits`, a column of the longer one's length `len`; longest, a column of a length `short`, is what a longer one may have."""
-    base = stored(variants.select("variant_id", "sequence", F.length("sequence").alias("len")).where("len > 0"), "sequences")
+    base = stored(variants.select("variant_id", "sequence", F.length("sequence").alias("len")), "sequences").where("len > 0")
     met = segment_candidates(base, edits, longest)
     for x in "ab":
         met = met.join(base.select(F.col("variant_id").alias(x), F.col("sequence").alias(f"s{x}")), x)
@@ -275,7 +275,8 @@ def overlapping_pairs(variants: DataFrame, least: int = 32) -> DataFrame:
     alike never meet. What stands wholly inside another is found by its first `least` bases (or all of it, if shorter) among
     the other's inner windows. The texts confirm both.
     """
-    own = variants.select("variant_id", "sequence", F.length("sequence").alias("len")).where("len > 0")
+    # variants may be an aggregate of all reads: stored, and before the condition, which Spark would ask of each row below the aggregate
+    own = stored(variants.select("variant_id", "sequence", F.length("sequence").alias("len")), "sequences").where("len > 0")
     ends = own.where(F.col("len") >= least).select("variant_id", "sequence", F.explode(F.sequence(F.lit(least), F.col("len"))).alias("n"))
     tails = ends.select(F.col("variant_id").alias("a"), "n", F.expr("xxhash64(right(sequence, n))").alias("word"))
     fronts = ends.select(F.col("variant_id").alias("b"), "n", F.expr("xxhash64(substr(sequence, 1, n))").alias("word"))
@@ -292,5 +293,5 @@ def overlapping_pairs(variants: DataFrame, least: int = 32) -> DataFrame:
     for x in "ab":
         met = met.join(own.select(F.col("variant_id").alias(x), F.col("sequence").alias(f"s{x}")), x)
     text = F.when(F.col("at") == 0, F.expr("right(sa, n)")).otherwise(F.expr("substr(sa, at, n)"))
-    agree = met.where(text == F.expr("substr(sb, 1, n)")).select("a", "b")
+    agree = stored(met.where(text == F.expr("substr(sb, 1, n)")).select("a", "b"), "overlaps")
     return agree.unionByName(agree.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
