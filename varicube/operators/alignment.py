@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from varicube.functions.storage import stored
+
 # Scores of a match, a mismatch, the opening of a gap and each base in it.
 MATCH, MISMATCH, OPEN, EXTEND = 2, -3, -5, -2
 # Places of a seed that have to agree, ten of them each. At an identity of 70 % one of the two is found in 97 of 100 gapless alignments of 160 bases and in over 99 of 240.
@@ -132,7 +134,8 @@ def similar_targets(queries: DataFrame, targets: DataFrame, identity: float = 70
     found and only pairs without a common seed are missed. Null and empty sequences take no part; letters are compared without case; a key that stands
     for several sequences has its best alignment.
     """
-    q, t = clean(queries, "variant_id"), clean(targets, "target_id")
+    # each is read several times and may be an aggregate: stored before the condition of clean(), which Spark would ask of each row below the aggregate
+    q, t = (clean(stored(df.select(key, "sequence"), label), key) for df, key, label in ((queries, "variant_id", "queries"), (targets, "target_id", "targets")))
     hits = seed_hits(q, t, crowd, share, patterns).groupBy("variant_id", "target_id").agg(F.collect_set("band").alias("bands"))  # as many as a target has sixteens
     pairs = hits.join(q.withColumnRenamed("sequence", "query"), "variant_id").join(t.withColumnRenamed("sequence", "target"), "target_id")
 
