@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from varicube.functions.sequences import BASES, COMPLEMENT, IUPAC, reverse_complement
+from varicube.functions.storage import stored
 
 TO_COMPLEMENT = np.frombuffer(bytes.maketrans(b"ACGTN", b"TGCAN"), np.uint8)
 
@@ -93,16 +94,18 @@ def merge_pairs(pairs: DataFrame, least_overlap: int = 50, most_differences: flo
 
 def both_strands(reads: DataFrame, column: str = "raw") -> DataFrame:
     """Each read as it is and reverse-complemented, with its strand."""
-    forward = reads.withColumn("strand", F.lit("+"))
-    return forward.unionByName(reads.withColumn(column, reverse_complement(F.col(column))).withColumn("strand", F.lit("-")))
+    strands = F.array(F.struct(F.col(column).alias("text"), F.lit("+").alias("strand")), F.struct(reverse_complement(F.col(column)).alias("text"), F.lit("-").alias("strand")))
+    both = reads.withColumn("both_", F.explode(strands))  # so that the reads are scanned once
+    return both.withColumns({column: F.col("both_.text"), "strand": F.col("both_.strand")}).drop("both_")
 
 
 def demux_anchored(reads: DataFrame, tags: DataFrame, column: str = "raw") -> DataFrame:
     """Reads that begin with a forward tag and end with the reverse complement of its partner, with the tag pair's columns; `inner` is what is between.
 
-    An equi-join on the read's ends, once for each pair of tag lengths in the sheet.
+    An equi-join on the read's ends, once for each pair of tag lengths in the sheet. The sheet is stored first, so that Spark knows its size and
+    a small one goes to the reads, which few pairs of tags would otherwise crowd into few tasks.
     """
-    t = tags.withColumns({"lf": F.length("tagfwd"), "lr": F.length("tagrev"), "head": F.col("tagfwd"), "tail": reverse_complement(F.col("tagrev"))})
+    t = stored(tags, "tags").withColumns({"lf": F.length("tagfwd"), "lr": F.length("tagrev"), "head": F.col("tagfwd"), "tail": reverse_complement(F.col("tagrev"))})
     lengths = F.broadcast(t.select("lf", "lr").distinct())  # pairs of tag lengths: a few
     cut = reads.join(lengths, F.length(column) >= F.col("lf") + F.col("lr"))
     cut = cut.withColumns({"head": F.expr(f"substr({column}, 1, lf)"), "tail": F.expr(f"right({column}, lr)")})

@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from varicube.functions.storage import stored
+
 BASES = "translate({}, '0123456789abcdef', 'ACGTACGTACGTACGT')"
 
 
@@ -115,6 +117,7 @@ join (select slice as of, sum(n) over (order by slice nulls last) - n as before
 SPARK_VIEWS = {
     "taxonomy": VIEWS["taxonomy"][: VIEWS["taxonomy"].index("from {part}")]
     + f"from (select p_partkey, p_name, p_partkey % nullif((select count(*) from {{supplier}}), 0) as place from {{part}}) p join ({PLACES}) g on place = pos",
+    "raw_reads": VIEWS["raw_reads"].replace(f"({VIEWS['tags']})", "{tags}"),
 }
 
 TABLES = re.compile(r"\{(\w+)\}")
@@ -126,4 +129,7 @@ def ctes(*names: str) -> str:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if name == "raw_reads":
+        tags = stored(view(spark, sf_dir, "tags"), "tags")  # small, which Spark cannot know of an aggregate: few tag pairs would crowd the reads into few tasks
+        return spark.sql(TABLES.sub(lambda m: f"parquet.`{tags.stored_path if m[1] == 'tags' else f'{sf_dir}/{m[1]}.parquet'}`", SPARK_VIEWS[name]))
     return spark.sql(TABLES.sub(lambda m: f"parquet.`{sf_dir}/{m[1]}.parquet`", SPARK_VIEWS.get(name) or VIEWS[name]))
