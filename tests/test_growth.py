@@ -64,3 +64,19 @@ def test_a_sheet_of_tags_goes_to_the_reads(spark, tmp_path, rows):
 
 def test_raw_reads_do_not_crowd(spark):
     assert "SortMergeJoin" not in plan(fixtures.view(spark, "/root/testdata/sf0.001", "raw_reads"))
+
+
+def test_ngrams_of_a_block_come_back_sorted_and_counted():
+    import numpy as np
+
+    from varicube.llm import lm
+
+    texts = ["a b a b c", "", "b a b"]
+    table, n = lm.counted([lm.gram_hashes(t.encode(), 2, lm.WordHashes()) for t in texts], 2)
+    rows_ = lm.packed(table, n).sample(frac=1, random_state=1)
+    grams, totals = lm.unpacked(rows_, "ns")
+    assert grams.tolist() == sorted(table.tolist()) and dict(zip(grams.tolist(), totals.tolist())) == dict(zip(table.tolist(), n.tolist()))
+    ones = [lm.gram_hashes(t.encode(), 1, lm.WordHashes())[0] for t in texts]
+    assert lm.spread_counts(ones, np.empty(0, np.int64), np.empty(0, np.int64)).tolist() == [3, 4, 3, 4, 1, 4, 3, 4]
+    assert lm.spread_counts(ones, grams, totals).tolist() == [6, 8, 6, 8, 2, 8, 6, 8]
+    assert [len(x) for x in lm.unpacked(rows_.iloc[:0], "ns")] == [0, 0]

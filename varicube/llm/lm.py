@@ -15,7 +15,11 @@ MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
 class WordHashes(dict):
+    """Hashes of words met so far; begun anew when there are many, as most of a block's words are rare."""
+
     def __missing__(self, word: bytes) -> int:
+        if len(self) >= 1 << 17:
+            self.clear()
         self[word] = found = xxhash.xxh64_intdigest(word, 1)
         return found
 
@@ -43,10 +47,39 @@ def packed(grams: np.ndarray, n: np.ndarray) -> pd.DataFrame:
 
 
 def unpacked(rows: pd.DataFrame, numbers: str) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams and their numbers, of rows like those of packed()."""
-    flat = {c: np.concatenate([np.empty(0, np.int64), *rows[c]]).astype(np.int64) for c in ("mids", "lows", numbers)}
-    part = np.repeat(rows["part"].to_numpy(np.int64), rows["lows"].map(len).to_numpy(np.int64))
-    return (part << 48) | ((flat["mids"] & 0xFFFF) << 32) | (flat["lows"] & 0xFFFFFFFF), flat[numbers]
+    """The n-grams and their numbers, of rows like those of packed(), sorted by n-gram."""
+    cuts = np.concatenate([[0], np.cumsum(rows["lows"].map(len).to_numpy(np.int64))])
+    grams, n = np.empty(cuts[-1], np.int64), np.empty(cuts[-1], rows[numbers].iloc[0].dtype if len(rows) else np.int64)
+    at = np.argsort(rows["part"].to_numpy(np.int64) << 48, kind="stable") if len(rows) else []  # parts hold the first bits, so rows in their order need sorting within a part only
+    parts, mids, lows, ns = (rows[c].to_numpy() for c in ("part", "mids", "lows", numbers))
+    done = 0
+    for first in range(0, len(rows), 4096):
+        some = at[first : first + 4096]
+        m, low, k = (np.concatenate(x[some]) for x in (mids, lows, ns))
+        part = np.repeat(parts[some].astype(np.int64), cuts[some + 1] - cuts[some])
+        g = (part << 48) | ((m.astype(np.int64) & 0xFFFF) << 32) | (low.astype(np.int64) & 0xFFFFFFFF)
+        order = np.argsort(g)
+        grams[done : done + len(g)], n[done : done + len(g)] = g[order], k[order]
+        done += len(g)
+    return grams, n
+
+
+def spread_counts(parts: list[np.ndarray], table: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Of each n-gram of some texts in order, how often it stands in all of them, and elsewhere by the table (sorted)."""
+    x = np.concatenate([np.empty(0, np.int64), *[p.view(np.int64) for p in parts]])
+    order = np.argsort(x)
+    x = x[order]
+    cuts = np.append(np.flatnonzero(np.concatenate([np.ones(min(1, len(x)), bool), x[1:] != x[:-1]])), len(x))
+    here, n = x[cuts[:-1]], np.diff(cuts)
+    del x
+    place = np.searchsorted(table, here)
+    hit = place < len(table)
+    hit[hit] = table[place[hit]] == here[hit]
+    total = n.astype(np.int64)
+    total[hit] += totals[place[hit]]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.repeat(total, n)
+    return out
 
 
 def mean_log(counts: list[np.ndarray], n_words: int, others: int, alpha: float) -> float | None:
@@ -67,9 +100,18 @@ def mean_log(counts: list[np.ndarray], n_words: int, others: int, alpha: float)
 
 
 def counted(by_text: list[list[np.ndarray]], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct n-grams of some texts, sorted as signed numbers, and how often each stands in them."""
-    parts = [np.unique(np.concatenate([np.empty(0, np.uint64), *[g[n] for g in by_text]]), return_counts=True) for n in range(order)]
+    """The distinct n-grams of some texts, sorted as signed numbers, and how often each stands in them. Takes the texts' n-grams away, as a block's are large."""
+    parts = []
+    for n in range(order):
+        flat = np.concatenate([np.empty(0, np.uint64), *[g[n] for g in by_text]])
+        for g in by_text:
+            g[n] = None  # not needed any more
+        flat.sort()
+        cuts = np.append(np.flatnonzero(np.concatenate([np.ones(min(1, len(flat)), bool), flat[1:] != flat[:-1]])), len(flat))
+        parts.append((flat[cuts[:-1]], np.diff(cuts)))
+        del flat, cuts
     grams, n = np.concatenate([p[0] for p in parts]).view(np.int64), np.concatenate([p[1] for p in parts])
+    del parts
     at = np.argsort(grams)
     return grams[at], n[at]
 
@@ -116,26 +158,18 @@ def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4, block_ch
         if not len(left):
             return pd.DataFrame({"doc_id": [], "n_words": [], "score": []})
         table, totals = unpacked(right, "others")
-        at = np.argsort(table)
-        table, totals = table[at], totals[at]
         by_text = hashed(left)
         sizes = [len(p[0]) for p in by_text]
         others = []  # by n: of each n-gram in order, its count in all other documents
         for n in range(order):
-            here, inverse, n_here = np.unique(np.concatenate([p[n] for p in by_text]), return_inverse=True, return_counts=True)
-            here = here.view(np.int64)
-            place = np.searchsorted(table, here)
-            hit = place < len(table)
-            hit[hit] = table[place[hit]] == here[hit]
-            total = n_here.astype(np.int64)
-            total[hit] += totals[place[hit]]
-            counts, done = total[inverse], 0
+            counts, done = spread_counts([p[n] for p in by_text], table, totals), 0
             for p in by_text:
-                _, back, mine = np.unique(inverse[done : done + len(p[n])], return_inverse=True, return_counts=True)
+                _, back, mine = np.unique(p[n], return_inverse=True, return_counts=True)
                 counts[done : done + len(p[n])] -= mine[back]
                 done += len(p[n])
                 p[n] = None
             others.append(counts)
+        del table, totals
         found, done = [], [0] * order
         for n_words in sizes:
             c = []
