@@ -80,3 +80,19 @@ def test_ngrams_of_a_block_come_back_sorted_and_counted():
     assert lm.spread_counts(ones, np.empty(0, np.int64), np.empty(0, np.int64)).tolist() == [3, 4, 3, 4, 1, 4, 3, 4]
     assert lm.spread_counts(ones, grams, totals).tolist() == [6, 8, 6, 8, 2, 8, 6, 8]
     assert [len(x) for x in lm.unpacked(rows_.iloc[:0], "ns")] == [0, 0]
+
+
+def test_a_pair_leaves_its_family_once(spark):
+    """Texts that share a passage share many shingles; a pair of them has one row for all of these."""
+    from varicube.llm import simhash
+
+    members, shared, size = 45, 30, 200
+    held = [(s, m, m % 40, size, s, s // 20) for m in range(members) for s in range(shared)]  # five pairs are of one component
+    rows_ = spark.createDataFrame(held, "shingle long, node long, component long, n long, place long, family long")
+    nodes = spark.createDataFrame([(m, [m % 2, 0, -1, 0]) for m in range(members)], "node long, parity array<long>")
+    pairs = members * (members - 1) // 2 - 5
+    got = [tuple(r) for r in simhash.pairs_by_family(rows_, nodes, 0.8, 16).collect()]
+    assert pairs <= len(got) <= 2 * pairs  # two families, not thirty shingles
+    assert sorted(map(tuple, simhash.apart_pairs(rows_, nodes, 0.8, 16).collect())) == [(a, b, shared) for a in range(members) for b in range(a + 1, members) if a % 40 != b % 40]
+    spread = spark.createDataFrame([(m, [(1 << m) - 1, -1 if m % 2 else 0, 0, 0]) for m in range(members)], "node long, parity array<long>")  # 64 odd bits are over 44 of 400 members
+    assert {(r.a + r.b) % 2 for r in simhash.apart_pairs(rows_, spread, 0.8, 16).collect()} == {0}

@@ -268,48 +268,68 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataF
     return both.where(F.col("both") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-def apart_pairs(rows: DataFrame, nodes: DataFrame, similarity: float, block: int) -> DataFrame:
-    """(a, b, c): pairs of nodes of different components that share c shingles of their heads and may still be similar by size, place and parities.
+def pairs_by_family(rows: DataFrame, nodes: DataFrame, similarity: float, block: int) -> DataFrame:
+    """(a, b, c): pairs of nodes of different components that share c shingles of one family or more and may still be similar by size, place and parities.
 
-    rows: shingle, node, component, n, place; nodes: node, parity. A shingle whose nodes are all of one component forms no pairs. Sets of
-    na and nb members are similar if at most (1 - similarity) / (1 + similarity) of na + nb are not in common, so a pair whose
-    parities() differ in more bits never leaves its task.
+    rows: shingle, node, component, n, place, family; nodes: node, parity. A shingle is of one family, and a pair may have a row for each family that it meets in. A family
+    should be a holder of all its shingles: then shingles with the same holders meet in one task, which counts them for a pair at once, and no node brings more
+    shingles into a family than that holder's head has. A shingle whose nodes are all of one component forms no pairs. Sets of na and nb members
+    are similar if at most (1 - similarity) / (1 + similarity) of na + nb are not in common, so a pair whose parities() differ in more bits never leaves its task.
     """
     open_ = rows.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("shingle")
-    open_rows = save(rows.join(open_, "shingle").join(nodes.select("node", "parity"), "node"), "open")
-    met, total = in_blocks(open_rows, ["shingle"], "node", block)
-    groups = groups_for(rows.sparkSession, total, 50_000)
+    held = rows.join(open_, "shingle").groupBy("family", "node").agg(F.first("component").alias("component"), F.first("n").alias("n"), F.collect_list(F.struct("shingle", "place")).alias("held"))
+    held = held.join(nodes.select("node", "parity"), "node").select("family", "node", "component", "n", "parity", F.col("held.shingle").alias("shingles"), F.col("held.place").alias("places"))
+    met, total = in_blocks(save(held, "open"), ["family"], "node", max(1, block // 4))  # a row brings several shingles
+    groups = groups_for(rows.sparkSession, total, 5_000)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        unit, comp = pdf[["shingle", "bi", "bj"]].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
-        order = np.lexsort((comp, unit[:, 2], unit[:, 1], unit[:, 0]))
-        unit, comp = unit[order], comp[order]
-        node, n, place, blk = (pdf[c].to_numpy(np.int64)[order] for c in ("node", "n", "place", "blk"))
-        parity = np.stack(list(pdf["parity"])).astype(np.int64).view(np.uint64)[order]  # bits of a negative number would be counted by its size
-        new = np.concatenate([[True], (unit[1:] != unit[:-1]).any(1)])
-        turn = np.concatenate([[True], new[1:] | (comp[1:] != comp[:-1])])
+        names, node = np.unique(pdf["node"].to_numpy(np.int64), return_inverse=True)
+        comp, n, blk = (pdf[c].to_numpy(np.int64) for c in ("component", "n", "blk"))
+        unit, whole = pdf.groupby(["family", "bi", "bj"]).ngroup().to_numpy(), (pdf["bi"] == pdf["bj"]).to_numpy()
+        parity = np.stack(list(pdf["parity"])).astype(np.int64).view(np.uint64)  # bits of a negative number would be counted by its size
+        of = np.repeat(np.arange(len(pdf)), [len(x) for x in pdf["shingles"]])
+        shingle, place = (np.concatenate(list(pdf[c])).astype(np.int64) for c in ("shingles", "places"))
+        order = np.lexsort((comp[of], shingle, unit[of]))
+        of, shingle, place = of[order], shingle[order], place[order]
+        new = np.concatenate([[True], (unit[of[1:]] != unit[of[:-1]]) | (shingle[1:] != shingle[:-1])])
+        turn = np.concatenate([[True], new[1:] | (comp[of[1:]] != comp[of[:-1]])])
         ends = [np.append(np.flatnonzero(x)[1:], len(x))[np.cumsum(x) - 1] for x in (new, turn)]
-        partners = ends[0] - ends[1]  # only rows of the unit's later components
-        upto, at, found, counts = np.cumsum(partners), 0, [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)]
-        while at < len(node):
+        partners = ends[0] - ends[1]  # only rows of the shingle's later components
+        upto, at, found, counts = np.cumsum(partners), 0, [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+
+        def summed():
+            keys, back = np.unique(np.concatenate(found), return_inverse=True)
+            return [keys], [np.bincount(back, np.concatenate(counts), len(keys)).astype(np.int64)]
+
+        while at < len(of):
             to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + (1 << 18), side="right")))
             k = partners[at:to]
             i = np.repeat(np.arange(at, to), k)
             j = ends[1][i] + np.arange(len(i)) - np.repeat(np.cumsum(k) - k, k)
-            most = np.minimum(place[i], place[j]) + np.minimum(n[i] - place[i], n[j] - place[j])  # shared shingles at most
-            ok = ((blk[i] != blk[j]) | (unit[i, 1] == unit[i, 2])) & (node[i] != node[j])
+            pi, pj, i, j = place[i], place[j], of[i], of[j]
+            most = np.minimum(pi, pj) + np.minimum(n[i] - pi, n[j] - pj)  # shared shingles at most
+            ok = ((blk[i] != blk[j]) | whole[i]) & (node[i] != node[j])
             ok &= np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9
             ok &= most >= similarity * (n[i] + n[j] - most) - 1e-9
             i, j = i[ok], j[ok]
             odd = np.bitwise_count(parity[i] ^ parity[j]).sum(1, dtype=np.int64)
             ok = odd <= (1 - similarity) / (1 + similarity) * (n[i] + n[j]) + 1e-9
-            both, c = np.unique(np.stack([np.minimum(node[i], node[j])[ok], np.maximum(node[i], node[j])[ok]], 1), axis=0, return_counts=True)
-            found.append(both)
+            i, j = node[i[ok]], node[j[ok]]
+            keys, c = np.unique(np.minimum(i, j) * len(names) + np.maximum(i, j), return_counts=True)
+            found.append(keys)
             counts.append(c)
+            if sum(map(len, found[1:])) > max(1 << 20, len(found[0])):
+                found, counts = summed()
             at = to
-        return pd.DataFrame(np.concatenate(found), columns=["a", "b"]).assign(c=np.concatenate(counts))
+        (keys,), (c,) = summed()
+        return pd.DataFrame({"a": names[keys // len(names)], "b": names[keys % len(names)], "c": c})
 
-    return met.groupBy(dealt_to(groups, "shingle", "bi", "bj").alias("grp")).applyInPandas(lambda pdf: run(pdf), "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
+    return met.groupBy(dealt_to(groups, "family", "bi", "bj").alias("grp")).applyInPandas(lambda pdf: run(pdf), "a long, b long, c long")
+
+
+def apart_pairs(rows: DataFrame, nodes: DataFrame, similarity: float, block: int) -> DataFrame:
+    """(a, b, c): the pairs of pairs_by_family(), once each, with all shingles of their heads that they share."""
+    return pairs_by_family(rows, nodes, similarity, block).groupBy("a", "b").agg(F.sum("c").alias("c"))
 
 
 def may_be_similar(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
@@ -360,7 +380,7 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0
     first = save(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
     edges = save(similar_pairs(first, shingle_sets(docs, nodes, first, words), similarity), "similar")
     placed = save(components(edges), "placed")
-    labelled = met.select("shingle", "node", "n", "place").join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = met.select("shingle", "node", "n", "place", F.col("center_0.node").alias("family")).join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rest = save(may_be_similar(apart_pairs(labelled, nodes, similarity, block), nodes, similarity), "pairs")
     sets = shingle_sets(docs, nodes, rest, words)
     likely = rest.groupBy("a").agg(F.max(F.struct("c", "b")).alias("x")).select("a", "x.b").union(rest.groupBy("b").agg(F.max(F.struct("c", "a")).alias("x")).select("x.a", "b")).distinct()
