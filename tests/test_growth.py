@@ -96,3 +96,58 @@ def test_a_pair_leaves_its_family_once(spark):
     assert sorted(map(tuple, simhash.apart_pairs(rows_, nodes, 0.8, 16).collect())) == [(a, b, shared) for a in range(members) for b in range(a + 1, members) if a % 40 != b % 40]
     spread = spark.createDataFrame([(m, [(1 << m) - 1, -1 if m % 2 else 0, 0, 0]) for m in range(members)], "node long, parity array<long>")  # 64 odd bits are over 44 of 400 members
     assert {(r.a + r.b) % 2 for r in simhash.apart_pairs(rows_, spread, 0.8, 16).collect()} == {0}
+
+
+def test_unlike_sets_of_any_size_stay_in_their_task():
+    """With bits by the number of members, the parities of unlike sets tell so however large the sets are."""
+    import numpy as np
+
+    from varicube.llm import simhash
+
+    rng = np.random.default_rng(31)
+    for n in (150, 400, 1_500):
+        own = rng.integers(0, 1 << 64, n + n // 4, dtype=np.uint64)
+        a, b, near = own[:n], own[n // 4 :], own[n // 20 :][:n]  # similarities of 0.6 and 0.9
+        found = simhash.parities(a), simhash.parities(b), simhash.parities(near)
+        differ = lambda x, y: int(np.bitwise_count(x.view(np.uint64) ^ y.view(np.uint64)).sum())
+        assert differ(found[0], found[2]) <= 2 * (n // 20) < 2 * n / 9 < differ(found[0], found[1])
+
+
+def test_sketches_of_two_widths_meet_in_the_narrower():
+    import numpy as np
+
+    from varicube.llm import simhash
+
+    rng = np.random.default_rng(32)
+    own = rng.integers(0, 1 << 64, 2_000, dtype=np.uint64)
+    sets = [own[:k] for k in (0, 60, 70, 250, 260, 1_000, 2_000)]
+    sketches = [simhash.parities(x) for x in sets]
+    assert len({len(x) for x in sketches}) == 4
+    i, j = np.triu_indices(len(sets), 1)
+    width = lambda x: 64 * len(simhash.parities(x))
+    odd = lambda x, bits: np.bincount((x & np.uint64(bits - 1)).astype(int), minlength=bits) & 1
+    want = [int((odd(sets[a], w := min(width(sets[a]), width(sets[b]))) ^ odd(sets[b], w)).sum()) for a, b in zip(i, j)]
+    assert simhash.Parities(sketches).differ(i, j, 3).tolist() == want
+
+
+def test_a_node_leaves_its_task_with_its_nearest_only(spark):
+    """A group of texts of as many components has as many pairs as its square, of which the first pass lets out one a node and task."""
+    from varicube.llm import simhash
+
+    members, size = 120, 200
+    held = [(s, m, m, size, s, 0) for m in range(members) for s in range(3)]
+    rows_ = spark.createDataFrame(held, "shingle long, node long, component long, n long, place long, family long")
+    nodes = spark.createDataFrame([(m, [(1 << (m % 40)) - 1, m // 40, 0, 0]) for m in range(members)], "node long, parity array<long>")
+    opened = simhash.held_open(rows_, nodes)
+    units = 4  # two blocks a node at most in each, of a group of 120 in blocks of 64
+    near = simhash.pairs_in_families(opened, 0.8, 256, only_nearest=True).collect()
+    assert members / 2 <= len(near) <= units * members < members * (members - 1) / 2 / 10
+    bits = {r.node: r.parity for r in nodes.collect()}
+    far = lambda a, b: sum((x ^ y).bit_count() for x, y in zip(bits[a], bits[b]))
+    least = {a: min(far(a, b) for b in range(members) if b != a) for a in range(members)}
+    pairs = {(r.a, r.b) for r in simhash.nearest_pairs(opened, 0.8, 256).collect()}
+    assert all(any(m in p and far(*p) == least[m] for p in pairs) for m in range(members)) and len(pairs) <= 2 * members
+    joined = spark.createDataFrame([(m, 0) for m in range(members - 1)], "node long, component long")
+    left = simhash.once_each(simhash.pairs_in_families(simhash.still_open(opened, joined), 0.8, 256)).collect()
+    assert sorted(map(tuple, left)) == [(m, members - 1, 3) for m in range(members - 1)]
+    assert simhash.still_open(opened, spark.createDataFrame([(m, 0) for m in range(members)], "node long, component long")).count() == 0

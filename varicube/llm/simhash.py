@@ -204,11 +204,47 @@ def head_size(n: int, similarity: float) -> int:
 
 
 def parities(shingles: np.ndarray) -> np.ndarray:
-    """256 bits of a set as four signed numbers: whether an odd number of its members falls on each.
+    """Bits of a set as signed numbers of 64 each: whether an odd number of its members falls on each. Four bits a member and more, as a power of two from 256 to 2,048.
 
-    Members that two sets share cancel out, so the sets have at least as many members not in common as their bits differ.
+    Members that two sets share cancel out, so the sets have at least as many members not in common as their bits differ. With few bits a member
+    many of these cancel out too. The exclusive or of a sketch's halves is the set's sketch of half the bits.
     """
-    return np.packbits(np.bincount((shingles & np.uint64(255)).astype(np.int64), minlength=256) & 1).view(">i8").astype(np.int64)
+    bits = 1 << min(11, max(8, (4 * len(shingles) - 1).bit_length()))
+    return np.packbits(np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).view(">i8").astype(np.int64)
+
+
+class Parities:
+    """The parities() of a task's sets, of any widths. A pair is compared in the narrower one's width."""
+
+    def __init__(self, parity: list[np.ndarray]):
+        self.widths = np.array([len(x) for x in parity], np.int64)
+        width = int(self.widths.max(initial=1))
+        rows = np.zeros((len(parity), width), np.uint64)  # bits of a negative number would be counted by its size
+        for w in np.unique(self.widths):
+            of = np.flatnonzero(self.widths == w)
+            rows[of, :w] = np.stack([parity[k] for k in of]).astype(np.int64).view(np.uint64)
+        self.at = {width: rows}
+        while width > self.widths.min(initial=width):
+            width //= 2
+            rows = rows[:, :width] ^ rows[:, width:]  # the upper half of a narrower one is zero
+            self.at[width] = rows
+
+    def differ(self, i: np.ndarray, j: np.ndarray, rows: int = 1 << 13) -> np.ndarray:
+        """In how many bits the sets of each pair differ."""
+        narrow, out = np.minimum(self.widths[i], self.widths[j]), np.zeros(len(i), np.int64)
+        for w in np.unique(narrow):
+            of = np.flatnonzero(narrow == w)
+            for k in range(0, len(of), rows):
+                x = of[k : k + rows]
+                out[x] = np.bitwise_count(self.at[w][i[x]] ^ self.at[w][j[x]]).sum(1, dtype=np.int64)
+        return out
+
+
+def nearest(a: np.ndarray, b: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Which of the pairs (a, b) are the nearest of one of their ends, by `far` and then by the other end."""
+    ends, others, k = np.concatenate([a, b]), np.concatenate([b, a]), np.tile(np.arange(len(a)), 2)
+    order = np.lexsort((others, far[k], ends))
+    return np.unique(k[order[np.diff(ends[order], prepend=-1) != 0]])
 
 
 def sketches(docs: DataFrame, words: int, similarity: float, late: np.ndarray) -> DataFrame:
@@ -256,7 +292,8 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int
         for pdf in sliced(batches):
             yield pd.DataFrame({"node": pdf["node"], "shingles": [np.unique(shingle_hashes(t, words)).view(np.int64) for t in pdf["text"]]})
 
-    wanted = nodes.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node", "left_semi").select("node", "rep.doc_id", "rep.text_hash")
+    wanted = save(nodes.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node", "left_semi").select("node", "rep.doc_id", "rep.text_hash"), "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= 10_000 else wanted  # a few nodes go to the documents, so that no text is shuffled for them
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["node"])
     return save(texts.select("node", "text").mapInPandas(shingles, "node long, shingles array<long>"), "shingles")
 
@@ -268,25 +305,42 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataF
     return both.where(F.col("both") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-def pairs_by_family(rows: DataFrame, nodes: DataFrame, similarity: float, block: int) -> DataFrame:
-    """(a, b, c): pairs of nodes of different components that share c shingles of one family or more and may still be similar by size, place and parities.
+def held_open(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(family, node, component, n, parity, shingles, places): a node once for a family, with its shingles of that family that nodes of other components hold too.
 
-    rows: shingle, node, component, n, place, family; nodes: node, parity. A shingle is of one family, and a pair may have a row for each family that it meets in. A family
-    should be a holder of all its shingles: then shingles with the same holders meet in one task, which counts them for a pair at once, and no node brings more
-    shingles into a family than that holder's head has. A shingle whose nodes are all of one component forms no pairs. Sets of na and nb members
-    are similar if at most (1 - similarity) / (1 + similarity) of na + nb are not in common, so a pair whose parities() differ in more bits never leaves its task.
+    rows: shingle, node, component, n, place, family; nodes: node, parity.
     """
     open_ = rows.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("shingle")
     held = rows.join(open_, "shingle").groupBy("family", "node").agg(F.first("component").alias("component"), F.first("n").alias("n"), F.collect_list(F.struct("shingle", "place")).alias("held"))
     held = held.join(nodes.select("node", "parity"), "node").select("family", "node", "component", "n", "parity", F.col("held.shingle").alias("shingles"), F.col("held.place").alias("places"))
-    met, total = in_blocks(save(held, "open"), ["family"], "node", max(1, block // 4))  # a row brings several shingles
-    groups = groups_for(rows.sparkSession, total, 5_000)
+    return save(held, "open")
+
+
+def still_open(held: DataFrame, placed: DataFrame) -> DataFrame:
+    """The held_open() families that have nodes of several components by `placed` (node, component), with these."""
+    now = held.drop("component").join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    apart = now.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("family")
+    return save(now.join(apart, "family").select(held.columns), "open")
+
+
+def pairs_in_families(held: DataFrame, similarity: float, block: int, only_nearest: bool = False) -> DataFrame:
+    """(a, b, c, far): pairs of nodes of different components that share c shingles of one family or more and may still be similar by size, place and parities.
+
+    held: as by held_open(). A shingle is of one family, and a pair may have a row for each family that it meets in. A family
+    should be a holder of all its shingles: then shingles with the same holders meet in one task, which counts them for a pair at once, and no node brings more
+    shingles into a family than that holder's head has. A shingle whose nodes are all of one component forms no pairs. Sets of na and nb members
+    are similar if at most (1 - similarity) / (1 + similarity) of na + nb are not in common, so a pair whose parities() differ in more bits never leaves its task.
+    far: the share of na + nb in which they differ. With `only_nearest` a task returns for each of its nodes no pair but the nearest, so that a large group has no more
+    rows than nodes; c is not the whole number then.
+    """
+    met, total = in_blocks(held, ["family"], "node", max(1, block // 4))  # a row brings several shingles
+    groups = groups_for(held.sparkSession, total, 5_000)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        names, node = np.unique(pdf["node"].to_numpy(np.int64), return_inverse=True)
+        names, named, node = np.unique(pdf["node"].to_numpy(np.int64), return_index=True, return_inverse=True)
         comp, n, blk = (pdf[c].to_numpy(np.int64) for c in ("component", "n", "blk"))
         unit, whole = pdf.groupby(["family", "bi", "bj"]).ngroup().to_numpy(), (pdf["bi"] == pdf["bj"]).to_numpy()
-        parity = np.stack(list(pdf["parity"])).astype(np.int64).view(np.uint64)  # bits of a negative number would be counted by its size
+        parity, sizes = Parities([pdf["parity"].iloc[k] for k in named]), n[named]
         of = np.repeat(np.arange(len(pdf)), [len(x) for x in pdf["shingles"]])
         shingle, place = (np.concatenate(list(pdf[c])).astype(np.int64) for c in ("shingles", "places"))
         order = np.lexsort((comp[of], shingle, unit[of]))
@@ -295,11 +349,15 @@ def pairs_by_family(rows: DataFrame, nodes: DataFrame, similarity: float, block:
         turn = np.concatenate([[True], new[1:] | (comp[of[1:]] != comp[of[:-1]])])
         ends = [np.append(np.flatnonzero(x)[1:], len(x))[np.cumsum(x) - 1] for x in (new, turn)]
         partners = ends[0] - ends[1]  # only rows of the shingle's later components
-        upto, at, found, counts = np.cumsum(partners), 0, [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        upto, at, found, counts, fars = np.cumsum(partners), 0, [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
 
         def summed():
-            keys, back = np.unique(np.concatenate(found), return_inverse=True)
-            return [keys], [np.bincount(back, np.concatenate(counts), len(keys)).astype(np.int64)]
+            keys, one, back = np.unique(np.concatenate(found), return_index=True, return_inverse=True)
+            c, far = np.bincount(back, np.concatenate(counts), len(keys)).astype(np.int64), np.concatenate(fars)[one]
+            if only_nearest:
+                least = nearest(keys // len(names), keys % len(names), far)
+                keys, c, far = keys[least], c[least], far[least]
+            return [keys], [c], [far]
 
         while at < len(of):
             to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + (1 << 18), side="right")))
@@ -311,25 +369,43 @@ def pairs_by_family(rows: DataFrame, nodes: DataFrame, similarity: float, block:
             ok = ((blk[i] != blk[j]) | whole[i]) & (node[i] != node[j])
             ok &= np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9
             ok &= most >= similarity * (n[i] + n[j] - most) - 1e-9
-            i, j = i[ok], j[ok]
-            odd = np.bitwise_count(parity[i] ^ parity[j]).sum(1, dtype=np.int64)
-            ok = odd <= (1 - similarity) / (1 + similarity) * (n[i] + n[j]) + 1e-9
             i, j = node[i[ok]], node[j[ok]]
             keys, c = np.unique(np.minimum(i, j) * len(names) + np.maximum(i, j), return_counts=True)
-            found.append(keys)
-            counts.append(c)
+            i, j = keys // len(names), keys % len(names)
+            odd, both = parity.differ(i, j), sizes[i] + sizes[j]
+            ok = odd <= (1 - similarity) / (1 + similarity) * both + 1e-9
+            found.append(keys[ok])
+            counts.append(c[ok])
+            fars.append(odd[ok] / both[ok])
             if sum(map(len, found[1:])) > max(1 << 20, len(found[0])):
-                found, counts = summed()
+                found, counts, fars = summed()
             at = to
-        (keys,), (c,) = summed()
-        return pd.DataFrame({"a": names[keys // len(names)], "b": names[keys % len(names)], "c": c})
+        (keys,), (c,), (far,) = summed()
+        return pd.DataFrame({"a": names[keys // len(names)], "b": names[keys % len(names)], "c": c, "far": far})
+
+    return met.groupBy(dealt_to(groups, "family", "bi", "bj").alias("grp")).applyInPandas(lambda pdf: run(pdf), "a long, b long, c long, far double")
+
+
+def pairs_by_family(rows: DataFrame, nodes: DataFrame, similarity: float, block: int) -> DataFrame:
+    """pairs_in_families() of all shingles. rows: shingle, node, component, n, place, family; nodes: node, parity."""
+    return pairs_in_families(held_open(rows, nodes), similarity, block)
+
+
+def nearest_pairs(held: DataFrame, similarity: float, block: int) -> DataFrame:
+    """(a, b): for each node of `held` the likeliest of the pairs_in_families() that it is in, as the lower or as the higher end."""
+    near = save(pairs_in_families(held, similarity, block, only_nearest=True), "near")
+    sides = near.groupBy("a").agg(F.min(F.struct("far", "b")).alias("x")).select("a", "x.b"), near.groupBy("b").agg(F.min(F.struct("far", "a")).alias("x")).select("x.a", "b")
+    return save(sides[0].unionByName(sides[1]).distinct(), "pairs")
 
-    return met.groupBy(dealt_to(groups, "family", "bi", "bj").alias("grp")).applyInPandas(lambda pdf: run(pdf), "a long, b long, c long")
+
+def once_each(pairs: DataFrame) -> DataFrame:
+    """(a, b, c): the pairs of pairs_in_families(), once each, with all shingles of their heads that they share."""
+    return pairs.groupBy("a", "b").agg(F.sum("c").alias("c"))
 
 
 def apart_pairs(rows: DataFrame, nodes: DataFrame, similarity: float, block: int) -> DataFrame:
-    """(a, b, c): the pairs of pairs_by_family(), once each, with all shingles of their heads that they share."""
-    return pairs_by_family(rows, nodes, similarity, block).groupBy("a", "b").agg(F.sum("c").alias("c"))
+    """(a, b, c): the pairs of pairs_by_family(), once each."""
+    return once_each(pairs_by_family(rows, nodes, similarity, block))
 
 
 def may_be_similar(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
@@ -350,7 +426,7 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0
 
     Candidates are pairs that share a shingle of their heads (see head_size()), which no similar pair fails to do. First each text is compared with
     the first of the holders of its head's shingles by `orders` hashes, if they share many, and with those the trie join of SimHashes links to it; components of
-    verified links follow. Then all pairs of candidates whose components still differ are looked at: first each text's likeliest one is compared, then those that are still apart, so nothing is missed and a large group is not compared
+    verified links follow. Then each text is compared with the likeliest candidate of another component, and at last all pairs of candidates whose components still differ are, so nothing is missed and a large group is not compared
     all with all. Before texts are compared, pairs go whose parities() differ too much, and those that share too few of the heads' shingles (see may_be_similar()). Shingles
     that over `crowd` texts or so hold, by a sample, are put last in every set's order beforehand; the order has no bearing on the result. Equal texts
     form one node. Texts without words are linked only with each other. Null ids take no part. Rows that share a doc_id but not the text are documents of
@@ -381,14 +457,12 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0
     edges = save(similar_pairs(first, shingle_sets(docs, nodes, first, words), similarity), "similar")
     placed = save(components(edges), "placed")
     labelled = met.select("shingle", "node", "n", "place", F.col("center_0.node").alias("family")).join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rest = save(may_be_similar(apart_pairs(labelled, nodes, similarity, block), nodes, similarity), "pairs")
-    sets = shingle_sets(docs, nodes, rest, words)
-    likely = rest.groupBy("a").agg(F.max(F.struct("c", "b")).alias("x")).select("a", "x.b").union(rest.groupBy("b").agg(F.max(F.struct("c", "a")).alias("x")).select("x.a", "b")).distinct()
-    edges = save(edges.unionByName(similar_pairs(likely, sets, similarity)), "similar")
-    placed = save(components(edges), "placed")
-    ends = [placed.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in ("a", "b")]
-    apart = rest.join(ends[0], "a", "left").join(ends[1], "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
-    groups = components(edges.unionByName(similar_pairs(save(apart, "pairs"), sets, similarity)))
+    held = held_open(labelled, nodes)
+    likely = nearest_pairs(held, similarity, block)
+    edges = save(edges.unionByName(similar_pairs(likely, shingle_sets(docs, nodes, likely, words), similarity)), "similar")
+    held = still_open(held, components(edges))
+    rest = save(may_be_similar(once_each(pairs_in_families(held, similarity, block)), nodes, similarity).select("a", "b"), "pairs")
+    groups = components(edges.unionByName(similar_pairs(rest, shingle_sets(docs, nodes, rest, words), similarity)))
     named = small.select("doc_id", "text_hash", "node").join(nodes.select("node", "copies"), "node").join(groups, "node", "left").where("component is not null or copies > 1")
     named = save(named.select("doc_id", "text_hash", F.coalesce("component", "node").alias("component")), "named")
     firsts = named.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
