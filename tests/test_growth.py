@@ -151,3 +151,21 @@ def test_a_node_leaves_its_task_with_its_nearest_only(spark):
     left = simhash.once_each(simhash.pairs_in_families(simhash.still_open(opened, joined), 0.8, 256)).collect()
     assert sorted(map(tuple, left)) == [(m, members - 1, 3) for m in range(members - 1)]
     assert simhash.still_open(opened, spark.createDataFrame([(m, 0) for m in range(members)], "node long, component long")).count() == 0
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """However many rows a task has, few texts are on their way to Python at once; the session's own setting is back afterwards, also after an error."""
+    import pandas as pd
+
+    from varicube.llm.common import small_batches
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    sizes = spark.range(0, 1_000, 1, 1).mapInPandas(lambda batches: (pd.DataFrame({"n": [len(x)]}) for x in batches), "n long")
+    with small_batches(spark):
+        got = [r.n for r in sizes.collect()]
+    assert sum(got) == 1_000 and max(got) <= 128 and spark.conf.get(key) == before
+    with pytest.raises(ZeroDivisionError), small_batches(spark, 7):
+        assert spark.conf.get(key) == "7"
+        1 / 0
+    assert spark.conf.get(key) == before

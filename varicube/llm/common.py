@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,18 @@ def sliced(batches, rows: int = 512):
             yield batch.slice(at, rows) if hasattr(batch, "slice") else batch.iloc[at : at + rows]
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 128):
+    """What runs within sends its rows to Python so many at a time. sliced() bounds what a task builds for its rows, this the texts that are on their way as well."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows if int(before) <= 0 else min(rows, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def unused(name: str, *frames: DataFrame) -> str:
     """`name`, with as many underscores as it takes to be no column of the frames (names are compared without case, as Spark does)."""
     taken = {c.lower() for df in frames for c in df.columns}

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varicube.llm.common import Forest, components, dealt_to, groups_for, in_blocks, save, sliced, unused
+from varicube.llm.common import Forest, components, dealt_to, groups_for, in_blocks, save, sliced, small_batches, unused
 
 CHUNK = 1 << 16
 
@@ -281,7 +281,8 @@ def common_shingles(docs: DataFrame, words: int, crowd: int) -> np.ndarray:
 
     some = docs.where(F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(one_in)) == 0)
     counted = some.select("text").mapInPandas(run, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("c"))
-    most = counted.where(F.col("c") > crowd // one_in).orderBy(F.desc("c"), "shingle").limit(500_000).select("shingle").toPandas()
+    with small_batches(docs.sparkSession):
+        most = counted.where(F.col("c") > crowd // one_in).orderBy(F.desc("c"), "shingle").limit(500_000).select("shingle").toPandas()
     return np.sort(most["shingle"].to_numpy(np.int64))
 
 
@@ -295,7 +296,8 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int
     wanted = save(nodes.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node", "left_semi").select("node", "rep.doc_id", "rep.text_hash"), "wanted")
     wanted = F.broadcast(wanted) if wanted.count() <= 10_000 else wanted  # a few nodes go to the documents, so that no text is shuffled for them
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["node"])
-    return save(texts.select("node", "text").mapInPandas(shingles, "node long, shingles array<long>"), "shingles")
+    with small_batches(docs.sparkSession):
+        return save(texts.select("node", "text").mapInPandas(shingles, "node long, shingles array<long>"), "shingles")
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -433,7 +435,8 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, similarity: float = 0
     their own; rows that share both stay or go together. group_id is the smallest doc_id of a group, `stays` marks its row; documents alone in their group have no row.
     """
     late = common_shingles(docs, words, crowd)
-    rows = save(sketches(docs, words, similarity, late), "prints")
+    with small_batches(docs.sparkSession):
+        rows = save(sketches(docs, words, similarity, late), "prints")
     small = rows.drop("head").withColumn("node", F.xxhash64("fp", "text_key"))
     nodes = save(small.groupBy("node", "fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("last").alias("last")), "nodes")
     some = nodes.where("n > 0")
